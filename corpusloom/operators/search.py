@@ -254,6 +254,10 @@ def any_words(
     return boolean_search(index, field, should=words, analyzer=analyzer)
 
 
+def _moved_back(positions: Column, offset: int) -> Column:
+    return F.transform(positions, lambda p: p - offset)
+
+
 def _phrase_scores(
     index: FieldIndex, field: str, phrases: list[list[tuple[int, str]]]
 ) -> DataFrame:
@@ -276,10 +280,7 @@ def _phrase_scores(
     stats = index.stats(field)
     scores, frequencies = [], []
     for i, phrase in enumerate(phrases):
-        starts = [
-            F.transform(F.col(slot[term]), lambda p, o=offset: p - F.lit(o))
-            for offset, term in phrase
-        ]
+        starts = [_moved_back(F.col(slot[term]), offset) for offset, term in phrase]
         frequencies.append(F.size(reduce(F.array_intersect, starts)).alias(f"freq_{i}"))
         idf = sum(bm25_idf(F.try_element_at(df, F.lit(term)), stats["n_docs"]) for _, term in phrase)
         scores.append(
