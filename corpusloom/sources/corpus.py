@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.parallelism import spread_small_scan
 
 
+def _file_name() -> Column:
+    """Name of the file a row comes from; Spark reports it percent-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded).alias("doc_id")
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -24,7 +30,7 @@ def read_corpus(
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     decoded = F.decode("content", encoding)
     return reader.load(path).select(
-        F.col("_metadata.file_name").alias("doc_id"),
+        _file_name(),
         F.regexp_replace(decoded, "\r\n?", "\n").alias("text"),
     )
 
@@ -44,7 +50,7 @@ def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
     """
     scan = spark.read.text(path)
     return scan.select(
-        F.col("_metadata.file_name").alias("doc_id"),
+        _file_name(),
         F.struct(
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("row"),

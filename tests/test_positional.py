@@ -1,0 +1,143 @@
+import random
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from corpusloom.functions.text import words_clean
+from corpusloom.operators import postings as po
+from corpusloom.operators import proximity as px
+from corpusloom.plans import joins
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr("corpusloom.plans.blocks.with_lookahead.__defaults__", (3, "pos"))
+
+
+def tokens(docs_of, *texts):
+    return po.positioned_tokens(docs_of(*texts), words_clean)
+
+
+@pytest.mark.parametrize(
+    ("first", "second", "dist", "expected"),
+    [
+        ("a", "b", 1, [2]),
+        ("b", "a", 1, [2]),
+        ("a", "b", 2, [2, 3]),
+        ("a", "a", 3, [2]),
+        ("a", "b", 0, []),
+        ("a", "zzz", 1, []),
+    ],
+)
+def test_worked_examples(docs_of, first, second, dist, expected):
+    found = px.proximity(tokens(docs_of, "x a b c a"), first, second, dist)
+    assert sorted(r.pos for r in found.collect()) == expected
+
+
+def test_ordered_pair(docs_of):
+    found = px.proximity(tokens(docs_of, "b a b"), "a", "b", ordered=True)
+    assert [r.pos for r in found.collect()] == [2]
+
+
+@pytest.mark.parametrize("bad", [-1, "3", 1.5, True])
+def test_bad_distance(docs_of, bad):
+    with pytest.raises(ValueError):
+        px.proximity(tokens(docs_of, "a b"), "a", "b", bad)
+
+
+def brute(texts, first, second, dist):
+    found = set()
+    for doc, text in enumerate(texts):
+        at = {w: [i + 1 for i, x in enumerate(text.split()) if x == w] for w in (first, second)}
+        for j in at[first]:
+            for k in at[second]:
+                if 0 < abs(j - k) <= dist:
+                    found.add((doc, min(j, k)))
+    return found
+
+
+def random_texts(seed):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice("aabcd") for _ in range(rng.randint(0, 60))) for _ in range(12)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_against_brute_force(docs_of, seed, small_blocks):
+    texts = random_texts(seed)
+    toks = tokens(docs_of, *texts)
+    for first, second, dist in [("a", "b", 1), ("a", "c", 4), ("d", "d", 7), ("b", "q", 3)]:
+        found = px.proximity(toks, first, second, dist)
+        assert {tuple(r) for r in found.collect()} == brute(texts, first, second, dist)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_batch_against_brute_force(spark, docs_of, broadcast, small_blocks, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
+    texts = random_texts(9)
+    asked = [(1, "a", 1, "b"), (2, "c", 5, "a"), (3, "a", 3, "a"), (4, "a", 0, "b"), (5, "z", 2, "a")]
+    queries = spark.createDataFrame(asked, "query_id int, w1 string, max_dist int, w2 string")
+    found = px.proximity_batch(tokens(docs_of, *texts), queries)
+    expected = {
+        (q, doc, pos) for q, w1, d, w2 in asked for doc, pos in brute(texts, w1, w2, d)
+    }
+    assert {tuple(r) for r in found.collect()} == expected
+    plan = plan_of(found)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert ("BroadcastHashJoin" in plan) == broadcast
+
+
+def test_postings_and_lookup(docs_of):
+    index = po.build_postings(tokens(docs_of, "a b a", "b", ""))
+    rows = {(r.term, r.doc_id): (r.positions, r.tf) for r in index.collect()}
+    assert rows == {("a", 0): ([1, 3], 2), ("b", 0): ([2], 1), ("b", 1): ([1], 1)}
+    assert dict(po.term_lookup(index, "a").collect()) == {0: 2}
+    assert po.term_lookup(index, "nope").collect() == []
+    summary = {r.term: (r.df, r.total) for r in po.postings_summary(index).collect()}
+    assert summary == {"a": (1, 2), "b": (2, 2)}
+    flat = sorted(tuple(r) for r in po.postings_positions(index).collect())
+    assert flat == [(0, 1, "a"), (0, 2, "b"), (0, 3, "a"), (1, 1, "b")]
+
+
+def test_long_documents_are_split_into_blocks(spark):
+    toks = spark.createDataFrame(
+        [(7, pos, "x") for pos in (1, 65536, 65537, 200000)], "doc_id int, pos int, term string"
+    )
+    index = po.build_postings(toks)
+    rows = {r.block: r.positions for r in index.collect()}
+    assert rows == {0: [1, 65536], 1: [65537], 3: [200000]}
+    assert po.term_lookup(index, "x").first().tf == 4
+    assert po.postings_summary(index).first().df == 1
+
+
+def test_saved_postings_push_the_term_down(spark, docs_of, tmp_path):
+    path, built = str(tmp_path / "index"), []
+
+    def build():
+        built.append(1)
+        return po.build_postings(po.positioned_tokens(docs_of("running cats", "the cat ran")))
+
+    for _ in range(2):
+        index = po.ensure_postings(spark, path, build)
+    assert len(built) == 1
+    assert po.query_terms(spark, "Cats, RUNNING!") == ["cat", "run"]
+    found = po.term_lookup(index, "cat")
+    assert dict(found.collect()) == {0: 1, 1: 1}
+    assert "EqualTo(term,cat)" in plan_of(found)
+    po.dump_postings(index, str(tmp_path / "plain"))
+    assert spark.read.json(str(tmp_path / "plain")).count() == 5
+
+
+def test_proximity_plan_has_no_join(docs_of):
+    plan = plan_of(px.proximity(tokens(docs_of, "a b"), "a", "b", 3))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_salted_join_equals_broadcast_join(spark, monkeypatch):
+    large = spark.range(500).select("id", (F.col("id") % 3).alias("k"))
+    small = spark.createDataFrame([(0, "x"), (0, "y"), (2, "z")], "k bigint, v string")
+    plain = sorted(map(tuple, joins.join_on_small(large, small, ["k"], salt_by=["id"]).collect()))
+    salted = joins.join_on_small(large, small, ["k"], salt_by=["id"], max_rows=2)
+    assert sorted(map(tuple, salted.collect())) == plain
+    assert "SortMergeJoin" in plan_of(salted)
