@@ -41,95 +41,99 @@ IRREGULAR = {
 # ----------------------------------------------------------------------------------
 
 
-def _longest_suffix(rules: dict[str, str]) -> re.Pattern:
-    return re.compile(rf"(.*?)({'|'.join(rules)})\Z", re.S)
+def _suffix_split(rules: dict[str, str]):
+    """Function from a word to ``(stem, longest rule suffix)``, or None."""
+    ends, split = tuple(rules), re.compile(rf"(.*?)({'|'.join(rules)})\Z", re.S)
+    return lambda word: split.match(word).groups() if word.endswith(ends) else None
 
 
-_STEP_2, _STEP_3, _STEP_4 = map(_longest_suffix, (STEP_2, STEP_3, STEP_4))
+# Words are examined in a marked spelling: a consonant y (first letter, or after a vowel)
+# is written Y, so that vowels are exactly the letters aeiouy.
+_MARK_Y = re.compile(r"(?<![^aeiou])y")
+_MARK_YY = re.compile(r"yy")
+_HAS_VOWEL = re.compile(r"[aeiouy]")
+_M_POSITIVE = re.compile(r"[aeiouy][^aeiouy]")
+_M_ABOVE_1 = re.compile(r"[aeiouy][^aeiouy]+[aeiouy]+[^aeiouy]")
+_SHORT_END = re.compile(r"[^aeiouy][aeiouy][^aeiouywxY]\Z|\A[aeiouy][^aeiouy]\Z")
+_DOUBLE_END = re.compile(r"([^aeiouyY])\1\Z|(?:yY|Yy)\Z(?<=Y)")
+_split_2, _split_3, _split_4 = map(_suffix_split, (STEP_2, STEP_3, STEP_4))
 
 
-def _shape(word: str) -> str:
-    """``v`` per vowel, ``c`` per consonant; ``y`` is a vowel after a consonant."""
-    out = ""
-    for ch in word:
-        vowel = ch in "aeiou" or (ch == "y" and out.endswith("c"))
-        out += "v" if vowel else "c"
-    return out
-
-
-def _measure(word: str) -> int:
-    return _shape(word).count("vc")
-
-
-def _ends_short(word: str) -> bool:
-    """Consonant-vowel-consonant ending (not w, x, y), or a two-letter vowel-consonant."""
-    shape = _shape(word)
-    return (shape.endswith("cvc") and word[-1] not in "wxy") or shape == "vc"
+def _mark(word: str) -> str:
+    return _MARK_YY.sub("yY", _MARK_Y.sub("Y", word)) if "y" in word else word
 
 
 def _plural(word: str) -> str:
+    if not word.endswith("s"):
+        return word
     if word.endswith("ies"):
         return word[:-1] if len(word) == 4 else word[:-2]
     if word.endswith("sses"):
         return word[:-2]
-    return word[:-1] if word.endswith("s") and not word.endswith("ss") else word
+    return word if word.endswith("ss") else word[:-1]
 
 
 def _past_or_gerund(word: str) -> str:
     if word.endswith("ied"):
         return word[:-1] if len(word) == 4 else word[:-2]
     if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    stem = re.sub(r"(?:ed|ing)\Z", "", word)
-    if stem == word or "v" not in _shape(stem):
+        return word[:-1] if _M_POSITIVE.search(word[:-3]) else word
+    if word.endswith("ed"):
+        stem = word[:-2]
+    elif word.endswith("ing"):
+        stem = word[:-3]
+    else:
+        return word
+    if not _HAS_VOWEL.search(stem):
         return word
     if stem.endswith(("at", "bl", "iz")):
         return stem + "e"
-    if len(stem) > 1 and stem[-1] == stem[-2] and _shape(stem)[-1] == "c":
+    if _DOUBLE_END.search(stem):
         return stem if stem[-1] in "lsz" else stem[:-1]
-    return stem + "e" if _measure(stem) == 1 and _ends_short(stem) else stem
+    once = _M_POSITIVE.search(stem) and not _M_ABOVE_1.search(stem)
+    return stem + "e" if once and _SHORT_END.search(stem) else stem
 
 
 def _final_y(word: str) -> str:
-    stem = word[:-1]
-    turns = word.endswith("y") and len(stem) > 1 and _shape(stem)[-1] == "c"
-    return stem + "i" if turns else word
+    # A lower-case y here is a vowel, hence it follows a consonant.
+    return word[:-1] + "i" if word.endswith("y") and len(word) > 2 else word
 
 
 def _derivation(word: str) -> str:
-    found = _STEP_2.match(word)
+    found = _split_2(word)
     if not found:
         return word
-    stem, suffix = found.groups()
-    if _measure(stem + "l" if suffix == "logi" else stem) == 0:
+    stem, suffix = found
+    if not _M_POSITIVE.search(stem + "l" if suffix == "logi" else stem):
         return word
     replaced = stem + STEP_2[suffix]
     return _derivation(replaced) if suffix == "alli" else replaced
 
 
 def _quality(word: str) -> str:
-    found = _STEP_3.match(word)
-    if not found or _measure(found[1]) == 0:
+    found = _split_3(word)
+    if not found or not _M_POSITIVE.search(found[0]):
         return word
-    return found[1] + STEP_3[found[2]]
+    return found[0] + STEP_3[found[1]]
 
 
 def _ending(word: str) -> str:
-    found = _STEP_4.match(word)
-    if not found or _measure(found[1]) < 2:
+    found = _split_4(word)
+    if not found or not _M_ABOVE_1.search(found[0]):
         return word
-    if found[2] == "ion" and found[1][-1] not in "st":
+    if found[1] == "ion" and found[0][-1] not in "st":
         return word
-    return found[1]
+    return found[0]
 
 
 def _tidy(word: str) -> str:
     if word.endswith("e"):
         stem = word[:-1]
-        m = _measure(stem)
-        if m > 1 or (m == 1 and not _ends_short(stem)):
+        if _M_ABOVE_1.search(stem) or (
+            _M_POSITIVE.search(stem) and not _SHORT_END.search(stem)
+        ):
             word = stem
-    return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
+    return word[:-1] if word.endswith("ll") and _M_ABOVE_1.search(word[:-1]) else word
 
 
 @lru_cache(maxsize=1 << 18)
@@ -138,11 +142,12 @@ def porter(word: str) -> str:
     word = word.lower()
     if word in IRREGULAR or len(word) <= 2:
         return IRREGULAR.get(word, word)
+    word = _mark(word)
     for step in (
         _plural, _past_or_gerund, _final_y, _derivation, _quality, _ending, _tidy,
     ):
         word = step(word)
-    return word
+    return word.lower()
 
 
 def _stem_values(values: pa.Array) -> pa.Array:

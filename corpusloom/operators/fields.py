@@ -9,7 +9,8 @@ Documents with named, possibly repeated text fields are rows
 ``vocabulary``  ``(field, term, df)``
 ``lengths``     ``(field, n_docs, total)`` over documents with at least one word
 
-All three are sums over documents, so batches can be appended and added up.
+A fourth, ``docs``, lists the ids. All are sums over documents, so a stored index is a set
+of batches, added up when it is opened.
 """
 
 from __future__ import annotations
@@ -99,20 +100,38 @@ def field_stats(index: FieldIndex) -> DataFrame:
 
 
 def postings_of_tokens(tokens: DataFrame) -> DataFrame:
+    """``(field, term, doc_id, length, tf, positions)``, positions ascending."""
     return tokens.groupBy("field", "term", "doc_id", "length").agg(
         F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")
     )
 
 
+def field_vocabulary(
+    fields: DataFrame, analyzer: Callable[[Column], Column] = words_standard
+) -> DataFrame:
+    """``(field, term, df)`` from each document's distinct words.
+
+    Counts combine on the map side, so a task sends one row per word it has seen, not one
+    per document and word as counting postings would.
+    """
+    words = _analyzed(fields, analyzer).select(
+        "field", F.explode_outer(F.array_distinct("words")).alias("term")
+    )
+    return (
+        words.where(F.col("term").isNotNull() & ~F.col("term").isin(STOP_WORDS))
+        .groupBy("field", "term")
+        .agg(F.count("*").alias("df"))
+    )
+
+
 def build_index(
     fields: DataFrame, analyzer: Callable[[Column], Column] = words_standard
 ) -> FieldIndex:
     """Index as lazy frames over ``fields``; see :func:`write_index` to store it."""
-    postings = postings_of_tokens(field_tokens(fields, analyzer))
     return FieldIndex(
         docs=fields.select("doc_id").distinct(),
-        postings=postings,
-        vocabulary=postings.groupBy("field", "term").agg(F.count("tf").alias("df")),
+        postings=postings_of_tokens(field_tokens(fields, analyzer)),
+        vocabulary=field_vocabulary(fields, analyzer),
         lengths=field_lengths(fields, analyzer),
     )
 
@@ -129,23 +148,29 @@ def _table(path: str, name: str) -> str:
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
-    """True once all tables are written; ``lengths`` is written last."""
     return path_has_table(spark, _table(path, "lengths"))
 
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Batches listed in ``lengths``; one row per batch and field, so a small table."""
+    listed = spark.read.parquet(_table(path, "lengths")).select("batch").distinct()
+    return sorted(row["batch"] for row in listed.collect())
+
+
 def open_index(spark: SparkSession, path: str) -> FieldIndex:
-    """Stored index; vocabulary and lengths of appended batches are added up."""
+    """Stored index. A batch whose writing was cut short is not listed and not read."""
     if not index_exists(spark, path):
         raise FileNotFoundError(f"no index at {path}")
-    docs, postings, vocabulary, lengths = (
-        spark.read.parquet(_table(path, name))
-        for name in ("docs", "postings", "vocabulary", "lengths")
+    complete = F.col("batch").isin(_batches(spark, path))
+    docs, postings, vocabulary = (
+        spark.read.parquet(_table(path, name)).where(complete).drop("batch")
+        for name in ("docs", "postings", "vocabulary")
     )
     return FieldIndex(
         docs=docs,
         postings=postings,
         vocabulary=vocabulary.groupBy("field", "term").agg(F.sum("df").alias("df")),
-        lengths=lengths,
+        lengths=spark.read.parquet(_table(path, "lengths")).drop("batch"),
         saved=True,
     )
 
@@ -165,6 +190,10 @@ def write_index(
     ``read``       writes nothing
 
     ``append`` and ``read`` raise if there is no index; an empty corpus raises.
+
+    Each call writes a batch folder in every table and lists it in ``lengths`` last. Until
+    then readers see the index as it was, and a batch left unfinished is written over by
+    the next call. Batches that ``overwrite`` replaces are emptied afterwards.
     """
     spark = fields.sparkSession
     if mode not in ("create", "overwrite", "append", "read"):
@@ -177,22 +206,37 @@ def write_index(
     if fields.isEmpty():
         raise ValueError("no documents to index")
 
-    save = "append" if mode == "append" else "overwrite"
-    if save == "append" and dict(fields.dtypes)["doc_id"] in ("int", "bigint"):
-        stored = spark.read.parquet(_table(path, "docs"))
+    earlier = _batches(spark, path) if exists else []
+    batch = max(earlier, default=-1) + 1
+
+    def save(df: DataFrame, table: str, number: int = batch) -> DataFrame:
+        folder = f"{_table(path, table)}/batch={number}"
+        df.write.mode("overwrite").parquet(folder)
+        return spark.read.parquet(folder)
+
+    if mode == "append" and dict(fields.dtypes)["doc_id"] in ("int", "bigint"):
+        stored = open_index(spark, path).docs
         next_id = stored.agg(F.coalesce(F.max("doc_id"), F.lit(-1)) + 1).first()[0]
         fields = fields.withColumn("doc_id", F.col("doc_id") + F.lit(next_id))
 
-    batch = build_index(fields, analyzer)
-    keys = ["field", "term", "doc_id"]
-    batch.postings.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(save).parquet(
-        _table(path, "postings")
+    new = build_index(fields, analyzer)
+    # Ranges of the grouping keys: grouped and ordered in place after a single shuffle,
+    # and a term that is in every document fills many ranges.
+    keys = ["field", "term", "doc_id", "length"]
+    ranged = field_tokens(fields, analyzer).repartitionByRange(*keys)
+    postings = save(postings_of_tokens(ranged).sortWithinPartitions(*keys), "postings")
+    # Counted from the stored postings, which are sorted by term: nearly all of the
+    # counting happens before the shuffle.
+    vocabulary = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
+    save(vocabulary.repartitionByRange("field", "term").sortWithinPartitions("field", "term"), "vocabulary")
+    save(new.docs, "docs")
+    listing = "append" if mode == "append" else "overwrite"
+    new.lengths.coalesce(1).withColumn("batch", F.lit(batch)).write.mode(listing).parquet(
+        _table(path, "lengths")
     )
-    # The rest is small and comes from the texts again rather than from a cache that
-    # a lost executor would take along.
-    batch.vocabulary.repartitionByRange("field", "term").sortWithinPartitions(
-        "field", "term"
-    ).write.mode(save).parquet(_table(path, "vocabulary"))
-    batch.docs.write.mode(save).parquet(_table(path, "docs"))
-    batch.lengths.write.mode(save).parquet(_table(path, "lengths"))
+    if mode == "overwrite":
+        for number in earlier:
+            for table in ("postings", "vocabulary", "docs"):
+                schema = spark.read.parquet(f"{_table(path, table)}/batch={number}").schema
+                save(spark.createDataFrame([], schema), table, number)
     return open_index(spark, path)

@@ -70,34 +70,41 @@ def position_lines(
     ).select("doc_id", (F.col("base") + F.col("within") + F.col("at") + 1).alias("pos"), "term")
 
 
-def build_postings(tokens: DataFrame) -> DataFrame:
-    """``(term, doc_id, block, positions, tf)``; ``positions`` ascending.
+def build_postings(tokens: DataFrame, by_block: bool = False) -> DataFrame:
+    """``(term, doc_id, positions, tf)``; ``positions`` ascending.
 
-    A row covers one block of a document, so a frequent term in a very long document is
-    spread over rows; documents of up to 65,536 tokens have block 0 only.
+    The positions of a term are no larger than the row the document's text came in. For
+    documents numbered over many rows (:func:`position_lines`) use ``by_block=True``: a
+    posting then covers one ``block`` of 65,536 positions, so that a frequent term in a
+    very long document is spread over rows and tasks.
     """
-    return (
-        tokens.withColumn("block", block_of(F.col("pos")))
-        .groupBy("term", "doc_id", "block")
-        .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-        .withColumn("tf", F.size("positions"))
+    keys = ["term", "doc_id"]
+    if by_block:
+        if "block" not in tokens.columns:
+            tokens = tokens.withColumn("block", block_of(F.col("pos")))
+        keys.append("block")
+    return tokens.groupBy(*keys).agg(
+        F.sort_array(F.collect_list("pos")).alias("positions"),
+        F.count("*").cast("int").alias("tf"),
     )
 
 
+def _whole_documents(postings: DataFrame) -> DataFrame:
+    """``(term, doc_id, tf)`` with the blocks of a document, if any, added up."""
+    if "block" not in postings.columns:
+        return postings.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"))
+    return postings.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
+
+
 def postings_positions(postings: DataFrame) -> DataFrame:
     """Back to the flat ``(doc_id, pos, term)`` form."""
     return postings.select("doc_id", F.explode_outer("positions").alias("pos"), "term")
 
 
 def postings_summary(postings: DataFrame) -> DataFrame:
-    """``(term, df, total)``: documents with the term and its occurrences.
-
-    Blocks are folded per document before terms are counted, and both steps combine on
-    the map side.
-    """
+    """``(term, df, total)``: documents with the term and its occurrences."""
     return (
-        postings.groupBy("term", "doc_id")
-        .agg(F.sum("tf").alias("tf"))
+        _whole_documents(postings)
         .groupBy("term")
         .agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     )
@@ -105,11 +112,7 @@ def postings_summary(postings: DataFrame) -> DataFrame:
 
 def term_lookup(postings: DataFrame, term: str) -> DataFrame:
     """``(doc_id, tf)`` of the documents that hold an (already stemmed) term."""
-    return (
-        postings.where(F.col("term") == term)
-        .groupBy("doc_id")
-        .agg(F.sum("tf").alias("tf"))
-    )
+    return _whole_documents(postings.where(F.col("term") == term)).select("doc_id", "tf")
 
 
 def query_terms(spark: SparkSession, text: str) -> list[str]:
@@ -118,13 +121,20 @@ def query_terms(spark: SparkSession, text: str) -> list[str]:
     return [porter(word) for word in literal.first()["words"]]
 
 
-def save_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write parquet ordered by term, so that a term filter skips files and row groups.
+def save_postings(
+    tokens: DataFrame, path: str, by_block: bool = False, mode: str = "overwrite"
+) -> None:
+    """Build postings and write them ordered by term, so that a term filter skips files.
 
-    Ranges are cut on (term, doc_id, block): a term in every document fills many files.
+    Tokens are range partitioned on term and document once; grouping and ordering then
+    happen inside each range without a second shuffle. A term that is in every document
+    fills many ranges.
     """
-    keys = ["term", "doc_id", "block"]
-    postings.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    if by_block:
+        tokens = tokens.withColumn("block", block_of(F.col("pos")))
+    keys = [key for key in ("term", "doc_id", "block") if key in tokens.columns]
+    ranged = tokens.repartitionByRange(*keys)
+    build_postings(ranged, by_block).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
 def load_postings(spark: SparkSession, path: str) -> DataFrame:
@@ -132,11 +142,11 @@ def load_postings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ensure_postings(
-    spark: SparkSession, path: str, builder: Callable[[], DataFrame]
+    spark: SparkSession, path: str, tokens: Callable[[], DataFrame], by_block: bool = False
 ) -> DataFrame:
     """Load the saved postings, building and saving them first if there are none."""
     if not path_has_table(spark, path):
-        save_postings(builder(), path)
+        save_postings(tokens(), path, by_block)
     return load_postings(spark, path)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.edits import could_be_within, edit_distance
 from ..functions.scoring import bm25, bm25_idf, bm25_tf
 from ..functions.text import STOP_WORDS, drop_stop_words, words_standard
-from ..plans.joins import join_on_small
+from ..plans.joins import fits_broadcast, join_on_small
 from .fields import FieldIndex
 
 MAX_LISTED_TERMS = 1024
@@ -190,16 +190,19 @@ def fuzzy_search(
     document frequency among them, so that a rare misspelling does not outrank the word.
     """
     vocabulary = index.vocabulary.where(F.col("field") == field).select("term", "df")
-    expansions = similar_terms(vocabulary, term, max_edits, max_expansions)
-    shared_df = expansions.agg(F.max("df")).scalar()
+    # At most max_expansions rows, whatever the corpus: listed in the postings filter.
+    expansions = similar_terms(vocabulary, term, max_edits, max_expansions).collect()
+    if not expansions:
+        return match_all(index).where(F.lit(False))
+    similarity = F.create_map(
+        *[F.lit(x) for row in expansions for x in (row["term"], row["similarity"])]
+    )
+    shared_df = F.lit(max(row["df"] for row in expansions))
     stats = index.stats(field)
-    weight = F.col("similarity") * bm25(
+    weight = F.element_at(similarity, F.col("term")) * bm25(
         F.col("tf"), F.col("length"), shared_df, stats["n_docs"], stats["avg_length"]
     )
-    # At most max_expansions rows, whatever the corpus.
-    found = _of_field(index, field).join(
-        F.broadcast(expansions.select("term", "similarity")), "term"
-    )
+    found = _of_field(index, field).where(F.col("term").isin([row["term"] for row in expansions]))
     return _hits(found.groupBy("doc_id").agg(F.sum(weight).alias("score")))
 
 
@@ -417,9 +420,20 @@ def any_words_batch(
         .groupBy("query_id", "term")
         .agg(F.count("*").alias("weight"))
     )
-    frequencies = index.vocabulary.where(F.col("field") == field).select("term", "df")
-    weighted = wanted.join(frequencies, "term")
-    found = join_on_small(_of_field(index, field), weighted, ["term"], salt_by=["doc_id"])
+    # One row per distinct query word, no larger than the measured queries.
+    small = fits_broadcast(wanted)
+    hint = F.broadcast if small else (lambda df: df)
+    frequencies = (
+        index.vocabulary.where(F.col("field") == field)
+        .select("term", "df")
+        .join(hint(wanted.select("term").distinct()), "term", "left_semi")
+    )
+    weighted = wanted.join(hint(frequencies), "term")
+    postings = _of_field(index, field)
+    if small and not index.saved:
+        # Moves below the grouping of tokens, so that only query words are shuffled.
+        postings = postings.join(hint(wanted.select("term").distinct()), "term", "left_semi")
+    found = join_on_small(postings, weighted, ["term"], salt_by=["doc_id"], small_fits=small)
     stats = index.stats(field)
     score = F.col("weight") * bm25(
         F.col("tf"), F.col("length"), F.col("df"), stats["n_docs"], stats["avg_length"]

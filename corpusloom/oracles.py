@@ -242,7 +242,7 @@ SELECT ngram, count(*) AS n FROM t WHERE ngram <> '' GROUP BY ngram""",
         "stemmed_term_counts": f"""WITH {_STEMS}
 SELECT stem AS term, count(*) AS n FROM tok JOIN stems USING (term) GROUP BY stem""",
         "postings_positions": f"""WITH {_CLEAN_TOKENS}
-SELECT term, doc_id, (pos - 1) // 65536 AS block, CAST(count(*) AS INTEGER) AS tf,
+SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf,
   string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions FROM tok GROUP BY ALL""",
         "postings_summary": f"""WITH {_CLEAN_TOKENS}
 SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM tok GROUP BY term""",

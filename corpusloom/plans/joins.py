@@ -35,14 +35,18 @@ def join_on_small(
     salt_by: list[str],
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    small_fits: bool | None = None,
 ) -> DataFrame:
     """Inner join; broadcasts ``small`` when measured to fit, else a salted shuffle join.
 
     In the shuffle join every row of ``large`` gets one of :data:`SALTS` salts from its
     ``salt_by`` columns and ``small`` is repeated once per salt, so one hot key is
-    spread over that many tasks. Both ways return the same rows.
+    spread over that many tasks. Both ways return the same rows. ``small_fits`` passes on
+    a measurement already made.
     """
-    if fits_broadcast(small, max_rows, max_bytes):
+    if small_fits is None:
+        small_fits = fits_broadcast(small, max_rows, max_bytes)
+    if small_fits:
         return large.join(F.broadcast(small), on, "inner")
     salted = large.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
     repeated = small.withColumn(

@@ -52,7 +52,7 @@ def _text_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:
 
 
 def _part_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:
-    part = _table(spark, sf_dir, "part")
+    part = spread_small_scan(_table(spark, sf_dir, "part"))
     return fielded.build_index(
         fielded.fields_of_columns(part, "p_partkey", name="p_name", type="p_type")
     )
@@ -183,7 +183,7 @@ def stemmed_term_counts(spark, sf_dir):
 @_query
 def postings_positions(spark, sf_dir):
     index = postings.build_postings(_clean_tokens(spark, sf_dir))
-    return index.select("term", "doc_id", "block", "tf", _joined("positions"))
+    return index.select("term", "doc_id", "tf", _joined("positions"))
 
 
 @_query
@@ -205,7 +205,7 @@ def saved_postings_lookup(spark, sf_dir):
         index = postings.ensure_postings(
             spark,
             path,
-            lambda: postings.build_postings(postings.positioned_tokens(_docs(spark, sf_dir))),
+            lambda: postings.positioned_tokens(_docs(spark, sf_dir)),
         )
     return postings.term_lookup(index, postings.query_terms(spark, "From")[0])
 
@@ -456,7 +456,7 @@ def bib_roundtrip(spark, sf_dir):
 @_query
 def bib_fields(spark, sf_dir):
     """Orders as entry texts, parsed and projected to fields with their keys."""
-    orders = _table(spark, sf_dir, "orders")
+    orders = spread_small_scan(_table(spark, sf_dir, "orders"))
     entry = F.concat(
         F.lit("@order{o"), F.col("o_orderkey").cast("string"),
         F.lit(",\n author = {Clerk "), F.col("o_custkey").cast("string"),
@@ -474,7 +474,7 @@ def bib_fields(spark, sf_dir):
 @_query
 def bib_bad_entries(spark, sf_dir):
     """Entries without a year for open orders: kept, without a key, and counted."""
-    orders = _table(spark, sf_dir, "orders")
+    orders = spread_small_scan(_table(spark, sf_dir, "orders"))
     year = F.when(F.col("o_orderstatus") != "O", F.concat(F.lit(", year = "), F.year("o_orderdate").cast("string"))).otherwise("")
     entry = F.concat(F.lit("@order{k, editor = {E}, title = {T}"), year, F.lit("}"))
     entries = bibliography.parse_entries(

@@ -104,19 +104,34 @@ def test_long_documents_are_split_into_blocks(spark):
     toks = spark.createDataFrame(
         [(7, pos, "x") for pos in (1, 65536, 65537, 200000)], "doc_id int, pos int, term string"
     )
-    index = po.build_postings(toks)
+    index = po.build_postings(toks, by_block=True)
     rows = {r.block: r.positions for r in index.collect()}
     assert rows == {0: [1, 65536], 1: [65537], 3: [200000]}
     assert po.term_lookup(index, "x").first().tf == 4
     assert po.postings_summary(index).first().df == 1
 
 
+def test_long_documents_saved_by_block(spark, tmp_path):
+    toks = spark.createDataFrame(
+        [(7, pos, "x") for pos in (1, 65537)] + [(8, 2, "x")], "doc_id int, pos int, term string"
+    )
+    index = po.ensure_postings(spark, str(tmp_path / "p"), lambda: toks, by_block=True)
+    assert sorted(map(tuple, po.term_lookup(index, "x").collect())) == [(7, 2), (8, 1)]
+    assert index.count() == 3
+
+
+def test_saving_needs_one_shuffle(docs_of):
+    ranged = tokens(docs_of, "a b").repartitionByRange("term", "doc_id")
+    plan = plan_of(po.build_postings(ranged).sortWithinPartitions("term", "doc_id"))
+    assert plan.count("Exchange") == 1
+
+
 def test_saved_postings_push_the_term_down(spark, docs_of, tmp_path):
     path, built = str(tmp_path / "index"), []
 
     def build():
         built.append(1)
-        return po.build_postings(po.positioned_tokens(docs_of("running cats", "the cat ran")))
+        return po.positioned_tokens(docs_of("running cats", "the cat ran"))
 
     for _ in range(2):
         index = po.ensure_postings(spark, path, build)
@@ -125,6 +140,7 @@ def test_saved_postings_push_the_term_down(spark, docs_of, tmp_path):
     found = po.term_lookup(index, "cat")
     assert dict(found.collect()) == {0: 1, 1: 1}
     assert "EqualTo(term,cat)" in plan_of(found)
+    assert "Exchange" not in plan_of(found)
     po.dump_postings(index, str(tmp_path / "plain"))
     assert spark.read.json(str(tmp_path / "plain")).count() == 5
 
