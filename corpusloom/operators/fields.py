@@ -42,7 +42,7 @@ class FieldIndex:
         return totals.select(
             F.struct(
                 F.col("n_docs").alias("n_docs"),
-                (F.col("total") / F.col("n_docs")).alias("avg_length"),
+                F.try_divide("total", "n_docs").alias("avg_length"),
             )
         ).scalar()
 
@@ -96,7 +96,7 @@ def field_stats(index: FieldIndex) -> DataFrame:
     totals = index.lengths.groupBy("field").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("total").alias("total")
     )
-    return totals.select("field", "n_docs", (F.col("total") / F.col("n_docs")).alias("avg_len"))
+    return totals.select("field", "n_docs", F.try_divide("total", "n_docs").alias("avg_len"))
 
 
 def postings_of_tokens(tokens: DataFrame) -> DataFrame:
@@ -180,6 +180,7 @@ def write_index(
     path: str,
     mode: str = "create",
     analyzer: Callable[[Column], Column] = words_standard,
+    batch: int | None = None,
 ) -> FieldIndex:
     """Write the index of ``fields`` and open it.
 
@@ -193,7 +194,9 @@ def write_index(
 
     Each call writes a batch folder in every table and lists it in ``lengths`` last. Until
     then readers see the index as it was, and a batch left unfinished is written over by
-    the next call. Batches that ``overwrite`` replaces are emptied afterwards.
+    the next call. Batches that ``overwrite`` replaces are emptied afterwards. An append
+    may name its ``batch``; one that is already listed is not written again, so that a
+    repeated delivery does no harm.
     """
     spark = fields.sparkSession
     if mode not in ("create", "overwrite", "append", "read"):
@@ -203,11 +206,13 @@ def write_index(
         raise FileNotFoundError(f"no index at {path}")
     if mode == "read" or (mode == "create" and exists):
         return open_index(spark, path)
+    earlier = _batches(spark, path) if exists else []
+    if mode == "append" and batch in earlier:
+        return open_index(spark, path)
     if fields.isEmpty():
         raise ValueError("no documents to index")
-
-    earlier = _batches(spark, path) if exists else []
-    batch = max(earlier, default=-1) + 1
+    if mode != "append" or batch is None:
+        batch = max(earlier, default=-1) + 1
 
     def save(df: DataFrame, table: str, number: int = batch) -> DataFrame:
         folder = f"{_table(path, table)}/batch={number}"
@@ -217,7 +222,8 @@ def write_index(
     if mode == "append" and dict(fields.dtypes)["doc_id"] in ("int", "bigint"):
         stored = open_index(spark, path).docs
         next_id = stored.agg(F.coalesce(F.max("doc_id"), F.lit(-1)) + 1).first()[0]
-        fields = fields.withColumn("doc_id", F.col("doc_id") + F.lit(next_id))
+        moved = (F.col("doc_id") + F.lit(next_id)).cast(fields.schema["doc_id"].dataType)
+        fields = fields.withColumn("doc_id", moved)
 
     new = build_index(fields, analyzer)
     # Ranges of the grouping keys: grouped and ordered in place after a single shuffle,

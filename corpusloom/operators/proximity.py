@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.stemming import stem_words
+from ..functions.text import words_clean
 from ..plans.blocks import with_lookahead
 from ..plans.joins import join_on_small
 
@@ -70,6 +72,25 @@ def proximity(
     return _matches(tagged, ["doc_id"], ordered)
 
 
+def position_queries(queries: DataFrame) -> DataFrame:
+    """``(query_id, w1, max_dist, w2)`` of texts ``word word`` or ``word /n word``.
+
+    Texts are cleaned and stemmed as documents are; the slash is optional. Any other
+    number of words, or a middle word that is no number, fails the job.
+    """
+    read = queries.select("query_id", "text", stem_words(words_clean(F.col("text"))).alias("w"))
+    dist = F.when(F.size("w") == 2, F.lit(1)).when(
+        F.size("w") == 3, F.replace(F.get("w", F.lit(1)), F.lit("/"), F.lit("")).try_cast("int")
+    )
+    refused = F.raise_error(F.concat(F.lit("not a position query: "), F.col("text")))
+    return read.select(
+        "query_id",
+        F.get("w", F.lit(0)).alias("w1"),
+        F.when(dist >= 0, dist).otherwise(refused.cast("int")).alias("max_dist"),
+        F.get("w", F.size("w") - 1).alias("w2"),
+    )
+
+
 def proximity_batch(
     tokens: DataFrame, queries: DataFrame, ordered: bool = False
 ) -> DataFrame:

@@ -237,6 +237,10 @@ SELECT ngram, count(*) AS n FROM t WHERE ngram <> '' GROUP BY ngram""",
         "frequency_files": " UNION ALL ".join(
             f"SELECT {n} AS size, ngram, n FROM ({_ngram_counts(n)})" for n in (1, 2, 3)
         ),
+        "corpus_scan_letters": f"WITH l AS (SELECT lower(text) AS t FROM documents) {letters}",
+        "corpus_scan_unigrams": _ngram_counts(1),
+        "corpus_lines_terms": f"WITH {_CLEAN_TOKENS} SELECT term, count(*) AS total FROM tok GROUP BY term",
+        "streamed_unigrams": _ngram_counts(1),
         "clean_token_counts": f"WITH {_CLEAN_TOKENS} SELECT term AS ngram, count(*) AS n FROM tok GROUP BY term",
         "stemmed_vocabulary": f"WITH {_STEMS} SELECT term, stem FROM stems",
         "stemmed_term_counts": f"""WITH {_STEMS}
@@ -261,6 +265,10 @@ q AS (SELECT item_id AS query_id, w[1] AS w1, item_id % 6 AS d, w[3] AS w2 FROM
 SELECT DISTINCT query_id, a.doc_id, CAST(a.pos AS INTEGER) AS pos FROM tok a
 JOIN q ON a.term = w1 OR a.term = w2 JOIN tok b ON b.doc_id = a.doc_id
   AND b.term = CASE WHEN a.term = w1 THEN w2 ELSE w1 END AND b.pos > a.pos AND b.pos <= a.pos + d""",
+        "position_queries": f"""WITH q AS ({_clean('benchmark', 'item_id')}),
+{_stem_ctes('SELECT unnest(w) AS term FROM q')}
+SELECT item_id AS query_id, a.stem AS w1, CAST(item_id % 6 AS INTEGER) AS max_dist, b.stem AS w2
+FROM q JOIN stems a ON a.term = w[1] JOIN stems b ON b.term = w[3]""",
         "field_stats": f"WITH {_PART} SELECT field, n_docs, round(avgdl, 6) AS avg_len FROM st",
         "vocabulary": f"WITH {_TEXT} SELECT term, df FROM dfs",
         "term_vectors": f"""WITH {_TEXT}

@@ -19,7 +19,8 @@ from .plans.parallelism import spread_small_scan
 from .plans.ranking import display_scores, top_k, top_k_per_query
 from .plans.scratch import scratch_path
 from .sources import bibliography
-from .sources.corpus import from_table
+from .sources.corpus import from_table, read_corpus, read_corpus_lines
+from .streaming.incremental import corpus_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -163,6 +164,50 @@ def frequency_files(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _corpus_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as a folder of UTF-8 ``.txt`` files, several documents to a file.
+
+    Words and letters are counted per word, so how documents fall into files is no matter.
+    """
+    folder = scratch_path(spark, "corpus")
+    _docs(spark, sf_dir).select("text").write.text(folder)
+    return folder
+
+
+@_query
+def corpus_scan_letters(spark, sf_dir):
+    corpus = read_corpus(spark, _corpus_folder(spark, sf_dir), encoding="UTF-8")
+    return frequency.letter_counts(corpus)
+
+
+@_query
+def corpus_scan_unigrams(spark, sf_dir):
+    corpus = read_corpus(spark, _corpus_folder(spark, sf_dir), ".txt", encoding="UTF-8")
+    return frequency.ngram_counts(corpus, 1)
+
+
+@_query
+def corpus_lines_terms(spark, sf_dir):
+    """Words of long files, numbered across lines and indexed by blocks of positions."""
+    lines = read_corpus_lines(spark, _corpus_folder(spark, sf_dir))
+    tokens = postings.position_lines(lines, words_clean)
+    summary = postings.postings_summary(postings.build_postings(tokens, by_block=True))
+    return summary.select("term", "total")
+
+
+@_query
+def streamed_unigrams(spark, sf_dir):
+    """Counts kept by a stream over the corpus folder, after its last file."""
+    stream = corpus_stream(spark, _corpus_folder(spark, sf_dir), ".txt", encoding="UTF-8")
+    table = scratch_path(spark, "running")
+    frequency.ngram_counts(stream, 1).writeStream.outputMode("complete").option(
+        "checkpointLocation", scratch_path(spark, "stream")
+    ).foreachBatch(
+        lambda counts, _: counts.write.mode("overwrite").parquet(table)
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(table)
+
+
 # --- positional index ---------------------------------------------------------------------
 @_query
 def clean_token_counts(spark, sf_dir):
@@ -250,6 +295,19 @@ def proximity_batch(spark, sf_dir):
     return proximity.proximity_batch(_clean_tokens(spark, sf_dir), queries)
 
 
+@_query
+def position_queries(spark, sf_dir):
+    """Query texts ``word /n word`` made from every benchmark item, read into columns."""
+    words = _table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), words_clean(F.col("text")).alias("w")
+    )
+    slash = F.concat(F.lit(" /"), F.pmod("query_id", F.lit(6)).cast("string"), F.lit(" "))
+    texts = words.select(
+        "query_id", F.concat(F.get("w", F.lit(0)), slash, F.get("w", F.lit(2))).alias("text")
+    )
+    return proximity.position_queries(texts)
+
+
 # --- fielded search -----------------------------------------------------------------------
 @_query
 def field_stats(spark, sf_dir):

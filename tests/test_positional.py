@@ -157,3 +157,15 @@ def test_salted_join_equals_broadcast_join(spark, monkeypatch):
     salted = joins.join_on_small(large, small, ["k"], salt_by=["id"], max_rows=2)
     assert sorted(map(tuple, salted.collect())) == plain
     assert "SortMergeJoin" in plan_of(salted)
+
+
+def test_query_texts(spark):
+    asked = [(1, "Running cats"), (2, "cats /3 dog"), (3, "cats 2 dog"), (4, "a /0 b")]
+    read = px.position_queries(spark.createDataFrame(asked, "query_id int, text string"))
+    assert [tuple(r) for r in read.orderBy("query_id").collect()] == [
+        (1, "run", 1, "cat"), (2, "cat", 3, "dog"), (3, "cat", 2, "dog"), (4, "a", 0, "b"),
+    ]
+    for bad in ("one", "a b c", "a b c d"):
+        frame = spark.createDataFrame([(1, bad)], "query_id int, text string")
+        with pytest.raises(Exception, match="not a position query"):
+            px.position_queries(frame).collect()

@@ -283,6 +283,38 @@ def test_write_modes(spark, tmp_path):
     )
 
 
+def test_a_named_batch_is_added_once(spark, tmp_path):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([("x", "one")], "doc_id string, a string")
+    more = spark.createDataFrame([("y", "one")], "doc_id string, a string")
+    fl.write_index(fl.fields_of_columns(docs, "doc_id", a="a"), path)
+    for _ in range(2):
+        index = fl.write_index(fl.fields_of_columns(more, "doc_id", a="a"), path, "append", batch=7)
+    assert sorted(scores(se.term_search(index, "a", "one"))) == ["x", "y"]
+    assert fl.field_stats(index).first().n_docs == 2
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    path = tmp_path / "index"
+    docs = spark.createDataFrame([(0, "one two")], "doc_id bigint, a string")
+    fields = fl.fields_of_columns(docs, "doc_id", a="a")
+    index = fl.write_index(fields, str(path))
+    for table in ("postings", "vocabulary", "docs"):
+        getattr(index, table).write.parquet(f"{path}/{table}/batch=1")
+    index = fl.open_index(spark, str(path))
+    assert list(scores(se.term_search(index, "a", "one"))) == [0]
+    index = fl.write_index(fields, str(path), "append")
+    assert sorted(scores(se.term_search(index, "a", "one"))) == [0, 1]
+
+
+def test_a_field_without_words(spark):
+    docs = spark.createDataFrame([(1, "the", "x")], "doc_id int, a string, b string")
+    index = fl.build_index(fl.fields_of_columns(docs, "doc_id", a="a", b="b"))
+    assert scores(se.term_search(index, "a", "the")) == {}
+    stats = {r.field: (r.n_docs, r.avg_len) for r in fl.field_stats(index).collect()}
+    assert stats == {"a": (0, None), "b": (1, 1.0)}
+
+
 def test_other_analyzers(spark):
     docs = spark.createDataFrame([(1, "well-known don't")], "doc_id int, a string")
     index = fl.build_index(fl.fields_of_columns(docs, "doc_id", a="a"), analyzer=words_clean)
