@@ -12,17 +12,38 @@ from ..plans.blocks import BLOCK, block_of
 from ..plans.scratch import path_has_table
 
 
+STEM_PIECE = 1024
+
+
 def clean_stems(text: Column) -> Column:
     """The index tokenizer: cleaned words, stemmed."""
     return stem_words(words_clean(text))
 
 
 def positioned_tokens(
-    docs: DataFrame, tokenizer: Callable[[Column], Column] = clean_stems
+    docs: DataFrame,
+    tokenizer: Callable[[Column], Column] = words_clean,
+    stemmed: bool = True,
 ) -> DataFrame:
-    """``(doc_id, pos, term)`` with 1-based positions."""
-    words = docs.select("doc_id", tokenizer(F.col("text")).alias("words"))
-    return explode_words(words, F.col("words"), "doc_id")
+    """``(doc_id, pos, term)`` with 1-based positions.
+
+    Stems are computed over pieces of at most :data:`STEM_PIECE` words, which bounds the
+    Arrow batches however long the documents are.
+    """
+    words = docs.where(F.col("text").isNotNull()).select(
+        "doc_id", tokenizer(F.col("text")).alias("words")
+    )
+    if not stemmed:
+        return explode_words(words, F.col("words"), "doc_id")
+    starts = F.sequence(F.lit(1), F.size("words") + 1, F.lit(STEM_PIECE))
+    pieces = F.transform(starts, lambda start: F.slice("words", start, STEM_PIECE))
+    stems = words.select("doc_id", F.posexplode(pieces).alias("piece", "words")).select(
+        "doc_id", "piece", stem_words(F.col("words")).alias("words")
+    )
+    exploded = stems.select("doc_id", "piece", F.posexplode_outer("words").alias("at", "term"))
+    return exploded.where(F.col("term").isNotNull()).select(
+        "doc_id", (F.col("piece") * STEM_PIECE + F.col("at") + 1).alias("pos"), "term"
+    )
 
 
 def position_lines(

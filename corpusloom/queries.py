@@ -6,6 +6,7 @@ Each function takes ``(spark, sf_dir)`` and returns a DataFrame over whole table
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,7 @@ from .operators.tables import write_frequency_tables
 from .plans.parallelism import spread_small_scan
 from .plans.ranking import display_scores, top_k, top_k_per_query
 from .plans.scratch import scratch_path
+from .session import ship_package
 from .sources import bibliography
 from .sources.corpus import from_table, read_corpus, read_corpus_lines
 from .streaming.incremental import corpus_stream
@@ -27,7 +29,12 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(run: Query) -> Query:
-    _QUERIES[run.__name__] = run
+    @wraps(run)
+    def with_package(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    _QUERIES[run.__name__] = with_package
     return run
 
 
@@ -44,7 +51,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.positioned_tokens(_docs(spark, sf_dir), words_clean)
+    return postings.positioned_tokens(_docs(spark, sf_dir), stemmed=False)
 
 
 def _text_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:

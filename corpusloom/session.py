@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -30,4 +34,27 @@ def build_session(
     chosen = DEFAULTS | {key.replace("__", "."): str(val) for key, val in settings.items()}
     for key, value in chosen.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed where the package is not installed on the executors; the archive is handed to
+    Spark on the driver, which distributes it.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted(package.rglob("*.py")):
+            packed.write(module, module.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)

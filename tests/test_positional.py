@@ -4,7 +4,6 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import words_clean
 from corpusloom.operators import postings as po
 from corpusloom.operators import proximity as px
 from corpusloom.plans import joins
@@ -16,7 +15,7 @@ def small_blocks(monkeypatch):
 
 
 def tokens(docs_of, *texts):
-    return po.positioned_tokens(docs_of(*texts), words_clean)
+    return po.positioned_tokens(docs_of(*texts), stemmed=False)
 
 
 @pytest.mark.parametrize(
@@ -169,3 +168,13 @@ def test_query_texts(spark):
         frame = spark.createDataFrame([(1, bad)], "query_id int, text string")
         with pytest.raises(Exception, match="not a position query"):
             px.position_queries(frame).collect()
+
+
+def test_stemming_in_pieces(docs_of, monkeypatch):
+    monkeypatch.setattr(po, "STEM_PIECE", 3)
+    texts = ["cats ran to dogs running cats", "", "a b c", "walks"]
+    got = sorted(map(tuple, po.positioned_tokens(docs_of(*texts)).collect()))
+    stems = ["cat ran to dog run cat", "", "a b c", "walk"]
+    assert got == [
+        (doc, i + 1, w) for doc, text in enumerate(stems) for i, w in enumerate(text.split())
+    ]
