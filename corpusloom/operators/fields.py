@@ -9,8 +9,8 @@ Documents with named, possibly repeated text fields are rows
 ``vocabulary``  ``(field, term, df)``
 ``lengths``     ``(field, n_docs, total)`` over documents with at least one word
 
-A fourth, ``docs``, lists the ids. All are sums over documents, so a stored index is a set
-of batches, added up when it is opened.
+A fourth, ``docs``, holds ``(doc_id, field, length)``. All are sums over documents, so a
+stored index is a set of batches, added up when it is opened.
 """
 
 from __future__ import annotations
@@ -80,14 +80,17 @@ def field_tokens(
     )
 
 
-def field_lengths(
+def document_lengths(
     fields: DataFrame, analyzer: Callable[[Column], Column] = words_standard
 ) -> DataFrame:
-    """``(field, n_docs, total)``, computed per row before the only shuffle."""
-    return (
-        _analyzed(fields, analyzer)
-        .groupBy("field")
-        .agg(F.count_if(F.col("length") > 0).alias("n_docs"), F.sum("length").alias("total"))
+    """``(doc_id, field, length)``, one row per document and field, without a shuffle."""
+    return _analyzed(fields, analyzer).select("doc_id", "field", "length")
+
+
+def field_lengths(lengths: DataFrame) -> DataFrame:
+    """``(field, n_docs, total)`` of document lengths; documents without a word don't count."""
+    return lengths.groupBy("field").agg(
+        F.count_if(F.col("length") > 0).alias("n_docs"), F.sum("length").alias("total")
     )
 
 
@@ -132,7 +135,7 @@ def build_index(
         docs=fields.select("doc_id").distinct(),
         postings=postings_of_tokens(field_tokens(fields, analyzer)),
         vocabulary=field_vocabulary(fields, analyzer),
-        lengths=field_lengths(fields, analyzer),
+        lengths=field_lengths(document_lengths(fields, analyzer)),
     )
 
 
@@ -167,7 +170,7 @@ def open_index(spark: SparkSession, path: str) -> FieldIndex:
         for name in ("docs", "postings", "vocabulary")
     )
     return FieldIndex(
-        docs=docs,
+        docs=docs.select("doc_id").distinct(),
         postings=postings,
         vocabulary=vocabulary.groupBy("field", "term").agg(F.sum("df").alias("df")),
         lengths=spark.read.parquet(_table(path, "lengths")).drop("batch"),
@@ -194,9 +197,9 @@ def write_index(
 
     Each call writes a batch folder in every table and lists it in ``lengths`` last. Until
     then readers see the index as it was, and a batch left unfinished is written over by
-    the next call. Batches that ``overwrite`` replaces are emptied afterwards. An append
-    may name its ``batch``; one that is already listed is not written again, so that a
-    repeated delivery does no harm.
+    the next call. Batches that ``overwrite`` replaces are emptied afterwards. ``create``
+    and ``append`` may name their ``batch``; an append of one that is already listed writes
+    nothing, so that a repeated delivery does no harm.
     """
     spark = fields.sparkSession
     if mode not in ("create", "overwrite", "append", "read"):
@@ -209,9 +212,7 @@ def write_index(
     earlier = _batches(spark, path) if exists else []
     if mode == "append" and batch in earlier:
         return open_index(spark, path)
-    if fields.isEmpty():
-        raise ValueError("no documents to index")
-    if mode != "append" or batch is None:
+    if batch is None or mode == "overwrite":
         batch = max(earlier, default=-1) + 1
 
     def save(df: DataFrame, table: str, number: int = batch) -> DataFrame:
@@ -220,12 +221,14 @@ def write_index(
         return spark.read.parquet(folder)
 
     if mode == "append" and dict(fields.dtypes)["doc_id"] in ("int", "bigint"):
-        stored = open_index(spark, path).docs
+        stored = spark.read.parquet(_table(path, "docs")).where(F.col("batch").isin(earlier))
         next_id = stored.agg(F.coalesce(F.max("doc_id"), F.lit(-1)) + 1).first()[0]
         moved = (F.col("doc_id") + F.lit(next_id)).cast(fields.schema["doc_id"].dataType)
         fields = fields.withColumn("doc_id", moved)
 
-    new = build_index(fields, analyzer)
+    docs = save(document_lengths(fields, analyzer), "docs")
+    if docs.isEmpty():
+        raise ValueError("no documents to index")
     # Ranges of the grouping keys: grouped and ordered in place after a single shuffle,
     # and a term that is in every document fills many ranges.
     keys = ["field", "term", "doc_id", "length"]
@@ -234,10 +237,10 @@ def write_index(
     # Counted from the stored postings, which are sorted by term: nearly all of the
     # counting happens before the shuffle.
     vocabulary = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
-    save(vocabulary.repartitionByRange("field", "term").sortWithinPartitions("field", "term"), "vocabulary")
-    save(new.docs, "docs")
+    by_term = vocabulary.repartitionByRange("field", "term")
+    save(by_term.sortWithinPartitions("field", "term"), "vocabulary")
     listing = "append" if mode == "append" else "overwrite"
-    new.lengths.coalesce(1).withColumn("batch", F.lit(batch)).write.mode(listing).parquet(
+    field_lengths(docs).coalesce(1).withColumn("batch", F.lit(batch)).write.mode(listing).parquet(
         _table(path, "lengths")
     )
     if mode == "overwrite":

@@ -11,7 +11,7 @@ from ..functions.text import explode_words, word_ngrams, words_alpha
 from ..plans.blocks import with_lookahead
 from ..plans.ranking import first_seen
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
+PIECE = 4096
 
 Tokenizer = Callable[[Column], Column]
 
@@ -19,21 +19,25 @@ Tokenizer = Callable[[Column], Column]
 def letter_counts(docs: DataFrame) -> DataFrame:
     """``(letter, n)`` for a..z, zeros included, case folded, over the raw text.
 
-    Each document yields 26 lengths, summed before the shuffle: one small row per task
-    crosses the network, and no character is ever exploded into a row.
+    Texts are cut into pieces before they are split into characters, which bounds the
+    arrays however long a document is. The characters are counted where they are read:
+    each task sends at most 26 rows.
     """
-    lowered = docs.select(F.lower("text").alias("text"))
-    size = F.octet_length("text")
-    sums = lowered.agg(
-        *[
-            F.coalesce(
-                F.sum(size - F.octet_length(F.replace("text", F.lit(c), F.lit("")))), F.lit(0)
-            ).alias(c)
-            for c in LETTERS
-        ]
+    pieces = F.regexp_extract_all(F.lower("text"), F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    characters = docs.select(F.explode(pieces).alias("piece")).select(
+        F.explode(F.split("piece", "")).alias("letter")
+    )
+    counted = (
+        characters.where(F.col("letter").between("a", "z"))
+        .groupBy("letter")
+        .agg(F.count("*").alias("n"))
+    )
+    first = F.ascii(F.lit("a"))
+    alphabet = docs.sparkSession.range(26).select(F.char(F.col("id") + first).alias("letter"))
+    # At most 26 rows on either side.
+    return alphabet.join(F.broadcast(counted), "letter", "left").select(
+        "letter", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
-    pairs = [F.struct(F.lit(c).alias("letter"), F.col(c).alias("n")) for c in LETTERS]
-    return sums.select(F.inline(F.array(*pairs)))
 
 
 def ngrams(docs: DataFrame, n: int, tokenizer: Tokenizer = words_alpha, *keep: str) -> DataFrame:

@@ -286,7 +286,6 @@ AND doc_id NOT IN (SELECT doc_id FROM post WHERE term = 'ing') GROUP BY doc_id""
         "boolean_search_optional": f"""WITH {_TEXT}, {_SCORED}
 SELECT doc_id, round(sum(s), 6) AS score FROM sc WHERE term IN ({_terms('thor', 'que')})
 AND doc_id NOT IN (SELECT doc_id FROM post WHERE term = 'de') GROUP BY doc_id""",
-        "boolean_search_only_excluded": """SELECT doc_id, CAST(1.0 AS DOUBLE) AS score FROM documents WHERE false""",
         "phrase_search": _phrases([(0, "de"), (1, "la")]),
         "phrase_search_gap": _phrases([(0, "from"), (2, "er")]),
         "multi_phrase_any": f"""WITH {_TEXT}, {_SCORED}

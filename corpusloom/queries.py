@@ -362,11 +362,6 @@ def boolean_search_optional(spark, sf_dir):
     )
 
 
-@_query
-def boolean_search_only_excluded(spark, sf_dir):
-    return _rounded(search.boolean_search(_text_index(spark, sf_dir), "text", must_not="de"))
-
-
 @_query
 def phrase_search(spark, sf_dir):
     return _rounded(search.phrase_search(_text_index(spark, sf_dir), "text", "de la"))

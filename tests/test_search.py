@@ -287,9 +287,10 @@ def test_a_named_batch_is_added_once(spark, tmp_path):
     path = str(tmp_path / "index")
     docs = spark.createDataFrame([("x", "one")], "doc_id string, a string")
     more = spark.createDataFrame([("y", "one")], "doc_id string, a string")
-    fl.write_index(fl.fields_of_columns(docs, "doc_id", a="a"), path)
-    for _ in range(2):
-        index = fl.write_index(fl.fields_of_columns(more, "doc_id", a="a"), path, "append", batch=7)
+    fl.write_index(fl.fields_of_columns(docs, "doc_id", a="a"), path, batch=3)
+    for frame, number in ((docs, 3), (more, 7), (more, 7)):
+        fields = fl.fields_of_columns(frame, "doc_id", a="a")
+        index = fl.write_index(fields, path, "append", batch=number)
     assert sorted(scores(se.term_search(index, "a", "one"))) == ["x", "y"]
     assert fl.field_stats(index).first().n_docs == 2
 
