@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from corpusloom.oracles import all_oracles
+from corpusloom.queries import all_queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -20,10 +22,10 @@ def duck(sf_dir):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", all_queries())
 def test_query(spark, duck, sf_dir, name):
     result = entry_points.queries()[name](spark, sf_dir)
     reference = duck.execute(entry_points.oracle_sql()[name])
