@@ -76,6 +76,26 @@ def _settle(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
         i, j = i[differ], j[differ]
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Sorted batches as tables that never end within a run of equal ``names``."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[name].to_numpy() for name in names]
+        differs = np.flatnonzero(np.logical_or.reduce([c != c[-1] for c in columns]))
+        cut = int(differs[-1]) + 1 if len(differs) else 0
+        if rest and any(rest[-1][name][-1].as_py() != batch[name][0].as_py() for name in names):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        if cut:
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
+            rest = []
+        rest.append(batch.slice(cut))
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
 Near = Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -125,22 +145,8 @@ def bucket_links(
         n = np.r_[np.zeros(len(moved), dtype=np.int64), links[counted]]
         yield pa.record_batch({"a": pa.array(a), "b": b, "n": pa.array(n)})
 
-    def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bucket, tile = batch["bucket"].to_numpy(), batch["tile"].to_numpy()
-            differs = np.flatnonzero((bucket != bucket[-1]) | (tile != tile[-1]))
-            cut = int(differs[-1]) + 1 if len(differs) else 0
-            if rest and (rest[-1]["bucket"][-1], rest[-1]["tile"][-1]) != (batch["bucket"][0], batch["tile"][0]):
-                yield from compare(pa.Table.from_batches(rest))
-                rest = []
-            if cut:
-                yield from compare(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
-                rest = []
-            rest.append(batch.slice(cut))
-        if rest:
-            yield from compare(pa.Table.from_batches(rest))
-
-    return dealt.mapInArrow(whole_runs, "a bigint, b bigint, n bigint")
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in whole_runs(batches, ("bucket", "tile")):
+            yield from compare(held)
+
+    return dealt.mapInArrow(compared, "a bigint, b bigint, n bigint")

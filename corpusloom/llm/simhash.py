@@ -88,9 +88,12 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     A crowded variant is split into tiles (see ``buckets``); nothing is left out.
     """
     python_tasks(prints.sparkSession, 10_000)
+    # A fixed number of tasks: few bytes go in, but every fingerprint becomes some sixty rows.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = (
         prints.select(F.col("fp").alias("id"))
         .distinct()
+        .repartition(tasks)
         .select("id", F.explode(variants(F.col("id"), max_bits)).alias("bucket"))
     )
 
