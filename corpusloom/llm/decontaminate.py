@@ -44,18 +44,16 @@ def test_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
 
 def _document_windows(docs: DataFrame, doc_id: str, text: str, widths: list[int]) -> DataFrame:
     """A row for each window, and one with ``pos`` 0 for each document."""
-    at = [
-        F.when(
-            F.size("words") >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size("words") - (n - 1)),
-                lambda i, n=n: F.struct(
-                    i.alias("pos"), F.lit(n).alias("width"), F.xxhash64(F.slice("words", i, n)).alias("key")
-                ),
+    def of(width: int) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(1), F.size("words") - (width - 1)),
+            lambda i: F.struct(
+                i.alias("pos"), F.lit(width).alias("width"), F.xxhash64(F.slice("words", i, width)).alias("key")
             ),
-        ).otherwise(F.array().cast("array<struct<pos:int,width:int,key:bigint>>"))
-        for n in widths
-    ]
+        )
+        none = F.array().cast("array<struct<pos:int,width:int,key:bigint>>")
+        return F.when(F.size("words") >= width, found).otherwise(none)
+
     whole = F.array(
         F.struct(F.lit(0).alias("pos"), F.lit(0).alias("width"), F.lit(None).cast("bigint").alias("key"))
     )
@@ -65,7 +63,7 @@ def _document_windows(docs: DataFrame, doc_id: str, text: str, widths: list[int]
         words(F.col(text)).alias("words"),
     )
     # The outer form keeps Catalyst from adding a filter that would tokenize again.
-    return tokenized.select("doc", "text_hash", "words", F.inline_outer(F.concat(whole, *at)))
+    return tokenized.select("doc", "text_hash", "words", F.inline_outer(F.concat(whole, *map(of, widths))))
 
 
 def find_hits(

@@ -25,7 +25,7 @@ def committed(path: str) -> Iterator[fs.FileSystem]:
     folder, _, name = place.rpartition("/")
     system.create_dir(folder, recursive=True)
     draft = f"{folder}/_draft-{uuid.uuid4().hex}-{name}"
-    sink = system.open_output_stream(draft)
+    sink = system.open_output_stream(draft, compression=None)
     try:
         yield sink
     except BaseException:
