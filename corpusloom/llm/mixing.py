@@ -131,8 +131,8 @@ def period(parts: DataFrame) -> DataFrame:
     folded = listed.select(
         "sources", F.aggregate(F.sequence(F.lit(0), F.lit(PARTS - 1)), start, step, lambda s: s["picked"]).alias("picked")
     )
-    slots = folded.select("sources", F.inline("picked"))
-    chosen = F.element_at("sources", F.col("number") + 1)
+    slots = folded.select("sources", F.inline("picked")).where(F.col("number").isNotNull())
+    chosen = F.get("sources", F.col("number"))
     return slots.select(
         chosen["source"].alias("source"),
         "nth",

@@ -72,13 +72,19 @@ def apply_batch(spark: SparkSession, store: str, batch: str, changes: DataFrame)
             raise
         if batch in _commits(spark, store):
             return False
-        raise RuntimeError(f"batch {batch} is being committed elsewhere") from error
+        raise RuntimeError(f"batch {batch} is being committed elsewhere; see release()") from error
     system, commit = _folder(spark, f"{store}/commits/{batch}={attempt}")
     system.mkdirs(commit.getParent())
     system.create(commit, False).close()
     return True
 
 
+def release(spark: SparkSession, store: str, batch: str) -> None:
+    """Give up the lock of a driver that was lost while it committed ``batch``."""
+    system, lock = _folder(spark, f"{store}/locks/{batch}")
+    system.delete(lock, False)
+
+
 def totals(spark: SparkSession, store: str) -> DataFrame:
     """``(source, lang, tokenizer, n_docs, n_tokens)``; keys without documents are left out."""
     paths = [f"{store}/changes/{batch}-{attempt}" for batch, attempt in sorted(_commits(spark, store).items())]
