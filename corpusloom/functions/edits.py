@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
@@ -24,9 +26,26 @@ def _distances(terms: pd.Series, target: pd.Series) -> pd.Series:
     return pd.Series([_restricted_distance(a, b) for a, b in zip(terms, target)], dtype="int32")
 
 
+def _swapped(target: str, swaps: int) -> set[str]:
+    """``target`` after so many swaps of neighbours at places that don't touch."""
+    found = {(target, 0)}
+    for _ in range(swaps):
+        found = {
+            (text[:i] + text[i + 1] + text[i] + text[i + 2 :], i + 2)
+            for text, low in found
+            for i in range(low, len(text) - 1)
+        }
+    return {text for text, _ in found}
+
+
 def could_be_within(term: Column, target: str, edits: int) -> Column:
-    """Cheap necessary test: a swap is at most two plain edits."""
-    return F.levenshtein(term, F.lit(target), 2 * edits) >= 0
+    """Necessary test without Python: some swaps of the target, the other edits plain."""
+    tests = [
+        F.levenshtein(term, F.lit(text), edits - swaps) >= 0
+        for swaps in range(edits + 1)
+        for text in sorted(_swapped(target, swaps))
+    ]
+    return reduce(lambda a, b: a | b, tests)
 
 
 def edit_distance(term: Column, target: Column) -> Column:

@@ -3,14 +3,15 @@
 Documents with named, possibly repeated text fields are rows
 ``(doc_id, field, values ARRAY<STRING>)``. The index is three plain tables:
 
-``postings``    ``(field, term, doc_id, length, tf, positions)``; ``length`` is the number
-                of indexed words of that document's field, stored with the posting so
-                that scoring needs no join
+``postings``    ``(batch, field, term, doc_id, length, tf, positions)``; ``length`` is the
+                number of indexed words of that document's field, stored with the posting
+                so that scoring needs no join
 ``vocabulary``  ``(field, term, df)``
 ``lengths``     ``(field, n_docs, total)`` over documents with at least one word
 
 A fourth, ``docs``, holds ``(doc_id, field, length)``. All are sums over documents, so a
-stored index is a set of batches, added up when it is opened.
+stored index is a set of batches, added up when it is opened. A document is known by its
+batch and id: ids need only be unique within a batch.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import STOP_WORDS, drop_stop_words, words_standard
-from ..plans.scratch import path_has_table
+
+
+DOCUMENT = ["batch", "doc_id"]
 
 
 @dataclass(frozen=True)
@@ -131,9 +134,10 @@ def build_index(
     fields: DataFrame, analyzer: Callable[[Column], Column] = words_standard
 ) -> FieldIndex:
     """Index as lazy frames over ``fields``; see :func:`write_index` to store it."""
+    only = F.lit(0).alias("batch")
     return FieldIndex(
-        docs=fields.select("doc_id").distinct(),
-        postings=postings_of_tokens(field_tokens(fields, analyzer)),
+        docs=fields.select(only, "doc_id").distinct(),
+        postings=postings_of_tokens(field_tokens(fields, analyzer)).select(only, "*"),
         vocabulary=field_vocabulary(fields, analyzer),
         lengths=field_lengths(document_lengths(fields, analyzer)),
     )
@@ -150,13 +154,34 @@ def _table(path: str, name: str) -> str:
     return f"{path.rstrip('/')}/{name}"
 
 
+def _version(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest complete listing: a folder of ``lengths`` for each overwrite."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_table(path, "lengths"))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return None
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    names = [f.getPath().getName() for f in system.listStatus(folder)]
+    complete = [
+        int(name.removeprefix("version="))
+        for name in names
+        if name.startswith("version=") and system.exists(hadoop(folder, f"{name}/_SUCCESS"))
+    ]
+    return max(complete, default=None)
+
+
 def index_exists(spark: SparkSession, path: str) -> bool:
-    return path_has_table(spark, _table(path, "lengths"))
+    return _version(spark, path) is not None
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """``(batch, stream, delivery, field, n_docs, total)`` of the index as it is now."""
+    return spark.read.parquet(_table(path, f"lengths/version={_version(spark, path)}"))
 
 
 def _batches(spark: SparkSession, path: str) -> list[int]:
-    """Batches listed in ``lengths``; one row per batch and field, so a small table."""
-    listed = spark.read.parquet(_table(path, "lengths")).select("batch").distinct()
+    """Listed batches; the listing has one row per batch and field, so it is a small table."""
+    listed = _listing(spark, path).select("batch").distinct()
     return sorted(row["batch"] for row in listed.collect())
 
 
@@ -166,14 +191,14 @@ def open_index(spark: SparkSession, path: str) -> FieldIndex:
         raise FileNotFoundError(f"no index at {path}")
     complete = F.col("batch").isin(_batches(spark, path))
     docs, postings, vocabulary = (
-        spark.read.parquet(_table(path, name)).where(complete).drop("batch")
+        spark.read.parquet(_table(path, name)).where(complete)
         for name in ("docs", "postings", "vocabulary")
     )
     return FieldIndex(
-        docs=docs.select("doc_id").distinct(),
+        docs=docs.select(*DOCUMENT).distinct(),
         postings=postings,
         vocabulary=vocabulary.groupBy("field", "term").agg(F.sum("df").alias("df")),
-        lengths=spark.read.parquet(_table(path, "lengths")).drop("batch"),
+        lengths=_listing(spark, path).select("field", "n_docs", "total"),
         saved=True,
     )
 
@@ -183,23 +208,24 @@ def write_index(
     path: str,
     mode: str = "create",
     analyzer: Callable[[Column], Column] = words_standard,
-    batch: int | None = None,
+    delivery: tuple[str, int] | None = None,
 ) -> FieldIndex:
     """Write the index of ``fields`` and open it.
 
     ``create``     writes only if there is no index yet
     ``overwrite``  replaces an index
-    ``append``     adds the documents, repeated ones too; numeric ids are moved past the
-                   largest one stored, so every appended document is a new one
+    ``append``     adds the documents, repeated ones too; int and bigint ids are moved past
+                   the largest one stored; others stay, and are told apart by their batch
     ``read``       writes nothing
 
     ``append`` and ``read`` raise if there is no index; an empty corpus raises.
 
     Each call writes a batch folder in every table and lists it in ``lengths`` last. Until
     then readers see the index as it was, and a batch left unfinished is written over by
-    the next call. Batches that ``overwrite`` replaces are emptied afterwards. ``create``
-    and ``append`` may name their ``batch``; an append of one that is already listed writes
-    nothing, so that a repeated delivery does no harm.
+    the next call. ``overwrite`` begins a new listing beside the old one, which counts until
+    the new one is complete; the batches it replaces are emptied afterwards. A
+    ``delivery``, the name and number of what a stream sends, is listed with its batch;
+    one that is already listed writes nothing, so that sending it again does no harm.
     """
     spark = fields.sparkSession
     if mode not in ("create", "overwrite", "append", "read"):
@@ -209,11 +235,13 @@ def write_index(
         raise FileNotFoundError(f"no index at {path}")
     if mode == "read" or (mode == "create" and exists):
         return open_index(spark, path)
+    version = _version(spark, path) if exists else -1
     earlier = _batches(spark, path) if exists else []
-    if mode == "append" and batch in earlier:
-        return open_index(spark, path)
-    if batch is None or mode == "overwrite":
-        batch = max(earlier, default=-1) + 1
+    if mode == "append" and delivery is not None:
+        sent = (F.col("stream") == delivery[0]) & (F.col("delivery") == delivery[1])
+        if not _listing(spark, path).where(sent).isEmpty():
+            return open_index(spark, path)
+    batch = max(earlier, default=-1) + 1
 
     def save(df: DataFrame, table: str, number: int = batch) -> DataFrame:
         folder = f"{_table(path, table)}/batch={number}"
@@ -239,10 +267,16 @@ def write_index(
     vocabulary = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
     by_term = vocabulary.repartitionByRange("field", "term")
     save(by_term.sortWithinPartitions("field", "term"), "vocabulary")
-    listing = "append" if mode == "append" else "overwrite"
-    field_lengths(docs).coalesce(1).withColumn("batch", F.lit(batch)).write.mode(listing).parquet(
-        _table(path, "lengths")
-    )
+    stream, number = delivery or (None, None)
+    listed = field_lengths(docs).coalesce(1).select(
+        F.lit(batch).alias("batch"),
+        F.lit(stream).cast("string").alias("stream"),
+        F.lit(number).cast("bigint").alias("delivery"),
+        "field", "n_docs", "total",
+    )
+    if mode != "append":
+        version += 1
+    listed.write.mode("append").parquet(_table(path, f"lengths/version={version}"))
     if mode == "overwrite":
         for number in earlier:
             for table in ("postings", "vocabulary", "docs"):

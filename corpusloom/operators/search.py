@@ -11,6 +11,7 @@ and disjunction queries go through the analyzer first.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
@@ -21,10 +22,9 @@ from ..functions.edits import could_be_within, edit_distance
 from ..functions.scoring import bm25, bm25_idf, bm25_tf
 from ..functions.text import STOP_WORDS, drop_stop_words, words_standard
 from ..plans.joins import fits_broadcast, join_on_small
-from .fields import FieldIndex
+from .fields import DOCUMENT, FieldIndex
 
 MAX_LISTED_TERMS = 1024
-MAX_EXPANSIONS = 50
 
 
 # --- helpers ------------------------------------------------------------------------
@@ -80,11 +80,11 @@ def _term_scores(index: FieldIndex, field: str, terms: Sequence[str]) -> DataFra
         stats["avg_length"],
     )
     found = _of_field(index, field).where(F.col("term").isin(list(terms)))
-    return found.select("doc_id", "term", score.alias("score"))
+    return found.select(*DOCUMENT, "term", score.alias("score"))
 
 
 def _constant(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id").distinct().select("doc_id", F.lit(1.0).alias("score"))
+    return rows.select(*DOCUMENT).distinct().select("doc_id", F.lit(1.0).alias("score"))
 
 
 def _matching_terms(index: FieldIndex, field: str, matches: Column) -> DataFrame:
@@ -151,30 +151,46 @@ def wildcard_search(index: FieldIndex, field: str, pattern: str) -> DataFrame:
     return _constant(_matching_terms(index, field, matches))
 
 
+def lowered_pattern(pattern: str) -> str:
+    """The pattern with its literal letters lowercased.
+
+    Escapes (``\\D``, ``\\p{Lu}``) and what opens a group (``(?U)``, ``(?<Name>``) stay as they are,
+    text between ``\\Q`` and ``\\E`` is literal.
+    """
+    piece = r"\\Q(.*?)(?:\\E|\Z)|\\[pP]\{[^}]*\}|\\k<[^>]*>|\\.|\(\?(?:<\w+>|[a-zA-Z-]*)|[^\\(]+|\("
+    out = ""
+    for match in re.finditer(piece, pattern, re.DOTALL):
+        if match[1] is not None:
+            out += rf"\Q{match[1].lower()}\E"
+        else:
+            out += match[0] if match[0][0] in "\\(" else match[0].lower()
+    return out
+
+
 def regex_search(index: FieldIndex, field: str, pattern: str) -> DataFrame:
-    """Terms that match a whole regular expression, in Java syntax."""
-    matches = F.col("term").rlike(rf"\A(?:{pattern.lower()})\z")
+    """Terms that match a whole regular expression, in Java syntax; literals in lower case."""
+    matches = F.col("term").rlike(rf"\A(?:{lowered_pattern(pattern)})\z")
     return _constant(_matching_terms(index, field, matches))
 
 
 def similar_terms(
-    vocabulary: DataFrame, term: str, max_edits: int = 2, max_expansions: int = MAX_EXPANSIONS
+    vocabulary: DataFrame, term: str, max_edits: int = 2, max_expansions: int | None = None
 ) -> DataFrame:
-    """``(term, df, edits, similarity)``: the closest vocabulary terms, best first.
+    """``(term, df, edits, similarity)``: the vocabulary terms within ``max_edits``.
 
-    Similarity is 1 - edits / length of the shorter word and must be positive. At most
-    ``max_expansions`` terms are kept, ties in term order.
+    Similarity is 1 - edits / length of the shorter word and must be positive. With
+    ``max_expansions`` only so many of the closest are kept, ties in term order.
     """
     target = term.lower()
     survivors = vocabulary.where(could_be_within(F.col("term"), target, max_edits))
     measured = survivors.withColumn("edits", edit_distance(F.col("term"), F.lit(target)))
     shorter = F.least(F.length("term"), F.lit(len(target)))
-    close = measured.withColumn("similarity", 1 - F.col("edits") / shorter)
-    return (
-        close.where((F.col("edits") <= max_edits) & (F.col("similarity") > 0))
-        .orderBy(F.desc("similarity"), "term")
-        .limit(max_expansions)
+    close = measured.withColumn("similarity", 1 - F.col("edits") / shorter).where(
+        (F.col("edits") <= max_edits) & (F.col("similarity") > 0)
     )
+    if max_expansions is None:
+        return close
+    return close.orderBy(F.desc("similarity"), "term").limit(max_expansions)
 
 
 def fuzzy_search(
@@ -182,28 +198,36 @@ def fuzzy_search(
     field: str,
     term: str,
     max_edits: int = 2,
-    max_expansions: int = MAX_EXPANSIONS,
+    max_expansions: int | None = None,
 ) -> DataFrame:
     """Documents with a term at most ``max_edits`` edits away, swaps included.
 
     Each expanded term adds BM25 times its similarity. All expansions share the highest
     document frequency among them, so that a rare misspelling does not outrank the word.
+    Few expansions are listed in the postings filter, which then skips row groups; more are
+    joined. Both ways give the same rows.
     """
     vocabulary = index.vocabulary.where(F.col("field") == field).select("term", "df")
-    # At most max_expansions rows, whatever the corpus: listed in the postings filter.
-    expansions = similar_terms(vocabulary, term, max_edits, max_expansions).collect()
-    if not expansions:
+    similar = similar_terms(vocabulary, term, max_edits, max_expansions)
+    few = similar.limit(MAX_LISTED_TERMS + 1).collect()
+    postings = _of_field(index, field)
+    if not few:
         return match_all(index).where(F.lit(False))
-    similarity = F.create_map(
-        *[F.lit(x) for row in expansions for x in (row["term"], row["similarity"])]
-    )
-    shared_df = F.lit(max(row["df"] for row in expansions))
+    if len(few) <= MAX_LISTED_TERMS:
+        pairs = [F.lit(x) for row in few for x in (row["term"], row["similarity"])]
+        found = postings.where(F.col("term").isin([row["term"] for row in few])).withColumn(
+            "similarity", F.element_at(F.create_map(*pairs), F.col("term"))
+        )
+        shared_df = F.lit(max(row["df"] for row in few))
+    else:
+        wanted = similar.select("term", "similarity")
+        found = join_on_small(postings, wanted, ["term"], salt_by=["doc_id"])
+        shared_df = similar.agg(F.max("df")).scalar()
     stats = index.stats(field)
-    weight = F.element_at(similarity, F.col("term")) * bm25(
+    weight = F.col("similarity") * bm25(
         F.col("tf"), F.col("length"), shared_df, stats["n_docs"], stats["avg_length"]
     )
-    found = _of_field(index, field).where(F.col("term").isin([row["term"] for row in expansions]))
-    return _hits(found.groupBy("doc_id").agg(F.sum(weight).alias("score")))
+    return _hits(found.groupBy(*DOCUMENT).agg(F.sum(weight).alias("score")))
 
 
 # --- combinations ----------------------------------------------------------------------
@@ -233,7 +257,7 @@ def boolean_search(
     for count in sorted(set(weights.values())):
         same = [t for t, c in weights.items() if c == count]
         weight = F.when(term.isin(same), count).otherwise(weight)
-    per_doc = scored.groupBy("doc_id").agg(
+    per_doc = scored.groupBy(*DOCUMENT).agg(
         F.count_if(term.isin(sorted(set(required)))).alias("n_required"),
         F.count_if(term.isin(sorted(set(excluded)))).alias("n_excluded"),
         F.count_if(term.isin(sorted(weights))).alias("n_positive"),
@@ -275,7 +299,7 @@ def _phrase_scores(
     together = (
         _of_field(index, field)
         .where(F.col("term").isin(terms))
-        .groupBy("doc_id", "length")
+        .groupBy(*DOCUMENT, "length")
         .agg(*[F.max(F.when(F.col("term") == t, F.col("positions"))).alias(slot[t]) for t in terms])
     )
     together = together.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in slot.values()]))
@@ -361,8 +385,8 @@ def disjunction_search(
             score = F.when(F.col("term") == term, score * count).otherwise(score)
     found = index.postings.where(
         F.col("field").isin(fields) & F.col("term").isin(list(terms))
-    ).select("doc_id", "field", score.alias("score"))
-    per_doc = found.groupBy("doc_id").agg(
+    ).select(*DOCUMENT, "field", score.alias("score"))
+    per_doc = found.groupBy(*DOCUMENT).agg(
         *[
             F.coalesce(F.sum(F.when(F.col("field") == f, F.col("score"))), F.lit(0.0)).alias(f"s{i}")
             for i, f in enumerate(fields)
@@ -374,7 +398,7 @@ def disjunction_search(
     return _hits(per_doc.select("doc_id", (best + F.lit(float(multiplier)) * rest).alias("score")))
 
 
-# --- query type by name, batches, totals -------------------------------------------------
+# --- fixed values: query types by name ---------------------------------------------------
 SEARCHES: dict[str, Callable[..., DataFrame]] = {
     "term": term_search,
     "wildcard": wildcard_search,
@@ -388,6 +412,7 @@ SEARCHES: dict[str, Callable[..., DataFrame]] = {
     "termrange": range_search,
     "disjunction": disjunction_search,
 }
+# --- batches, totals -----------------------------------------------------------------------
 
 
 def search(index: FieldIndex, query_type: str, *args, **options) -> DataFrame:
@@ -438,7 +463,8 @@ def any_words_batch(
     score = F.col("weight") * bm25(
         F.col("tf"), F.col("length"), F.col("df"), stats["n_docs"], stats["avg_length"]
     )
-    return found.groupBy("query_id", "doc_id").agg(F.sum(score).alias("score"))
+    summed = found.groupBy("query_id", *DOCUMENT).agg(F.sum(score).alias("score"))
+    return summed.select("query_id", "doc_id", "score")
 
 
 def total_hits_batch(hits: DataFrame, query: str = "query_id") -> DataFrame:

@@ -6,7 +6,7 @@ Each function takes ``(spark, sf_dir)`` and returns a DataFrame over whole table
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -54,16 +54,31 @@ def _clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.positioned_tokens(_docs(spark, sf_dir), stemmed=False)
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
+    """Path of what ``write`` has stored, once for each application and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def _text_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:
-    docs = _docs(spark, sf_dir)
-    return fielded.build_index(fielded.fields_of_columns(docs, "doc_id", text="text"))
+    """The stored index of the documents, written by the first query that asks for it."""
+    fields = fielded.fields_of_columns(_docs(spark, sf_dir), "doc_id", text="text")
+    path = _stored(spark, sf_dir, "text-index", lambda path: fielded.write_index(fields, path))
+    return fielded.open_index(spark, path)
 
 
 def _part_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:
     part = spread_small_scan(_table(spark, sf_dir, "part"))
-    return fielded.build_index(
-        fielded.fields_of_columns(part, "p_partkey", name="p_name", type="p_type")
-    )
+    fields = fielded.fields_of_columns(part, "p_partkey", name="p_name", type="p_type")
+    path = _stored(spark, sf_dir, "part-index", lambda path: fielded.write_index(fields, path))
+    return fielded.open_index(spark, path)
 
 
 def _rounded(hits: DataFrame) -> DataFrame:
@@ -124,18 +139,13 @@ def unigrams_ranked(spark, sf_dir):
 
 
 @_query
-def unigrams_ranked_top(spark, sf_dir):
-    return _ranked(spark, sf_dir, 1).limit(100)
+def bigrams_ranked(spark, sf_dir):
+    return _ranked(spark, sf_dir, 2)
 
 
 @_query
-def bigrams_ranked_top(spark, sf_dir):
-    return _ranked(spark, sf_dir, 2).limit(100)
-
-
-@_query
-def trigrams_ranked_top(spark, sf_dir):
-    return _ranked(spark, sf_dir, 3).limit(100)
+def trigrams_ranked(spark, sf_dir):
+    return _ranked(spark, sf_dir, 3)
 
 
 @_query
@@ -161,14 +171,14 @@ def frequency_files(spark, sf_dir):
     """The CSV frequency tables, written and read back."""
     out = scratch_path(spark, "frequency")
     write_frequency_tables(_docs(spark, sf_dir), out)
-    names = {"uni": 1, "bi_dat": 2, "tri_dat": 3}
+    names = ["uni", "uni_alpha", "bi_dat", "bii_alpha", "tri_dat", "tii_alpha", "letters"]
     parts = [
         spark.read.schema("ngram string, n bigint")
-        .option("lineSep", "\r\n").csv(f"{out}/{name}")
-        .select(F.lit(size).alias("size"), "ngram", "n")
-        for name, size in names.items()
+        .option("lineSep", "\n" if name == "letters" else "\r\n").csv(f"{out}/{name}")
+        .select(F.lit(name).alias("name"), "ngram", "n")
+        for name in names
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _corpus_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -288,31 +298,56 @@ def proximity_documents(spark, sf_dir):
     return proximity.positions_per_document(found).select("doc_id", _joined("positions"))
 
 
-@_query
-def proximity_batch(spark, sf_dir):
-    """First and third word of every benchmark item, at distances 0 to 5."""
-    items = _table(spark, sf_dir, "benchmark")
-    words = items.select("item_id", words_clean(F.col("text")).alias("w"))
-    queries = words.select(
-        F.col("item_id").alias("query_id"),
-        F.get("w", F.lit(0)).alias("w1"),
+def _item_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of a benchmark item with the next but one, at distances 0 to 5."""
+    words = _table(spark, sf_dir, "benchmark").select("item_id", words_clean(F.col("text")).alias("w"))
+    placed = words.select("item_id", "w", F.posexplode("w").alias("at", "w1"))
+    return placed.where(F.col("at") + 2 < F.size("w")).select(
+        F.concat_ws("-", "item_id", "at").alias("query_id"),
+        "w1",
         F.pmod("item_id", F.lit(6)).cast("int").alias("max_dist"),
-        F.get("w", F.lit(2)).alias("w2"),
+        F.get("w", F.col("at") + 2).alias("w2"),
+    )
+
+
+def _matches_per_query(found: DataFrame) -> DataFrame:
+    return found.groupBy("query_id").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("doc_id").alias("n_docs"),
+        F.sum(F.col("doc_id") * 31 + F.col("pos")).cast("bigint").alias("places"),
     )
-    return proximity.proximity_batch(_clean_tokens(spark, sf_dir), queries)
+
+
+@_query
+def proximity_batch(spark, sf_dir):
+    """Every pair of words one apart in a benchmark item, with sums over the matches."""
+    queries = _item_pairs(spark, sf_dir)
+    return _matches_per_query(proximity.proximity_batch(_clean_tokens(spark, sf_dir), queries))
+
+
+def _position_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slash = F.concat(F.lit(" /"), F.col("max_dist").cast("string"), F.lit(" "))
+    return _item_pairs(spark, sf_dir).select("query_id", F.concat("w1", slash, "w2").alias("text"))
 
 
 @_query
 def position_queries(spark, sf_dir):
     """Query texts ``word /n word`` made from every benchmark item, read into columns."""
-    words = _table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"), words_clean(F.col("text")).alias("w")
+    return proximity.position_queries(_position_texts(spark, sf_dir))
+
+
+@_query
+def position_queries_run(spark, sf_dir):
+    """The same texts, stemmed, run over the positions of the saved, stemmed postings."""
+    index = postings.ensure_postings(
+        spark,
+        _stored(spark, sf_dir, "stemmed-postings", lambda path: None),
+        lambda: postings.positioned_tokens(_docs(spark, sf_dir)),
     )
-    slash = F.concat(F.lit(" /"), F.pmod("query_id", F.lit(6)).cast("string"), F.lit(" "))
-    texts = words.select(
-        "query_id", F.concat(F.get("w", F.lit(0)), slash, F.get("w", F.lit(2))).alias("text")
+    queries = proximity.position_queries(_position_texts(spark, sf_dir))
+    return _matches_per_query(
+        proximity.proximity_batch(postings.postings_positions(index), queries)
     )
-    return proximity.position_queries(texts)
 
 
 # --- fielded search -----------------------------------------------------------------------
@@ -482,8 +517,7 @@ def saved_index_search(spark, sf_dir):
     index = fielded.write_index(
         fielded.fields_of_columns(documents.where(~english), "doc_id", **columns), path, "append"
     )
-    scores = _rounded(search.boolean_search(index, "text", should="de from er"))
-    return scores.select("score")
+    return _rounded(search.boolean_search(index, "text", should="de from er"))
 
 
 # --- bibliography ---------------------------------------------------------------------------
@@ -547,9 +581,13 @@ def bib_bad_entries(spark, sf_dir):
 def entry_keys(spark, sf_dir):
     """Keys of parts: customer of the same number as author, size as year, name as title."""
     part, customer = (_table(spark, sf_dir, name) for name in ("part", "customer"))
-    authored = part.join(customer, part.p_partkey == customer.c_custkey).select(
+    authored = part.join(customer, part.p_partkey == customer.c_custkey, "left").select(
         "p_partkey",
-        F.concat("c_mktsegment", F.lit(", "), "c_name").alias("author"),
+        # Parts without a customer have an editor; every seventh brand has neither.
+        F.coalesce(
+            F.concat("c_mktsegment", F.lit(", "), "c_name"),
+            F.when(~F.col("p_brand").endswith("7"), F.concat("p_brand", F.lit(" Editor"))),
+        ).alias("author"),
         F.concat("p_name", F.lit(" "), "p_brand", F.lit(": "), "p_type").alias("title"),
         F.col("p_size").cast("string").alias("year"),
     )

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.fields import fields_of_columns, write_index, index_exists
-from ..operators.frequency import ngram_counts
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -37,11 +36,6 @@ def corpus_stream(
     )
 
 
-def ngram_count_stream(docs: DataFrame, n: int) -> DataFrame:
-    """Running ``(ngram, n)``; write it in complete or update mode."""
-    return ngram_counts(docs, n)
-
-
 def index_stream(
     docs: DataFrame,
     path: str,
@@ -51,13 +45,16 @@ def index_stream(
 ) -> DataStreamWriter:
     """Writer that appends every micro-batch to a stored index.
 
-    The micro-batch number names the index batch, so one that is delivered again after
-    a failure is not added twice.
+    Every micro-batch is listed with the id of its query, which a restart from the same
+    checkpoint keeps, and its number there: one that is delivered again after a failure is
+    not added twice, and other streams or earlier documents of the index are left alone.
     """
 
     def add(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            mode = "append" if index_exists(batch.sparkSession, path) else "create"
-            write_index(to_fields(batch), path, mode, batch=number)
+            spark = batch.sparkSession
+            stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            mode = "append" if index_exists(spark, path) else "create"
+            write_index(to_fields(batch), path, mode, delivery=(stream, number))
 
     return docs.writeStream.foreachBatch(add)

@@ -85,7 +85,8 @@ def test_frequency_files(spark, tmp_path):
     assert lines("uni") == "the,3\r\ncat,1\r\nsat,1\r\ncafé,1\r\n"
     assert lines("uni_alpha") == "café,1\r\ncat,1\r\nsat,1\r\nthe,3\r\n"
     assert lines("bi_dat").startswith("the the,1\r\nthe cat,1\r\n")
-    assert lines("tii_alpha") == "the cat sat,1\r\nthe the cat,1\r\n" or lines("tri_dat")
+    assert lines("tii_alpha") == "the cat sat,1\r\nthe the cat,1\r\n"
+    assert lines("tri_dat") == "the the cat,1\r\nthe cat sat,1\r\n"
     assert lines("letters").splitlines()[0] == "a,4"
     assert len(lines("letters").splitlines()) == 26
 

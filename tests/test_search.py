@@ -283,16 +283,63 @@ def test_write_modes(spark, tmp_path):
     )
 
 
-def test_a_named_batch_is_added_once(spark, tmp_path):
+def test_a_delivery_is_added_once(spark, tmp_path):
     path = str(tmp_path / "index")
     docs = spark.createDataFrame([("x", "one")], "doc_id string, a string")
     more = spark.createDataFrame([("y", "one")], "doc_id string, a string")
-    fl.write_index(fl.fields_of_columns(docs, "doc_id", a="a"), path, batch=3)
-    for frame, number in ((docs, 3), (more, 7), (more, 7)):
+    fl.write_index(fl.fields_of_columns(docs, "doc_id", a="a"), path)
+    for frame, sent in ((more, ("s", 0)), (more, ("s", 0)), (docs, ("t", 0))):
         fields = fl.fields_of_columns(frame, "doc_id", a="a")
-        index = fl.write_index(fields, path, "append", batch=number)
-    assert sorted(scores(se.term_search(index, "a", "one"))) == ["x", "y"]
-    assert fl.field_stats(index).first().n_docs == 2
+        index = fl.write_index(fields, path, "append", delivery=sent)
+    assert sorted(r.doc_id for r in se.term_search(index, "a", "one").collect()) == ["x", "x", "y"]
+    assert fl.field_stats(index).first().n_docs == 3
+
+
+@pytest.mark.parametrize("kind", ["string", "smallint", "decimal(5,0)", "bigint"])
+def test_appended_ids_that_repeat_are_other_documents(spark, tmp_path, kind):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([("1", "red car"), ("2", "blue")], "doc_id string, a string")
+    fields = fl.fields_of_columns(docs.withColumn("doc_id", F.col("doc_id").cast(kind)), "doc_id", a="a")
+    fl.write_index(fields, path)
+    once = se.boolean_search(fl.open_index(spark, path), "a", should="red").first().score
+    index = fl.write_index(fields, path, "append")
+    both = fl.build_index(fields)
+    assert se.boolean_search(index, "a", must="red").count() == 2
+    assert se.boolean_search(index, "a", must="red", must_not="car").count() == 0
+    assert se.phrase_search(index, "a", "red car").count() == 2
+    assert se.prefix_search(index, "a", "r").count() == 2
+    assert se.match_all(index).count() == 4 == fl.field_stats(index).first().n_docs
+    found = se.boolean_search(index, "a", should="red").collect()
+    assert len(found) == 2 and all(r.score < 2 * once for r in found)
+    assert se.match_all(both).count() == 2
+
+
+def test_an_overwrite_that_breaks_off_leaves_the_old_index(spark, tmp_path):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([(0, "old")], "doc_id bigint, a string")
+    fl.write_index(fl.fields_of_columns(docs, "doc_id", a="a"), path)
+    (tmp_path / "index" / "lengths" / "version=1").mkdir()
+    assert se.term_search(fl.open_index(spark, path), "a", "old").count() == 1
+
+
+def test_regex_case(spark):
+    docs = spark.createDataFrame([(1, "abc"), (2, "123")], "doc_id int, a string")
+    index = fl.build_index(fl.fields_of_columns(docs, "doc_id", a="a"))
+    for pattern, found in {r"\D+": [1], r"\d+": [2], r"ABC": [1], r"\QABC\E": [1], r"\P{L}+": [2], r"[A-C]+": [1],
+                           r"(?<Name>A)BC": [1], r"\W*": [], r"(A|B|C)+": [1]}.items():
+        assert sorted(scores(se.regex_search(index, "a", pattern))) == found, pattern
+
+
+def test_fuzzy_keeps_every_term(spark, monkeypatch):
+    letters = "bcdfghjklmnpqrstvwxz"
+    words = [f"a{x}{y}de" for x in letters for y in letters]
+    docs = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "doc_id int, a string")
+    index = fl.build_index(fl.fields_of_columns(docs, "doc_id", a="a"))
+    listed = scores(se.fuzzy_search(index, "a", "abcde"))
+    assert len(listed) == 400
+    monkeypatch.setattr(se, "MAX_LISTED_TERMS", 10)
+    assert scores(se.fuzzy_search(index, "a", "abcde")) == approx(listed)
+    assert se.similar_terms(index.vocabulary, "abcde", max_expansions=7).count() == 7
 
 
 def test_unfinished_batches_are_not_read(spark, tmp_path):
@@ -301,7 +348,7 @@ def test_unfinished_batches_are_not_read(spark, tmp_path):
     fields = fl.fields_of_columns(docs, "doc_id", a="a")
     index = fl.write_index(fields, str(path))
     for table in ("postings", "vocabulary", "docs"):
-        getattr(index, table).write.parquet(f"{path}/{table}/batch=1")
+        getattr(index, table).drop("batch").write.parquet(f"{path}/{table}/batch=1")
     index = fl.open_index(spark, str(path))
     assert list(scores(se.term_search(index, "a", "one"))) == [0]
     index = fl.write_index(fields, str(path), "append")

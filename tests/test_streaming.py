@@ -1,4 +1,4 @@
-from corpusloom.operators.fields import open_index
+from corpusloom.operators.fields import fields_of_columns, open_index, write_index
 from corpusloom.operators.frequency import ngram_counts
 from corpusloom.operators.search import match_all, term_search
 from corpusloom.sources.corpus import read_corpus
@@ -16,7 +16,7 @@ def test_running_counts_equal_batch_counts(spark, tmp_path):
     write(folder, a="the cat the", b="the café", c="a cat")
     docs = inc.corpus_stream(spark, str(folder), ".txt", max_files=1)
     query = (
-        inc.ngram_count_stream(docs, 1)
+        ngram_counts(docs, 1)
         .writeStream.outputMode("complete").format("memory").queryName("running")
         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     )
@@ -45,3 +45,17 @@ def test_index_grows_by_batches(spark, tmp_path):
         "a.txt", "b.txt", "c.txt",
     }
     assert match_all(opened).count() == 3
+
+
+def test_streams_add_to_an_index_and_to_each_other(spark, tmp_path):
+    index = str(tmp_path / "index")
+    first = spark.createDataFrame([("old", "gear")], "doc_id string, text string")
+    write_index(fields_of_columns(first, "doc_id", text="text"), index)
+    for name in ("one", "two"):
+        write(tmp_path / name, **{name: "gear"})
+        docs = inc.corpus_stream(spark, str(tmp_path / name), ".txt")
+        inc.index_stream(docs, index).option(
+            "checkpointLocation", str(tmp_path / f"cp-{name}")
+        ).trigger(availableNow=True).start().awaitTermination(120)
+    found = term_search(open_index(spark, index), "text", "gear").collect()
+    assert sorted(r.doc_id for r in found) == ["old", "one.txt", "two.txt"]
