@@ -60,7 +60,8 @@ def shares(sizes: DataFrame, weights: dict | None = None, max_share: float = MAX
     With ``weights`` (source to positive number) sources that have none are left out, and the mix
     ends where the first source would run out. Without, the weights are the natural
     shares, but a source above ``max_share`` is held to it; all others keep every
-    character, and what is over the quota of a held source is left out. Parts are rounded by largest
+    character, and what is over the quota of a held source is left out. With so few sources
+    that ``max_share`` is less than twice an even share none is held. Parts are rounded by largest
     remainder; every source has one at least. More sources than ``PARTS`` are an error.
     """
     everything = Window.partitionBy()
@@ -71,7 +72,8 @@ def shares(sizes: DataFrame, weights: dict | None = None, max_share: float = MAX
         shared = weighed.withColumn("quota", F.floor(F.col("weight") * room).cast("bigint"))
     else:
         share = F.col("chars") / F.sum("chars").over(everything)
-        held = sizes.withColumn("share", share).withColumn("held", F.col("share") > max_share)
+        few = F.count(F.lit(1)).over(everything) * max_share < 2
+        held = sizes.withColumn("held", (share > max_share) & ~few)
         rest = F.sum(F.when(~F.col("held"), F.col("chars"))).over(everything)
         number = F.sum(F.col("held").cast("int")).over(everything)
         whole = rest / (1 - number * max_share)  # null where every source is held
