@@ -29,12 +29,11 @@ from .tables import python_tasks, saved, whole_text
 LENGTH = 2048
 ROWS = 256
 END_ID = 2
-CACHED_WORDS = 250_000
-PIECE = 1 << 21
+CACHED_WORDS = 300_000
+PIECE = 1 << 22
 
-# Letters of Latin-1, which lower-case and normalise one by one, then ASCII punctuation but
-# the apostrophe: the two parts are always split before merges apply.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+# Letters of Latin-1 lower-case and normalise one by one.
+_PLAIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+")
 _WORD_SPLIT = "[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
@@ -42,8 +41,8 @@ class WordCache:
     """Encodes whole texts with a tokenizer file, each distinct word once.
 
     Works word by word only if the file's own rules never look across white space:
-    text is then cut at spaces and line feeds and every distinct piece is encoded once and kept, up
-    to a bounded number. Other tokenizers, and texts with the marks of special tokens,
+    text is then cut at spaces and line feeds, and between a letter and a stop or comma, and every
+    distinct piece is encoded once and kept, up to a bounded number. Other tokenizers, and texts with the marks of special tokens,
     are encoded whole. The ids are those of encoding each whole text.
     """
 
@@ -63,67 +62,63 @@ class WordCache:
             self.ends_word = np.zeros(size, dtype=bool)
             self.ends_word[[i for token, i in model["vocab"].items() if token.endswith("</w>")]] = True
             level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}
-            plain = rules | {
-                "normalizer": None,
-                "added_tokens": [],
-                "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]},
-            }
-            self.plain = Tokenizer.from_str(json.dumps(plain))
-        self.known: dict[str, bytes] = {"": b""}
+            split = {"type": "WhitespaceSplit"}
+            bare = rules | {"normalizer": None, "added_tokens": [], "pre_tokenizer": split}
+            self.ascii = Tokenizer.from_str(json.dumps(bare))
+            bare["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [split, level]}
+            self.latin = Tokenizer.from_str(json.dumps(bare))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.full.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; what was used lately is kept longest."""
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        unseen = [w for w in words if w not in known]
+        if unseen:
+            again = [w for w in unseen if w in older]
+            for w in again:
+                known[w] = older[w]
+            self._learn([w for w in unseen if w not in older] if again else unseen)
+        return [known[w] for w in words]
+
     def _learn(self, words: list[str]) -> None:
         """Add unseen words: plain ones many to a call, cut where a token ends a word."""
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known = {"": b""}
-        stems, plain, other = {}, [], []
-        for word in words:
-            match = _PLAIN.fullmatch(word)
-            if match:
-                stem, tail = match[1].lower(), match[2]
-                stems[stem] = stems[tail] = b""
-                plain.append((word, stem, tail))
-            else:
-                other.append(word)
-        stems.pop("", None)
-        todo = list(stems)
-        for low in range(0, len(todo), 1000):
-            some = todo[low : low + 1000]
-            ids = np.array(self.plain.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some):
-                raise ValueError("a word has no end mark")
-            data, start = ids.tobytes(), 0
-            for stem, end in zip(some, (ends * 4).tolist()):
-                stems[stem] = data[start:end]
-                start = end
-        stems[""] = b""
-        for word, stem, tail in plain:
-            self.known[word] = stems[stem] + stems[tail]
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        for encoder, some in (
+            (self.ascii, [w for w in plain if w.isascii()]),
+            (self.latin, [w for w in plain if not w.isascii()]),
+        ):
+            for low in range(0, len(some), 1000):
+                part = some[low : low + 1000]
+                text = " ".join(part).lower()
+                ids = np.array(encoder.encode(text, add_special_tokens=False).ids, dtype="<u4")
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) != len(part):
+                    raise ValueError("a word has no end mark")
+                data, start = ids.tobytes(), 0
+                for word, end in zip(part, (ends * 4).tolist()):
+                    self.known[word] = data[start:end]
+                    start = end
+        other = [w for w in words if w not in self.known]
         self.known.update(zip(other, self._whole(other)))
 
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that are cut into words, and how many ids each has."""
-        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        even = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
+        words = pc.split_pattern(pc.replace_substring_regex(even, "([a-z])([.,])", "\\1 \\2"), " ")
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        unseen = [w for w in distinct if w not in self.known]
-        if unseen:
-            self._learn(unseen)
-            if any(w not in self.known for w in distinct):
-                self._learn([w for w in distinct if w not in self.known])
-        parts = [self.known[w] for w in distinct]
+        parts = self._look_up(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        pool = np.frombuffer(b"".join(parts), dtype="<u4")
-        at = coded.indices.to_numpy()
-        many = size[at]
-        ends = np.cumsum(many)
-        ids = pool[np.repeat((np.cumsum(size) - size)[at] - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.r_[0, ends][words.offsets.to_numpy() - words.offsets[0].as_py()]
-        return ids, np.diff(cuts)
+        pool = pa.array(np.frombuffer(b"".join(parts), dtype="<u4"))
+        held = pa.LargeListArray.from_arrays(np.r_[0, np.cumsum(size)], pool).take(coded.indices)
+        cuts = held.offsets.to_numpy()[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return held.flatten().to_numpy(), np.diff(cuts)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text in order."""
@@ -195,7 +190,7 @@ def write_token_files(
     by their text; a null id comes first. An empty table gives an empty manifest; other columns
     are not written. ``tokenizer`` is a tokenizer file that every worker can read.
     """
-    python_tasks(docs.sparkSession, 500)
+    python_tasks(docs.sparkSession, 1500)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
