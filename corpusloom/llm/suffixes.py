@@ -26,7 +26,8 @@ from .tables import python_tasks, saved, whole_text
 MIN_WORDS = 50
 SPREAD = 30
 GROUP = 10
-CROWD = 4096
+#: Suffixes of one key that a task compares in memory: some ten megabytes.
+CROWD = 1 << 16
 PROBE = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
