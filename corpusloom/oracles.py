@@ -194,6 +194,10 @@ _PART = _index(
     "SELECT p_partkey AS doc_id, 'name' AS field, p_name AS v FROM part "
     "UNION ALL SELECT p_partkey, 'type', p_type FROM part"
 )
+_ORDER_TITLES = _index(
+    "SELECT o_orderkey AS doc_id, 'title' AS field, "
+    "o_orderpriority || ' order ' || CAST(o_custkey AS VARCHAR) AS v FROM orders"
+)
 _TFN = f"({{tf}} * {K1 + 1} / ({{tf}} + {K1} * (1 - {B} + {B} * dl / avgdl)))"
 _IDF = "ln(1 + (n_docs - {df} + 0.5) / ({df} + 0.5))"
 _SCORED = f"""sc AS (SELECT post.field, post.term, post.doc_id,
@@ -274,6 +278,9 @@ def all_oracles() -> dict[str, str]:
         "unigrams_ranked": _ranked(1),
         "bigrams_ranked": _ranked(2),
         "trigrams_ranked": _ranked(3),
+        "corpus_scan_ranked": f"""WITH numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY doc_id) - 1 AS place FROM documents),
+r AS ({_ranked(2)})
+SELECT ngram, n, place AS first_doc, first_pos FROM r JOIN numbered ON first_doc = doc_id""",
         "tokens_strip_first": rf"""WITH t AS (SELECT unnest(string_split_regex(
   regexp_replace(lower(text), '{punctuation}', '', 'g'), '{_WS}')) AS ngram FROM documents)
 SELECT ngram, count(*) AS n FROM t WHERE ngram <> '' GROUP BY ngram""",
@@ -293,6 +300,9 @@ SELECT ngram, count(*) AS n FROM t WHERE ngram <> '' GROUP BY ngram""",
         "stemmed_term_counts": f"""WITH {_STEMS}
 SELECT stem AS term, count(*) AS n FROM tok JOIN stems USING (term) GROUP BY stem""",
         "postings_positions": f"""WITH {_CLEAN_TOKENS}
+SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf,
+  string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions FROM tok GROUP BY ALL""",
+        "postings_dump": f"""WITH {_CLEAN_TOKENS}
 SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf,
   string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions FROM tok GROUP BY ALL""",
         "postings_summary": f"""WITH {_CLEAN_TOKENS}
@@ -366,6 +376,12 @@ SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank
 SELECT CASE WHEN lang = 'en' THEN doc_id ELSE doc_id + 1 + (SELECT max(doc_id) FROM documents WHERE lang = 'en') END AS doc_id,
   round(sum(s), 6) AS score FROM sc JOIN documents USING (doc_id) WHERE term IN ({_terms('de', 'from', 'er')}) GROUP BY doc_id, lang""",
         "bib_roundtrip": "SELECT p_partkey, 'part' AS type, p_name, p_brand, p_type, p_size FROM part",
+        "bib_loose_layout": "SELECT p_partkey, 'part' AS type, p_name, p_brand, p_type, p_size FROM part",
+        "bib_index_search": f"""WITH {_ORDER_TITLES}, {_SCORED}
+SELECT doc_id AS o_orderkey, round(sum(s), 6) AS score FROM sc JOIN orders ON o_orderkey = doc_id
+WHERE term IN ({_terms('urgent', '7', '77', '100')}) AND year(o_orderdate) BETWEEN 1996 AND 1997
+AND doc_id IN (SELECT doc_id FROM post WHERE term = 'urgent')
+GROUP BY doc_id ORDER BY round(sum(s), 6) DESC, doc_id LIMIT 10""",
         "bib_fields": """WITH o AS (SELECT o_orderkey AS doc_id, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s,
   o_orderpriority AS p, CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)
 SELECT doc_id, 'type' AS field, 'order' AS "values" FROM o

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow.fs import FileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def opened_for_writing(path: str):
+    """An output stream for one file of a shared folder, given as a path or a URI."""
+    located = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    system, place = FileSystem.from_uri(located)
+    system.create_dir(place.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(place, compression=None)
+
+
 def path_has_table(spark: SparkSession, path: str) -> bool:
     """Whether a finished parquet table can be opened at ``path``."""
     try:

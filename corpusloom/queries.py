@@ -11,17 +11,17 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions.bib import author_list, entry_key
-from .functions.stemming import stem_vocabulary
+from .functions.stemming import stem_vocabulary, stem_words
 from .functions.text import words_alpha, words_clean
 from .operators import fields as fielded
 from .operators import frequency, postings, proximity, search
 from .operators.tables import write_frequency_tables
 from .plans.parallelism import spread_small_scan
 from .plans.ranking import display_scores, top_k, top_k_per_query
-from .plans.scratch import scratch_path
+from .plans.scratch import opened_for_writing, scratch_path
 from .session import ship_package
 from .sources import bibliography
-from .sources.corpus import from_table, read_corpus, read_corpus_lines
+from .sources.corpus import from_table, numbered_files, read_corpus, read_corpus_lines
 from .streaming.incremental import corpus_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,7 +122,10 @@ def unigrams_alphabetical(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir, n):
-    occurrences = frequency.ngrams(_docs(spark, sf_dir), n)
+    return _first_places(frequency.ngrams(_docs(spark, sf_dir), n))
+
+
+def _first_places(occurrences: DataFrame) -> DataFrame:
     ranked = frequency.rank_by_count(frequency.counts_from_ngrams(occurrences))
     step = F.lit(1 << 31).cast("decimal(10,0)")
     return ranked.select(
@@ -187,10 +190,34 @@ def _corpus_folder(spark: SparkSession, sf_dir: str) -> str:
     Words and letters are counted per word, so how documents fall into files is no matter.
     """
     folder = scratch_path(spark, "corpus")
-    _docs(spark, sf_dir).select("text").write.text(folder)
+    _docs(spark, sf_dir).select("text").write.option("maxRecordsPerFile", 500).text(folder)
     return folder
 
 
+def _document_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A Latin-1 ``.txt`` file for each document, and a file of another kind."""
+    folder = scratch_path(spark, "files")
+
+    def write(frames):
+        for frame in frames:
+            for doc_id, text in zip(frame["doc_id"], frame["text"]):
+                with opened_for_writing(f"{folder}/d{doc_id:09d}.txt") as out:
+                    out.write(text.encode("latin-1", "replace"))
+            yield frame[["doc_id"]]
+
+    _docs(spark, sf_dir).mapInPandas(write, "doc_id bigint").write.format("noop").mode("overwrite").save()
+    with opened_for_writing(f"{folder}/notes.md") as out:
+        out.write(b"not a part of the corpus")
+    return folder
+
+
+@_query
+def corpus_scan_ranked(spark, sf_dir):
+    """Bigrams of a folder of Latin-1 files by count, ties in the order of file names."""
+    corpus = read_corpus(spark, _document_folder(spark, sf_dir), ".txt")
+    return _first_places(frequency.ngrams(numbered_files(corpus), 2))
+
+
 @_query
 def corpus_scan_letters(spark, sf_dir):
     corpus = read_corpus(spark, _corpus_folder(spark, sf_dir), encoding="UTF-8")
@@ -214,8 +241,10 @@ def corpus_lines_terms(spark, sf_dir):
 
 @_query
 def streamed_unigrams(spark, sf_dir):
-    """Counts kept by a stream over the corpus folder, after its last file."""
-    stream = corpus_stream(spark, _corpus_folder(spark, sf_dir), ".txt", encoding="UTF-8")
+    """Counts kept by a stream over the corpus folder, after the last of its micro-batches."""
+    folder = scratch_path(spark, "corpus")
+    _docs(spark, sf_dir).select("text").repartition(6).write.text(folder)
+    stream = corpus_stream(spark, folder, ".txt", encoding="UTF-8", max_files=2)
     table = scratch_path(spark, "running")
     frequency.ngram_counts(stream, 1).writeStream.outputMode("complete").option(
         "checkpointLocation", scratch_path(spark, "stream")
@@ -238,8 +267,10 @@ def stemmed_vocabulary(spark, sf_dir):
 
 @_query
 def stemmed_term_counts(spark, sf_dir):
-    tokens = postings.positioned_tokens(_docs(spark, sf_dir))
-    return tokens.groupBy("term").agg(F.count("*").alias("n"))
+    """Counted as they are written first, so that each distinct word is stemmed once."""
+    counts = frequency.ngram_counts(_docs(spark, sf_dir), 1, words_clean)
+    stem = F.get(stem_words(F.array("ngram")), F.lit(0))
+    return counts.select(stem.alias("term"), "n").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 @_query
@@ -248,6 +279,15 @@ def postings_positions(spark, sf_dir):
     return index.select("term", "doc_id", "tf", _joined("positions"))
 
 
+@_query
+def postings_dump(spark, sf_dir):
+    """The readable copy of the postings, read back."""
+    path = scratch_path(spark, "dump")
+    postings.dump_postings(postings.build_postings(_clean_tokens(spark, sf_dir)), path)
+    dumped = spark.read.schema("term string, doc_id bigint, positions array<int>, tf int").json(path)
+    return dumped.select("term", "doc_id", "tf", _joined("positions"))
+
+
 @_query
 def postings_summary(spark, sf_dir):
     return postings.postings_summary(postings.build_postings(_clean_tokens(spark, sf_dir)))
@@ -521,21 +561,20 @@ def saved_index_search(spark, sf_dir):
 
 
 # --- bibliography ---------------------------------------------------------------------------
-@_query
-def bib_roundtrip(spark, sf_dir):
-    """Parts written as bibliography entries, read back as entries."""
-    part = _table(spark, sf_dir, "part")
+def _part_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(p_partkey, entry)``: parts as bibliography entries."""
     rendered = F.concat(
         F.lit("@part{p"), F.col("p_partkey").cast("string"),
         F.lit(",\n  title = {"), F.col("p_name"),
         F.lit("},\n  publisher = \""), F.col("p_brand"),
         F.lit("\",\n  series = {{"), F.col("p_type"),
         F.lit("}},\n  number = "), F.col("p_size").cast("string"),
-        F.lit("\n}\n"),
+        F.lit("\n}"),
     )
-    path = scratch_path(spark, "bibliography")
-    part.select(rendered.alias("value")).write.text(path)
-    entries = bibliography.read_bibliography(spark, path)
+    return _table(spark, sf_dir, "part").select("p_partkey", rendered.alias("entry"))
+
+
+def _parts_of(entries: DataFrame) -> DataFrame:
     field = F.col("fields")
     return entries.select(
         F.substring("cite_key", 2, 20).cast("bigint").alias("p_partkey"),
@@ -547,6 +586,46 @@ def bib_roundtrip(spark, sf_dir):
     )
 
 
+@_query
+def bib_roundtrip(spark, sf_dir):
+    """Parts written as bibliography entries, read back as entries."""
+    path = scratch_path(spark, "bibliography")
+    _part_entries(spark, sf_dir).select(F.concat("entry", F.lit("\n")).alias("value")).write.text(path)
+    return _parts_of(bibliography.read_bibliography(spark, path))
+
+
+@_query
+def bib_loose_layout(spark, sf_dir):
+    """Parts as indented entries, two to a line, with free text around them."""
+    path = scratch_path(spark, "bibliography")
+    pairs = _part_entries(spark, sf_dir).groupBy(F.floor(F.col("p_partkey") / 2)).agg(
+        F.array_join(F.array_sort(F.collect_list("entry")), " and ").alias("both")
+    )
+    pairs.select(F.concat(F.lit("notes (2015)\n  "), "both", F.lit(" see below")).alias("value")).write.text(path)
+    return _parts_of(bibliography.read_bibliography(spark, path))
+
+
+@_query
+def bib_index_search(spark, sf_dir):
+    """Orders as a bibliography file, its fields indexed; words of titles in a range of years."""
+    path = scratch_path(spark, "bibliography")
+    orders = _table(spark, sf_dir, "orders")
+    rendered = F.concat(
+        F.lit("@order{o"), F.col("o_orderkey").cast("string"), F.lit(", title = {"),
+        F.col("o_orderpriority"), F.lit(" order "), F.col("o_custkey").cast("string"),
+        F.lit("},\n year = "), F.year("o_orderdate").cast("string"), F.lit("}\n"),
+    )
+    orders.select(rendered.alias("value")).write.text(path)
+    entries = bibliography.first_of_each_key(bibliography.read_bibliography(spark, path))
+    index = fielded.write_index(bibliography.fields_of_entries(entries), scratch_path(spark, "index"))
+    urgent = search.boolean_search(index, "title", must="urgent", should="7 77 100")
+    years = search.range_search(index, "year", "1996", "1997").select("doc_id")
+    keyed = entries.select("doc_id", F.substring("cite_key", 2, 20).cast("bigint").alias("o_orderkey"))
+    found = _rounded(urgent).join(years, "doc_id").join(keyed, "doc_id")
+    best = found.select(F.col("o_orderkey").alias("doc_id"), "score")
+    return top_k(best).withColumnRenamed("doc_id", "o_orderkey")
+
+
 @_query
 def bib_fields(spark, sf_dir):
     """Orders as entry texts, parsed and projected to fields with their keys."""

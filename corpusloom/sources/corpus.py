@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..plans.joins import fits_broadcast
 from ..plans.parallelism import spread_small_scan
+from ..plans.ranking import dense_numbers
 
 
 def _file_name() -> Column:
@@ -13,6 +15,16 @@ def _file_name() -> Column:
     return F.url_decode(encoded).alias("doc_id")
 
 
+def hidden_files(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder that Spark's readers pass over: leading ``_`` or ``.``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not (system.exists(folder) and system.getFileStatus(folder).isDirectory()):
+        return []
+    files = [f.getPath().getName() for f in system.listStatus(folder) if f.isFile()]
+    return [n for n in files if n[0] in "_." and n != "_SUCCESS" and not n.endswith(".crc")]
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -22,9 +34,12 @@ def read_corpus(
     """One row per file of a folder (not its subfolders); the file name is the id.
 
     ``suffix='.txt'`` keeps only names with that ending (case-sensitive). Line ends are
-    normalised to ``\\n``. Files Spark treats as hidden (leading ``_`` or ``.``) are
-    skipped. A file must fit in one row (2 GB); use :func:`read_corpus_lines` beyond.
+    normalised to ``\\n``. Files whose names start with ``_`` or ``.``, which Spark does not
+    read, are refused. A file must fit in one row (2 GB); use :func:`read_corpus_lines` beyond.
     """
+    hidden = [name for name in hidden_files(spark, path) if name.endswith(suffix or "")]
+    if hidden:
+        raise ValueError(f"{len(hidden)} files that Spark does not read, such as {hidden[0]!r}: rename them")
     reader = spark.read.format("binaryFile")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
@@ -35,6 +50,16 @@ def read_corpus(
     )
 
 
+def numbered_files(docs: DataFrame) -> DataFrame:
+    """``docs`` with the place of the file name in their order as a whole number ``doc_id``.
+
+    First occurrences then sort and aggregate by number, in the order of the names.
+    """
+    numbers = dense_numbers(docs.select("doc_id"), "doc_id")
+    hint = F.broadcast if fits_broadcast(numbers) else (lambda df: df)
+    return docs.join(hint(numbers), "doc_id").select(F.col("number").alias("doc_id"), "text")
+
+
 def from_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text)`` of any table, read by enough tasks to use the session's cores."""
     return spread_small_scan(
@@ -42,18 +67,22 @@ def from_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     )
 
 
-def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, line_no, text)`` of UTF-8 text files of any size.
+def read_corpus_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``(doc_id, line_no, text)`` of text files of any size.
 
     Files are split over tasks. ``line_no`` grows with the place in the file but has
-    gaps: it combines the split's offset with the row's place in the scan.
+    gaps: it combines the split's offset with the row's place in the scan. Encodings other
+    than UTF-8 must keep line ends as single bytes, as all of one byte do.
     """
     scan = spark.read.text(path)
+    text = F.col("value")
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        text = F.decode(text.cast("binary"), encoding)  # the scan keeps bytes as they are
     return scan.select(
         _file_name(),
         F.struct(
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("line_no"),
-        F.col("value").alias("text"),
+        text.alias("text"),
     )
