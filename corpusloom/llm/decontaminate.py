@@ -21,7 +21,11 @@ _TAIL = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*$"
 
 
 def words(text: Column) -> Column:
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    held = F.coalesce(text, F.lit(""))
+    # Only A-Z is lowered; where all is ASCII that is what the faster function does.
+    lowered = F.when(F.octet_length(held) == F.char_length(held), F.lower(held)).otherwise(
+        F.translate(held, string.ascii_uppercase, string.ascii_lowercase)
+    )
     return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))
 
 
@@ -42,28 +46,42 @@ def test_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
     )
 
 
-def _document_windows(docs: DataFrame, doc_id: str, text: str, widths: list[int]) -> DataFrame:
-    """A row for each window, and one with ``pos`` 0 for each document."""
-    def of(width: int) -> Column:
-        found = F.transform(
-            F.sequence(F.lit(1), F.size("words") - (width - 1)),
-            lambda i: F.struct(
-                i.alias("pos"), F.lit(width).alias("width"), F.xxhash64(F.slice("words", i, width)).alias("key")
-            ),
-        )
-        none = F.array().cast("array<struct<pos:int,width:int,key:bigint>>")
-        return F.when(F.size("words") >= width, found).otherwise(none)
-
-    whole = F.array(
-        F.struct(F.lit(0).alias("pos"), F.lit(0).alias("width"), F.lit(None).cast("bigint").alias("key"))
-    )
-    tokenized = docs.select(
+def _tokenized(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(
         F.col(doc_id).alias("doc"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
         words(F.col(text)).alias("words"),
     )
+
+
+def _places(tokenized: DataFrame, lead: int) -> DataFrame:
+    """A row for each place where ``lead`` words begin, with their hash, and one with ``pos`` 0."""
+    last = F.size("words") - (lead - 1)
+    found = F.transform(
+        F.sequence(F.lit(1), last),
+        lambda i: F.xxhash64(*[F.get("words", i + (k - 1)) for k in range(lead)]),
+    )
+    hashes = F.when(last >= 1, found).otherwise(F.array().cast("array<bigint>"))
     # The outer form keeps Catalyst from adding a filter that would tokenize again.
-    return tokenized.select("doc", "text_hash", "words", F.inline_outer(F.concat(whole, *map(of, widths))))
+    whole = F.array(F.lit(None).cast("bigint"))
+    return tokenized.select(
+        "doc", "text_hash", "words", F.posexplode_outer(F.concat(whole, hashes)).alias("pos", "lead")
+    )
+
+
+def _windows_at(places: DataFrame, widths: list[int]) -> DataFrame:
+    """A row for each window that begins at a place; the row with ``pos`` 0 stays."""
+    held = F.array(
+        *[
+            F.when(
+                (F.col("pos") > 0) & (F.col("pos") + (n - 1) <= F.size("words")),
+                F.struct(F.lit(n).alias("width"), F.xxhash64(F.slice("words", F.greatest("pos", F.lit(1)), n)).alias("key")),
+            )
+            for n in widths
+        ]
+    )
+    held = F.filter(held, lambda w: w.isNotNull()) if len(widths) > 1 else held
+    return places.select("doc", "text_hash", "words", "pos", F.inline_outer(held))
 
 
 def find_hits(
@@ -89,19 +107,25 @@ def find_hits(
     windows = test_windows(items, item_id, item_text, size)
     # Only items shorter than a window add widths: at most ``size`` numbers.
     widths = sorted(r.width for r in windows.select("width").distinct().limit(size).collect())
-    rows = _document_windows(docs, doc_id, text, widths)
-    fits = fits_broadcast(windows.select("key", "width", "window", "items"))
+    lead = 1 if widths[:1] == [1] else 2
+    places = _places(_tokenized(docs, doc_id, text), lead)
     small = windows.withColumnRenamed("width", "window_width")
-    if fits:
+    if not widths:
+        met = places.where(F.col("pos") == 0).withColumns({"width": F.lit(0), "items": F.array().cast("array<int>")})
+    elif fits_broadcast(windows):
+        # Windows are hashed only where their first words begin a test window.
+        leads = windows.select(F.xxhash64(*[F.get("window", F.lit(k)) for k in range(lead)]).alias("lead")).distinct()
+        begun = places.join(F.broadcast(leads.withColumn("begins", F.lit(True))), "lead", "left")
+        rows = _windows_at(begun.where((F.col("pos") == 0) | F.col("begins")), widths)
         joined = rows.join(F.broadcast(small), "key", "left")
-        sure = F.slice("words", F.greatest("pos", F.lit(1)), F.greatest("width", F.lit(1))) == F.col("window")
+        sure = F.slice("words", F.greatest("pos", F.lit(1)), F.coalesce("width", F.lit(1))) == F.col("window")
         met = joined.where((F.col("pos") == 0) | (F.col("window").isNotNull() & sure))
     else:
-        carried = rows.where(F.col("pos") > 0).select(
-            "doc", "text_hash", "pos", "width", "key", F.slice("words", "pos", F.col("width")).alias("held")
+        carried = _windows_at(places.where(F.col("pos") > 0), widths).select(
+            "doc", "text_hash", "pos", "width", "key", F.slice("words", "pos", F.coalesce("width", F.lit(1))).alias("held")
         )
         hit = join_on_small(carried, small, ["key"], salt_by=["doc", "pos"], small_fits=False)
-        met = rows.where(F.col("pos") == 0).unionByName(hit.where(F.col("held") == F.col("window")), True)
+        met = places.where(F.col("pos") == 0).unionByName(hit.where(F.col("held") == F.col("window")), True)
     gathered = met.groupBy("doc", "text_hash").agg(
         F.max(F.when(F.col("pos") == 0, F.size("words"))).cast("bigint").alias("n_words"),
         F.sort_array(
