@@ -73,15 +73,23 @@ def _bounds(ids: DataFrame) -> list[int]:
     keep = min(1.0, SAMPLE / max(1, total))
     chosen = ids.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) < F.lit(round(keep * (1 << 20))))
     found = sorted(r.page_id for r in chosen.limit(2 * SAMPLE).collect()) if total else []
-    shards = min(-(-total // SHARD_ROWS), 1000, max(1, len(found)))
+    shards = min(-(-total // SHARD_ROWS), SAMPLE // 5, max(1, len(found)))
     return sorted({found[k * len(found) // shards] for k in range(1, shards)})
 
 
 def _shard(page_id: Column, bounds: list[int]) -> Column:
+    """Number of bounds up to the id, searched in groups of about the root of their number."""
     if not bounds:
         return F.lit(0)
-    held = F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    return F.coalesce(F.size(F.filter(held, lambda b: b <= page_id)), F.lit(0))
+    step = int(len(bounds) ** 0.5) + 1
+    groups = [bounds[k : k + step] for k in range(0, len(bounds), step)]
+    listed = [F.array(*[F.lit(b).cast("bigint") for b in g]) for g in groups]
+    if len(groups) == 1:
+        return F.coalesce(F.size(F.filter(listed[0], lambda b: b <= page_id)), F.lit(0))
+    heads = F.array(*[F.lit(g[0]).cast("bigint") for g in groups[1:]])
+    group = F.size(F.filter(heads, lambda b: b <= page_id))
+    within = F.size(F.filter(F.get(F.array(*listed), group), lambda b: b <= page_id))
+    return F.coalesce(F.when(page_id.isNotNull(), group * step + within), F.lit(0))
 
 
 def first_pages(sums: DataFrame, min_bytes: int) -> DataFrame:
@@ -133,7 +141,7 @@ def write_archives(
         .unionByName(first_pages(sums, min_bytes), allowMissingColumns=True)
         .withColumn("shard", _shard(F.col("page_id"), bounds))
     )
-    dealt = rows.repartition("shard").sortWithinPartitions("shard", "page_id", "sha", F.desc_nulls_last("refers_to"), "url")
+    dealt = rows.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "sha", F.desc_nulls_last("refers_to"), "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _rolled(_decided(batches), folder, roll_bytes)
