@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.stemming import stem_words
 from ..functions.text import words_clean
 from ..plans.blocks import with_lookahead
-from ..plans.joins import join_on_small
+from ..plans.joins import fits_broadcast, join_on_small
+
+NEAR = 16
 
 
 def _nearest_after(*partition: str, flag: str) -> Column:
@@ -97,8 +99,42 @@ def proximity_batch(
     """``(query_id, doc_id, pos)`` for every ``(query_id, w1, max_dist, w2)``.
 
     Each query becomes one row per distinct word, so tokens meet queries in an
-    equi-join on the word.
+    equi-join on the word. That makes a row for each query of a token's word; where a word is in
+    more queries than the largest distance, tokens are paired with the few that follow
+    instead, and meet queries by both words. Both ways return the same rows.
     """
+    wanted = queries.where(F.col("max_dist") > 0)
+    size = wanted.select("max_dist", F.explode(F.array("w1", "w2")).alias("word")).agg(
+        F.max("max_dist").alias("reach"), F.count("*") / F.approx_count_distinct("word")
+    ).first()
+    if size["reach"] is not None and size["reach"] <= min(NEAR, size[1]):
+        return _paired(tokens, wanted, size["reach"], ordered)
+    return _by_word(tokens, wanted, ordered)
+
+
+def _paired(tokens: DataFrame, wanted: DataFrame, reach: int, ordered: bool) -> DataFrame:
+    """Each token with those up to ``reach`` positions on, joined with the queries by both words."""
+    words = wanted.select(F.explode(F.array("w1", "w2")).alias("term")).distinct()
+    held = tokens.select("doc_id", "pos", "term")
+    if fits_broadcast(words):
+        held = held.join(F.broadcast(words), "term", "left_semi")
+    placed = with_lookahead(held, reach)
+    order = Window.partitionBy("doc_id", "block").orderBy("pos")
+    following = [
+        F.struct(F.lead("term", k).over(order).alias("t2"), (F.lead("pos", k).over(order) - F.col("pos")).alias("gap"))
+        for k in range(1, reach + 1)
+    ]
+    near = placed.select("doc_id", "pos", "own", F.col("term").alias("t1"), F.array(*following).alias("next"))
+    pairs = near.where("own").select("doc_id", "pos", "t1", F.inline("next")).where(F.col("gap") <= reach)
+    ways = [F.struct(F.col("w1").alias("t1"), F.col("w2").alias("t2"))]
+    if not ordered:
+        ways.append(F.struct(F.col("w2").alias("t1"), F.col("w1").alias("t2")))
+    asked = wanted.select("query_id", "max_dist", F.inline(F.array_distinct(F.array(*ways))))
+    met = join_on_small(pairs, asked, ["t1", "t2"], salt_by=["doc_id", "pos"])
+    return met.where(F.col("gap") <= F.col("max_dist")).select("query_id", "doc_id", "pos").distinct()
+
+
+def _by_word(tokens: DataFrame, wanted: DataFrame, ordered: bool) -> DataFrame:
     def role(word: str, is_first: bool, is_second: bool) -> Column:
         return F.struct(
             F.col(word).alias("term"),
@@ -109,8 +145,8 @@ def proximity_batch(
     roles = F.when(F.col("w1") == F.col("w2"), F.array(role("w1", True, True))).otherwise(
         F.array(role("w1", True, False), role("w2", False, True))
     )
-    wanted = queries.where(F.col("max_dist") > 0).select("query_id", "max_dist", F.inline(roles))
-    tagged = join_on_small(tokens, wanted, ["term"], salt_by=["doc_id", "pos"])
+    asked = wanted.select("query_id", "max_dist", F.inline(roles))
+    tagged = join_on_small(tokens, asked, ["term"], salt_by=["doc_id", "pos"])
     return _matches(tagged, ["query_id", "doc_id"], ordered)
 
 

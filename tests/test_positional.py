@@ -178,3 +178,17 @@ def test_stemming_in_pieces(docs_of, monkeypatch):
     assert got == [
         (doc, i + 1, w) for doc, text in enumerate(stems) for i, w in enumerate(text.split())
     ]
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_both_ways_of_a_batch(spark, docs_of, ordered):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 60))) for _ in range(12)]
+    rows = [(k, rng.choice("abcdz"), rng.randint(0, 6), rng.choice("abcd")) for k in range(40)]
+    queries = spark.createDataFrame(rows, "query_id int, w1 string, max_dist int, w2 string")
+    held = po.positioned_tokens(docs_of(*texts), stemmed=False).where("term != 'e'")
+    wanted = queries.where("max_dist > 0")
+    by_word = sorted(map(tuple, px._by_word(held, wanted, ordered).collect()))
+    paired = sorted(map(tuple, px._paired(held, wanted, 6, ordered).collect()))
+    assert by_word and by_word == paired
+    assert sorted(map(tuple, px.proximity_batch(held, queries, ordered).collect())) == paired
