@@ -238,14 +238,15 @@ SELECT doc_id, round({' + '.join(scores)}, 6) AS score
 {froms} JOIN len USING (doc_id) JOIN st USING (field)"""
 
 
-_FUZZY = """near AS (SELECT term, df, q, CASE WHEN term = q THEN 0
-    WHEN damerau_levenshtein(term, q) = 1 THEN 1 ELSE 2 END AS edits
-  FROM (SELECT term, df, 'thiner' AS q FROM dfs)
-  WHERE levenshtein(term, q) <= 2 OR len(list_filter(
-    flatten(list_transform(range(1, length(term)), lambda i: list_transform(range(1, length(q)),
-      lambda j: struct_pack(i := i, j := j)))), lambda s: substr(term, s.i, 1) = substr(q, s.j + 1, 1) AND substr(term, s.i + 1, 1) = substr(q, s.j, 1)
-      AND damerau_levenshtein(substr(term, 1, s.i - 1), substr(q, 1, s.j - 1))
-        + damerau_levenshtein(substr(term, s.i + 2), substr(q, s.j + 2)) <= 1)) > 0),
+# Distances here count bytes: letters beyond ASCII, which the word has none of, become one.
+_FUZZY = """near AS (SELECT term, df, q, CASE WHEN t = q THEN 0
+    WHEN damerau_levenshtein(t, q) = 1 THEN 1 ELSE 2 END AS edits
+  FROM (SELECT term, df, 'thiner' AS q, regexp_replace(term, '[^\\x00-\\x7F]', 'X', 'g') AS t FROM dfs)
+  WHERE levenshtein(t, q) <= 2 OR len(list_filter(
+    flatten(list_transform(range(1, length(t)), lambda i: list_transform(range(1, length(q)),
+      lambda j: struct_pack(i := i, j := j)))), lambda s: substr(t, s.i, 1) = substr(q, s.j + 1, 1) AND substr(t, s.i + 1, 1) = substr(q, s.j, 1)
+      AND damerau_levenshtein(substr(t, 1, s.i - 1), substr(q, 1, s.j - 1))
+        + damerau_levenshtein(substr(t, s.i + 2), substr(q, s.j + 2)) <= 1)) > 0),
 best AS (SELECT term, df, edits, 1 - edits / least(length(term), length(q)) AS similarity
   FROM near WHERE edits < least(length(term), length(q)))"""
 
