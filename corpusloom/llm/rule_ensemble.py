@@ -25,6 +25,7 @@ SEED = 17
 
 STATISTICS = [
     "log_chars", "word_chars", "symbols", "capitals", "digits", "distinct_words", "distinct_lines", "stops", "lines",
+    "vocabulary",
 ]
 
 Bound = tuple[str, str, float]
@@ -50,6 +51,7 @@ def statistics_of(text: str) -> Column:
         F.size(F.array_distinct(lines)) / F.size(lines),
         (F.char_length(held) - F.char_length(F.replace(held, F.lit("."), F.lit("")))) / n_words,
         F.size(lines) / n_words,
+        F.log1p(F.size(F.array_distinct(words))) / F.log1p(n_words),  # hardly falls with length
     )
 
 
@@ -113,7 +115,7 @@ def fit(sample: DataFrame) -> RuleModel:
         return RuleModel(0.0, [])
     flags = F.array(*[_holds(rule, F.col("statistics")).cast("double") for rule in rules])
     weighed = LogisticRegression(
-        labelCol="label", featuresCol="features", elasticNetParam=1.0, regParam=LASSO, maxIter=100
+        labelCol="label", featuresCol="features", elasticNetParam=1.0, regParam=LASSO, maxIter=40, tol=1e-5
     ).fit(sample.select("label", array_to_vector(flags).alias("features")))
     kept = [(rule, float(w)) for rule, w in zip(rules, weighed.coefficients.toArray()) if w]
     return RuleModel(float(weighed.intercept), kept)
@@ -145,7 +147,7 @@ def training_rows(
     found = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
         F.broadcast(few), F.col("_id") == F.col("_labelled")
     )
-    return saved(found.select("label", statistics_of("_text").alias("statistics")).repartition(6), "training-rows")
+    return saved(found.select("label", statistics_of("_text").alias("statistics")).repartition(2), "training-rows")
 
 
 def score_documents(
@@ -194,4 +196,6 @@ def keep_good(
     while name in docs.columns:
         name += "_"
     scored, _ = _scored(docs, model, text, name)
-    return scored.where(F.col(name) >= 0.5).select(*docs.columns)
+    # A filter on the score itself would move below the statistics and work them out for every rule.
+    good = scored.select(*docs.columns, F.explode(F.array(F.col(name) >= 0.5)).alias(name))
+    return good.where(F.col(name)).select(*docs.columns)
