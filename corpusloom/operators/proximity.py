@@ -99,15 +99,16 @@ def proximity_batch(
     """``(query_id, doc_id, pos)`` for every ``(query_id, w1, max_dist, w2)``.
 
     Each query becomes one row per distinct word, so tokens meet queries in an
-    equi-join on the word. That makes a row for each query of a token's word; where a word is in
-    more queries than the largest distance, tokens are paired with the few that follow
+    equi-join on the word. That makes a row for each query of a token's word. Where that is
+    more than the largest distance, weighing words by their number of queries, tokens are paired with the few that follow
     instead, and meet queries by both words. Both ways return the same rows.
     """
     wanted = queries.where(F.col("max_dist") > 0)
-    size = wanted.select("max_dist", F.explode(F.array("w1", "w2")).alias("word")).agg(
-        F.max("max_dist").alias("reach"), F.count("*") / F.approx_count_distinct("word")
-    ).first()
-    if size["reach"] is not None and size["reach"] <= min(NEAR, size[1]):
+    words = wanted.select("max_dist", F.explode(F.array("w1", "w2")).alias("word"))
+    size = words.groupBy("word").agg(F.count("*").alias("n"), F.max("max_dist").alias("reach")).agg(
+        F.max("reach").alias("reach"), (F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("queries")
+    ).first()  # one row, from a job over the queries
+    if size["reach"] is not None and size["reach"] <= min(NEAR, size["queries"]):
         return _paired(tokens, wanted, size["reach"], ordered)
     return _by_word(tokens, wanted, ordered)
 
