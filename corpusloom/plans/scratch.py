@@ -10,20 +10,37 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder (``spark.checkpoint.dir``).
+_LOCAL: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application in the cluster's shared folder (``spark.checkpoint.dir``).
 
     Without that setting only a local session may proceed, with a temporary folder:
     on a cluster the executors would not share it.
     """
+    application = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", "") or (
         spark.sparkContext.getCheckpointDir() or ""
     )
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="corpusloom-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="corpusloom-")
+        shared = _LOCAL[application]
+    return f"{shared.rstrip('/')}/corpusloom-{application}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table, under :func:`run_folder`."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once nothing reads them any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def opened_for_writing(path: str):

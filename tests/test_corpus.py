@@ -3,6 +3,7 @@
 import pytest
 
 from corpusloom.operators import frequency as fq
+from corpusloom.plans import scratch
 from corpusloom.plans.ranking import dense_numbers
 from corpusloom.sources import corpus
 
@@ -36,3 +37,14 @@ def test_dense_numbers(spark):
     values = spark.createDataFrame([(f"v{k:03d}",) for k in (5, 3, 3, 900, 41)] , "name string")
     found = {r["name"]: r["number"] for r in dense_numbers(values, "name").collect()}
     assert found == {"v003": 0, "v005": 1, "v041": 2, "v900": 3}
+
+
+def test_scratch_tables_share_a_folder_of_the_run(spark):
+    import os
+
+    paths = [scratch.scratch_path(spark, "some") for _ in range(2)]
+    assert paths[0] != paths[1] and paths[0].startswith(scratch.run_folder(spark) + "/")
+    for path in paths:
+        spark.range(3).write.parquet(path)
+    held = os.listdir(scratch.run_folder(spark))
+    assert len(held) >= 2
