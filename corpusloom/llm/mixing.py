@@ -18,7 +18,6 @@ from .tables import saved
 
 PARTS = 1000
 BLOCK_CHARS = 1 << 16
-MAX_SHARE = 0.25
 STRIPES = 4096
 
 
@@ -54,14 +53,14 @@ def laid_out(docs: DataFrame, doc_id: str, source: str, text: str, seed: int) ->
     )
 
 
-def shares(sizes: DataFrame, weights: dict | None = None, max_share: float = MAX_SHARE) -> DataFrame:
+def shares(sizes: DataFrame, weights: dict | None = None, max_share: float | None = None) -> DataFrame:
     """``(source, parts, quota)`` from ``(source, chars)``: a row for each source.
 
-    With ``weights`` (source to positive number) sources that have none are left out, and the mix
-    ends where the first source would run out. Without, the weights are the natural
-    shares, but a source above ``max_share`` is held to it; all others keep every
-    character, and what is over the quota of a held source is left out. With so few sources
-    that ``max_share`` is less than twice an even share none is held. Parts are rounded by largest
+    Without options the weights are the natural shares and every character is in the mix. With
+    ``weights`` (source to positive number) sources that have none are left out, and the mix
+    ends where the first source would run out. With ``max_share`` a source above that share is held to
+    it: all others keep every character, and what is over the quota of a held source is left
+    out. Nothing is held where the held sources alone could not make up the rest of the mix. Parts are rounded by largest
     remainder; every source has one at least. More sources than ``PARTS`` are an error.
     """
     everything = Window.partitionBy()
@@ -70,10 +69,11 @@ def shares(sizes: DataFrame, weights: dict | None = None, max_share: float = MAX
         weighed = sizes.withColumn("weight", F.try_element_at(wanted, "source")).where(F.col("weight") > 0)
         room = F.min(F.col("chars") / F.col("weight")).over(everything)
         shared = weighed.withColumn("quota", F.floor(F.col("weight") * room).cast("bigint"))
+    elif max_share is None:
+        shared = sizes.withColumn("quota", F.col("chars"))
     else:
         share = F.col("chars") / F.sum("chars").over(everything)
-        few = F.count(F.lit(1)).over(everything) * max_share < 2
-        held = sizes.withColumn("held", (share > max_share) & ~few)
+        held = sizes.withColumn("held", share > max_share)
         rest = F.sum(F.when(~F.col("held"), F.col("chars"))).over(everything)
         number = F.sum(F.col("held").cast("int")).over(everything)
         whole = rest / (1 - number * max_share)  # null where every source is held
@@ -151,7 +151,7 @@ def mix(
     source: str = "source",
     text: str = "text",
     block_chars: int = BLOCK_CHARS,
-    max_share: float = MAX_SHARE,
+    max_share: float | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """``(doc, source, block, release, due, slot, place, kept)`` for every row of ``docs``.
@@ -160,7 +160,8 @@ def mix(
     the slots of the blocks it covers. Kept documents in the order of ``(slot, place)`` are
     the mix; of those that are not kept, ``slot`` and the rest are null. Empty and null texts count as one
     character, a null source is a source, equal rows are ordered anyhow. An empty table
-    gives an empty result. Where a source ends, its later slots stay free.
+    gives an empty result. Every row is kept unless ``weights`` or ``max_share`` are given (see
+    :func:`shares`). Where a source ends, its later slots stay free.
     """
     placed = saved(laid_out(docs, doc_id, source, text, seed), "laid-out")
     parts = saved(shares(placed.groupBy("source").agg(F.sum("chars").alias("chars")), weights, max_share), "parts")

@@ -65,6 +65,12 @@ def test_share_of_a_large_source_is_held(spark):
     assert {r.source for r in mixing.mixed(docs, block_chars=40, max_share=0.3).collect()} == set(kept)
 
 
+def test_every_row_is_kept(spark):
+    docs = docs_of(spark, {"hot": 900} | {f"s{k}": 10 for k in range(9)} | {"one": 1})
+    assert all(r.kept for r in mixing.mix(docs, block_chars=10).collect())
+    assert mixing.mixed(docs).count() == 991
+
+
 def test_places_within_a_source(spark):
     docs = docs_of(spark, {"a": 300, "b": 10}, 7).withColumn("text", F.expr("repeat('x', cast(doc_id % 5 * 9 as int))"))
     laid = mixing.laid_out(docs.selectExpr("*", "1 stripe", "2 key"), "doc_id", "source", "text", 7).collect()
