@@ -1,24 +1,27 @@
 """Mixing sources to target weights by Pfair scheduling; built-in functions only.
 
 Each source is laid out in a fixed random order and cut into blocks of ``block_chars``
-characters. Weights are whole parts of ``PARTS``. Block ``i`` (from 1) of a source with ``k``
-parts is released at slot ``floor((i - 1) * PARTS / k)`` and due before slot
-``ceil(i * PARTS / k)``; each slot goes to the released block that is due first. Such a
-schedule exists and earliest-deadline-first finds it, as blocks have unit length. At every
-slot each source is less than one block away from its weight. After ``PARTS`` slots all sources
-are exactly even, so the slots of one period, which is as long as ``PARTS`` whatever the
-data, serve every period by arithmetic.
+characters. A source of ``size`` of all ``total`` characters of the mix has the weight
+``size / total``, not rounded. Its block ``i`` (from 1) is released at slot
+``floor((i - 1) * total / size)`` and due before slot ``ceil(i * total / size)``; each slot goes to
+the released block that is due first. Such a schedule exists and earliest-deadline-first finds
+it, as blocks have unit length and the weights add up to one. At every slot each source is less than
+one block away from its weight, as long as it lasts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..plans.joins import fits_broadcast
+from ..plans.scratch import scratch_path
 from .tables import saved
 
-PARTS = 1000
 BLOCK_CHARS = 1 << 16
-STRIPES = 4096
+#: Slots that are dealt in one job, and slots whose picks are gathered before they join the rest.
+RANGE = 1 << 16
+STRETCH = 1 << 9
+_NEVER = (1 << 63) - 1
 
 
 def _stripe(key: Column) -> Column:
@@ -54,94 +57,113 @@ def laid_out(docs: DataFrame, doc_id: str, source: str, text: str, seed: int) ->
 
 
 def shares(sizes: DataFrame, weights: dict | None = None, max_share: float | None = None) -> DataFrame:
-    """``(source, parts, quota)`` from ``(source, chars)``: a row for each source.
+    """``(source, quota)`` from ``(source, chars)``: a row for each source of the mix.
 
     Without options the weights are the natural shares and every character is in the mix. With
     ``weights`` (source to positive number) sources that have none are left out, and the mix
     ends where the first source would run out. With ``max_share`` a source above that share is held to
     it: all others keep every character, and what is over the quota of a held source is left
-    out. Nothing is held where the held sources alone could not make up the rest of the mix. Parts are rounded by largest
-    remainder; every source has one at least. More sources than ``PARTS`` are an error.
+    out. Nothing is held where the held sources alone could not make up the rest of the mix.
     """
     everything = Window.partitionBy()
     if weights:
         wanted = F.create_map(*[F.lit(x) for pair in weights.items() for x in (pair[0], float(pair[1]))])
         weighed = sizes.withColumn("weight", F.try_element_at(wanted, "source")).where(F.col("weight") > 0)
         room = F.min(F.col("chars") / F.col("weight")).over(everything)
-        shared = weighed.withColumn("quota", F.floor(F.col("weight") * room).cast("bigint"))
-    elif max_share is None:
-        shared = sizes.withColumn("quota", F.col("chars"))
-    else:
-        share = F.col("chars") / F.sum("chars").over(everything)
-        held = sizes.withColumn("held", share > max_share)
-        rest = F.sum(F.when(~F.col("held"), F.col("chars"))).over(everything)
-        number = F.sum(F.col("held").cast("int")).over(everything)
-        whole = rest / (1 - number * max_share)  # null where every source is held
-        quota = F.when(
-            F.col("held") & whole.isNotNull() & (number * max_share < 1), F.least("chars", F.floor(whole * max_share))
-        ).otherwise(F.col("chars"))
-        shared = held.withColumn("quota", quota.cast("bigint"))
-    ratio = F.col("quota") / F.sum("quota").over(everything) * PARTS
-    rounded = shared.withColumn("exact", ratio).withColumn("low", F.greatest(F.floor("exact"), F.lit(1)).cast("int"))
-    spare = F.lit(PARTS) - F.sum("low").over(everything)
-    rank = F.row_number().over(Window.partitionBy().orderBy(F.desc(F.col("exact") - F.col("low")), "source"))
-    largest = F.row_number().over(Window.partitionBy().orderBy(F.desc("exact"), "source"))
-    ranked = rounded.select("source", "quota", "low", spare.alias("spare"), rank.alias("rank"), largest.alias("largest"))
-    # Sources raised to one part can use up more than the remainders: the largest gives way.
-    parts = F.col("low") + F.when(F.col("spare") >= 0, (F.col("rank") <= F.col("spare")).cast("int")).otherwise(
-        F.when(F.col("largest") == 1, F.col("spare")).otherwise(F.lit(0))
+        return weighed.select("source", F.floor(F.col("weight") * room).cast("bigint").alias("quota"))
+    if max_share is None:
+        return sizes.select("source", F.col("chars").alias("quota"))
+    share = F.col("chars") / F.sum("chars").over(everything)
+    held = sizes.withColumn("held", share > max_share)
+    rest = F.sum(F.when(~F.col("held"), F.col("chars"))).over(everything)
+    number = F.sum(F.col("held").cast("int")).over(everything)
+    whole = rest / (1 - number * max_share)  # null where every source is held
+    quota = F.when(
+        F.col("held") & whole.isNotNull() & (number * max_share < 1), F.least("chars", F.floor(whole * max_share))
+    ).otherwise(F.col("chars"))
+    return held.select("source", quota.cast("bigint").alias("quota"))
+
+
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def _times(n: Column, total: Column) -> Column:
+    """An exact product: block number times characters can pass 64 bits."""
+    return n.cast("decimal(18,0)") * total.cast("decimal(19,0)")
+
+
+def _next(number: Column, nth: Column, parts: Column, total: Column, block: int) -> Column:
+    """Block ``nth`` (from 0) of a source; one past its last block is never released."""
+    release = F.when(nth * block < parts, _div(_times(nth, total), parts)).otherwise(F.lit(_NEVER))
+    due = F.when(nth * block < parts, _div(_times(nth + 1, total) + parts - 1, parts)).otherwise(F.lit(_NEVER))
+    return F.struct(
+        due.alias("due"), number.alias("number"), nth.alias("nth"), release.alias("release"), parts.alias("parts")
     )
-    return ranked.select("source", parts.cast("int").alias("parts"), "quota")
 
 
-def period(parts: DataFrame) -> DataFrame:
-    """``(source, nth, slot, release, due)``: the slots of one period, ``PARTS`` rows.
+def period(parts: DataFrame, block: int = 1) -> DataFrame:
+    """``(source, nth, slot, release, due)``: the slot of every block of ``block`` of a source's parts.
 
-    A fold over the slots with the number of blocks each source has had; it sees a row for each
-    source, never the data.
+    ``parts`` is ``(source, parts)``. A fold over the slots with the next block of each source; it sees a
+    row for each source, never the data. ``RANGE`` slots are folded in one job, whose blocks and
+    last state are written for the next, so that no row grows with the number of slots.
     """
-    listed = parts.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "parts"))).alias("sources"))
-    release = lambda had, k: F.floor(had * PARTS / k)
-    due = lambda had, k: F.ceil((had + 1) * PARTS / k)
-    start = F.struct(
-        F.transform("sources", lambda s: F.lit(0)).alias("had"),
-        F.array().cast("array<struct<number:int,nth:int,slot:int>>").alias("picked"),
+    spark = parts.sparkSession
+    held = parts.where(F.col("parts") > 0).select("source", F.col("parts").cast("bigint").alias("parts"))
+    total, number = held.agg(F.coalesce(F.sum("parts"), F.lit(0)), F.count(F.lit(1))).first()
+    listed = held.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "parts"))).alias("sources"))
+    zero, all_parts = F.lit(0).cast("bigint"), F.lit(total).cast("bigint")
+    state = listed.select(
+        "sources", F.transform("sources", lambda s, n: _next(n, zero, s["parts"], all_parts, block)).alias("queue")
     )
+    none = F.array().cast("array<struct<number:int,nth:bigint,slot:bigint,release:bigint,due:bigint>>")
 
     def step(state, slot):
-        # The least (due, number) among released blocks; a due slot is at most PARTS.
-        options = F.transform(
-            "sources",
-            lambda s, n: F.when(
-                (state["had"][n] < s["parts"]) & (release(state["had"][n], s["parts"]) <= slot),
-                F.struct(due(state["had"][n], s["parts"]).cast("int").alias("due"), n.alias("number")),
-            ),
-        )
-        best = F.array_min(F.filter(options, lambda o: o.isNotNull()))["number"]
+        # The least (due, number) among released blocks.
+        best = F.array_min(F.filter(state["queue"], lambda q: (q["release"] <= slot)))
         moved = F.transform(  # over one element, so that ``best`` is worked out once
             F.array(best),
-            lambda first: F.struct(
-                F.transform(state["had"], lambda h, n: h + (n == first).cast("int")).alias("had"),
-                F.concat(
-                    state["picked"],
-                    F.array(F.struct(first.alias("number"), state["had"][first].alias("nth"), slot.alias("slot"))),
-                ).alias("picked"),
+            lambda b: F.when(b.isNull(), state).otherwise(
+                F.struct(
+                    F.transform(
+                        state["queue"],
+                        lambda q: F.when(
+                            q["number"] == b["number"], _next(q["number"], q["nth"] + 1, q["parts"], all_parts, block)
+                        ).otherwise(q),
+                    ).alias("queue"),
+                    F.concat(
+                        state["picked"], F.array(F.struct(b["number"], b["nth"], slot.alias("slot"), b["release"], b["due"]))
+                    ).alias("picked"),
+                )
             ),
         )
         return moved[0]
 
-    folded = listed.select(
-        "sources", F.aggregate(F.sequence(F.lit(0), F.lit(PARTS - 1)), start, step, lambda s: s["picked"]).alias("picked")
-    )
-    slots = folded.select("sources", F.inline("picked")).where(F.col("number").isNotNull())
-    chosen = F.get("sources", F.col("number"))
-    return slots.select(
-        chosen["source"].alias("source"),
-        "nth",
-        "slot",
-        release(F.col("nth"), chosen["parts"]).cast("int").alias("release"),
-        due(F.col("nth"), chosen["parts"]).cast("int").alias("due"),
-    )
+    def stretch(state, low, high):
+        inner = F.aggregate(
+            F.sequence(low, F.least(low + STRETCH, high) - 1),
+            F.struct(state["queue"].alias("queue"), none.alias("picked")),
+            step,
+        )
+        return F.transform(
+            F.array(inner),
+            lambda i: F.struct(i["queue"].alias("queue"), F.concat(state["picked"], i["picked"]).alias("picked")),
+        )[0]
+
+    # All blocks are released by slot total / block; what is left then, one for each source at most, follows.
+    slots, paths = -(-total // block) + number, []
+    for low in range(0, max(slots, 1), RANGE):
+        high = F.lit(max(min(low + RANGE, slots), 1)).cast("bigint")
+        lows = F.sequence(F.lit(low).cast("bigint"), high - 1, F.lit(STRETCH).cast("bigint"))
+        start = F.struct(F.col("queue").alias("queue"), none.alias("picked"))
+        folded = state.select("sources", F.aggregate(lows, start, lambda s, at: stretch(s, at, high)).alias("end"))
+        paths.append(scratch_path(spark, "slots"))
+        folded.select("sources", "end.queue", "end.picked").write.parquet(paths[-1])
+        dealt = spark.read.parquet(paths[-1])
+        state = dealt.select("sources", "queue")
+    rows = spark.read.schema(dealt.schema).parquet(*paths).select("sources", F.inline("picked"))
+    return rows.select(F.get("sources", F.col("number"))["source"].alias("source"), "nth", "slot", "release", "due")
 
 
 def mix(
@@ -160,30 +182,28 @@ def mix(
     the slots of the blocks it covers. Kept documents in the order of ``(slot, place)`` are
     the mix; of those that are not kept, ``slot`` and the rest are null. Empty and null texts count as one
     character, a null source is a source, equal rows are ordered anyhow. An empty table
-    gives an empty result. Every row is kept unless ``weights`` or ``max_share`` are given (see
-    :func:`shares`). Where a source ends, its later slots stay free.
+    gives an empty result. Every row is kept unless ``weights`` or ``max_share`` are given (see :func:`shares`).
     """
     placed = saved(laid_out(docs, doc_id, source, text, seed), "laid-out")
-    parts = saved(shares(placed.groupBy("source").agg(F.sum("chars").alias("chars")), weights, max_share), "parts")
-    if parts.count() > PARTS:
-        raise ValueError(f"more than {PARTS} sources")
-    slots = saved(period(parts), "period")
-    block = F.floor(F.col("before") / block_chars)
-    known = parts.select(F.col("source").alias("of"), "parts", "quota")
-    # ``parts`` and ``slots`` have at most PARTS rows each.
-    counted = placed.join(F.broadcast(known), placed["source"].eqNullSafe(known["of"]), "left").select(
-        "doc", "source", "before", "parts",
-        F.coalesce(F.col("before") < F.col("quota"), F.lit(False)).alias("kept"), block.alias("block"),
+    sizes = placed.groupBy("source").agg(F.sum("chars").alias("chars"))
+    parts = saved(shares(sizes, weights, max_share), "parts")
+    slots = saved(period(parts.withColumnRenamed("quota", "parts"), block_chars), "period")
+    known = parts.select(F.col("source").alias("of"), "quota")
+    known = F.broadcast(known) if fits_broadcast(known) else known
+    counted = placed.join(known, placed["source"].eqNullSafe(known["of"]), "left").select(
+        "doc", "source", "before",
+        F.coalesce(F.col("before") < F.col("quota"), F.lit(False)).alias("kept"),
+        F.floor(F.col("before") / block_chars).alias("block"),
     )
     turn = slots.select(F.col("source").alias("of"), "nth", "slot", "release", "due")
-    nth = F.col("block") % F.col("parts")
-    same = counted["source"].eqNullSafe(turn["of"]) & counted["kept"] & (nth == turn["nth"])
-    shift = F.floor(F.col("block") / F.col("parts")) * PARTS
-    return counted.join(F.broadcast(turn), same, "left").select(
+    same = counted["source"].eqNullSafe(turn["of"]) & counted["kept"] & (counted["block"] == turn["nth"])
+    return counted.join(turn, same, "left").select(
         "doc",
         "source",
         F.when(F.col("kept"), F.col("block")).cast("bigint").alias("block"),
-        *[(F.col(c) + shift).cast("bigint").alias(c) for c in ("release", "due", "slot")],
+        "release",
+        "due",
+        "slot",
         F.when(F.col("kept"), F.col("before") - F.col("block") * block_chars).cast("bigint").alias("place"),
         "kept",
     )

@@ -65,10 +65,42 @@ def test_share_of_a_large_source_is_held(spark):
     assert {r.source for r in mixing.mixed(docs, block_chars=40, max_share=0.3).collect()} == set(kept)
 
 
-def test_every_row_is_kept(spark):
+def test_every_row_is_kept_and_paced(spark):
     docs = docs_of(spark, {"hot": 900} | {f"s{k}": 10 for k in range(9)} | {"one": 1})
-    assert all(r.kept for r in mixing.mix(docs, block_chars=10).collect())
+    rows = mixing.mix(docs, block_chars=10).collect()
+    assert all(r.kept for r in rows) and len({r.slot for r in rows}) == len(rows) == 991
     assert mixing.mixed(docs).count() == 991
+    had = {}
+    for n, r in enumerate(sorted(rows, key=lambda r: r.slot), 1):
+        had[r.source] = had.get(r.source, 0) + 1
+        assert abs(had["hot"] - Fraction(900, 991) * n) < 1
+
+
+@pytest.mark.parametrize("ranges", [(1 << 16, 512), (100, 30)])
+def test_weights_are_not_rounded(spark, monkeypatch, ranges):
+    monkeypatch.setattr(mixing, "RANGE", ranges[0])
+    monkeypatch.setattr(mixing, "STRETCH", ranges[1])
+    sizes = {"a": 9415, "b": 575, "c": 4, "d": 6}  # b has 5.75 in a hundred, c 0.04
+    frame = spark.createDataFrame(list(sizes.items()), "source string, parts bigint")
+    rows = sorted(mixing.period(frame, 4).collect(), key=lambda r: r.slot)
+    had = dict.fromkeys(sizes, 0)
+    for r in rows:
+        weight = Fraction(sizes[r.source], 10_000)
+        assert r.nth == had[r.source] and r.release == had[r.source] // weight <= r.slot < r.due
+        assert r.due == -(-(had[r.source] + 1) // weight)
+        had[r.source] += 1
+        for source, size in sizes.items():
+            behind = Fraction(size, 10_000) * (r.slot + 1) - had[source]
+            assert -1 < behind < 1 or had[source] == -(-size // 4)
+    assert had == {s: -(-n // 4) for s, n in sizes.items()}
+    assert len({r.slot for r in rows}) == len(rows)
+
+
+def test_many_small_sources(spark):
+    docs = docs_of(spark, {f"s{k:04d}": 1 + 3 * (k >= 600) for k in range(1100)})
+    rows = mixing.mix(docs, block_chars=10).collect()
+    assert len(rows) == len({r.slot for r in rows}) == 2600
+    assert all(r.kept and r.release <= r.slot < r.due for r in rows)
 
 
 def test_places_within_a_source(spark):
