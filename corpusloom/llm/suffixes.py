@@ -26,7 +26,7 @@ from .tables import python_tasks, saved, whole_text
 MIN_WORDS = 50
 SPREAD = 30
 GROUP = 10
-#: Suffixes of one key that a task compares in memory: some ten megabytes.
+#: Suffixes of one key that a task compares in memory: some twenty megabytes.
 CROWD = 1 << 16
 PROBE = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -70,12 +70,11 @@ def sparse_suffixes(text: str, min_words: int, spread: int, group: int):
     chosen = np.arange(n) + np.lib.stride_tricks.sliding_window_view(groups, spread).argmin(axis=1)
     firsts = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
     keys = hashed.of(min_words - spread + 1)[chosen[firsts]]
-    windows = (hashed.of(min_words) >> np.uint64(32)).astype(np.uint32)
-    return keys.view(np.int64), firsts, chosen[firsts] - firsts, windows
+    return keys.view(np.int64), firsts, chosen[firsts] - firsts, hashed.of(min_words)
 
 
 def suffix_table(docs: DataFrame, min_words: int, spread: int, group: int, keys_only: bool = False) -> DataFrame:
-    """``(key, doc, first, left, windows)``: the kept suffixes; ``windows`` packs 32-bit hashes."""
+    """``(key, doc, first, left, windows)``: the kept suffixes; ``windows`` packs 64-bit hashes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +97,7 @@ def suffix_table(docs: DataFrame, min_words: int, spread: int, group: int, keys_
         many = [len(h[1]) for h in held]
         shift = np.cumsum([0, *[len(h[4]) for h in held]])
         starts = np.concatenate([h[2] + s for h, s in zip(held, shift)])
-        offsets = (4 * np.r_[starts, shift[-1]]).astype(np.int32)
+        offsets = (8 * np.r_[starts, shift[-1]]).astype(np.int32)
         data = np.concatenate([h[4] for h in held])
         windows = pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         return pa.record_batch(
@@ -125,10 +124,10 @@ def _shared(held: pa.Table) -> Iterator[pa.RecordBatch]:
     key, doc = held["key"].to_numpy(), held["doc"].to_numpy()
     first, left = held["first"].to_numpy(), held["left"].to_numpy()
     packed = held["windows"].to_pylist()
-    many = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+    many = np.fromiter(map(len, packed), np.int64, len(packed)) // 8
     row = np.repeat(np.arange(len(key)), many)
     step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-    window = np.frombuffer(b"".join(packed), dtype=np.uint32).astype(np.int64)
+    window = np.frombuffer(b"".join(packed), dtype=np.int64)
     run = np.cumsum(np.r_[True, key[1:] != key[:-1]])[row]
     order = np.lexsort((doc[row], window, left[row] - step, run))
     r, w, reach, d = run[order], window[order], (left[row] - step)[order], doc[row][order]
@@ -192,15 +191,15 @@ def shared_ranges(docs: DataFrame, min_words: int, spread: int, group: int, crow
             "doc",
             F.posexplode(
                 F.transform(
-                    F.sequence(F.lit(1), F.octet_length("windows"), F.lit(4)),
-                    lambda i: F.hex(F.col("windows").substr(i, F.lit(4))),
+                    F.sequence(F.lit(1), F.octet_length("windows"), F.lit(8)),
+                    lambda i: F.hex(F.col("windows").substr(i, F.lit(8))),
                 )
             ).alias("step", "window"),
             "first",
             "left",
         ).select(
             "key", "doc", (F.col("first") + F.col("step")).cast("bigint").alias("first"),
-            (F.col("left") - F.col("step")).alias("reach"), F.conv("window", 16, 10).cast("bigint").alias("window"),
+            (F.col("left") - F.col("step")).alias("reach"), F.conv("window", 16, -10).cast("bigint").alias("window"),
         ),
         "crowded-windows",
     )

@@ -64,6 +64,18 @@ def test_crowded_suffixes(spark, monkeypatch):
     assert found == plain(rows, 8)
 
 
+@pytest.mark.parametrize("crowd", [suffixes.CROWD, 1])
+def test_windows_that_agree_in_32_bits(spark, monkeypatch, crowd):
+    shared = " ".join(f"w{k}" for k in range(49))
+    rows = [(n, f"{shared} {last}") for n, last in enumerate(["x38638", "x305269", "x158862", "x349302", "same", "same"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(suffixes, "PROBE", 1)
+    ordinary = suffixes.shared_ranges
+    monkeypatch.setattr(suffixes, "shared_ranges", lambda *args: ordinary(*args, crowd=crowd))
+    found = {tuple(r) for r in suffixes.repeated_passages(docs).collect()}
+    assert found == plain(rows, 50) == {(4, False, 0, 50), (5, True, 0, 50)}
+
+
 def test_edges(spark):
     passage = " ".join(f"word{k}" for k in range(60))
     rows = [(1, f"a {passage} b"), (2, f"c {passage}"), (3, None), (4, ""), (None, passage), (5, "x " * 30_000), (6, "short"),
