@@ -33,7 +33,7 @@ CACHED_WORDS = 300_000
 PIECE = 1 << 22
 
 # Letters of Latin-1 lower-case and normalise one by one.
-_PLAIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _WORD_SPLIT = "[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
@@ -75,11 +75,11 @@ class WordCache:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _look_up(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words; what was used lately is kept longest."""
+        """Ids of words; what was used lately is kept longest."""
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        unseen = [w for w in words if w not in known]
+        unseen = list(dict.fromkeys(w for w in words if w not in known))
         if unseen:
             again = [w for w in unseen if w in older]
             for w in again:
@@ -109,23 +109,33 @@ class WordCache:
         self.known.update(zip(other, self._whole(other)))
 
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts that are cut into words, and how many ids each has."""
-        even = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
-        words = pc.split_pattern(pc.replace_substring_regex(even, "([a-z])([.,])", "\\1 \\2"), " ")
+        """Ids of texts that are cut into words, and how many ids each has.
+
+        Only words of ASCII letters are lowered here: others can hold marks of special tokens, or letters that
+        compose with a combining mark in one case only.
+        """
+        even = pc.replace_substring(texts, "\n", " ")
+        words = pc.split_pattern(pc.replace_substring_regex(even, "([A-Za-z])([.,])", "\\1 \\2"), " ")
         coded = words.flatten().dictionary_encode()
-        parts = self._look_up(coded.dictionary.to_pylist())
+        said = coded.dictionary
+        parts = self._look_up(pc.if_else(pc.ascii_is_alpha(said), pc.ascii_lower(said), said).to_pylist())
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         pool = pa.array(np.frombuffer(b"".join(parts), dtype="<u4"))
         held = pa.LargeListArray.from_arrays(np.r_[0, np.cumsum(size)], pool).take(coded.indices)
         cuts = held.offsets.to_numpy()[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return held.flatten().to_numpy(), np.diff(cuts)
 
+    def _marked(self, text: str) -> bool:
+        """Whether the text holds the mark of a special token, in any case."""
+        low = text.lower()
+        return any(s in text or s.lower() in low for s in self.special)
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text in order."""
         held: list[str] = []
         room = 0
         for text in texts:
-            apart = not self.by_word or any(s in text for s in self.special)
+            apart = not self.by_word or self._marked(text)
             if held and (apart or room + len(text) > PIECE):
                 yield from self._cut(held)
                 held, room = [], 0

@@ -48,6 +48,13 @@ def test_odd_texts(cache, plain):
         assert [ids.tolist() for ids in cache.encode(ODD)] == [plain(t) for t in ODD]
 
 
+def test_case_of_marks_and_composed_letters(cache, plain):
+    texts = ["x <|EndOfText|> y", "<|ENDOFTEXT|>", "J\u030c", "T\u0308 H\u0331 W\u030a Y\u030a xJ\u030c.", "MÜNCHEN. Über THE The the"]
+    found = [ids.tolist() for ids in cache.encode(texts)]
+    assert found == [plain(t) for t in texts]
+    assert found[0] == [343, 27, 347, 40786, 4160, 91, 285, 344] and found[2] == [329, 136, 490]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("abAB é'.,!-\n\t́<|>1İß  "), max_size=40), max_size=5))
 def test_any_texts(cache, plain, texts):
