@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.scratch import scratch_path
 from . import (
-    chat, decontaminate, mixing, rollup, rotated_codes, rule_ensemble, simhash, suffixes, token_files, warc,
+    chat, decontaminate, mixing, rollup, rotated_codes, rule_ensemble, simhash, suffixes, token_files,
+    turn_repair, warc,
 )
 from .tables import saved, table, whole_text
 
@@ -117,5 +118,45 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated_codes.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(said: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut short, repeated or given to the user, by a checksum of their id and turn."""
+
+    def filled(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn")).cast("binary")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(filled("text"), "[.!?]", "")).otherwise(filled("text"))
+    return said.where(fate != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(filled("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage to all conversations, and their cheapest repair; those that lost all rows have zeros."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repairs = turn_repair.repair(damaged(said))
+    nothing = F.sha2(F.lit(""), 256)
+    report = repairs.report.withColumnRenamed("conv_id", "of")
+    hashes = turn_repair.digests(repairs.turns).withColumnRenamed("conv_id", "hash_of")
+    joined = (
+        said.select("conv_id")
+        .distinct()
+        .join(report, F.col("conv_id").eqNullSafe(F.col("of")) & F.col("n_rows").isNotNull(), "left")
+        .join(hashes, F.col("conv_id").eqNullSafe(F.col("hash_of")) & F.col("repaired_sha256").isNotNull(), "left")
+    )
+    zero = F.lit(0).cast("bigint")
+    counted = [F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select(
+        "conv_id",
+        *counted,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {name: run for name, run in globals().items() if name.startswith("op") and callable(run)}
