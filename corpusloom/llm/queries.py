@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.scratch import scratch_path
 from . import (
-    chat, decontaminate, mixing, rollup, rotated_codes, rule_ensemble, simhash, suffixes, token_files,
-    turn_repair, warc,
+    chat, decontaminate, hard_negatives, mixing, rollup, rotated_codes, rule_ensemble,
+    simhash, suffixes, token_files, turn_repair, warc,
 )
 from .tables import saved, table, whole_text
 
@@ -118,6 +118,13 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated_codes.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives for every hundredth vector, after a seventh of the labels has been moved on."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def damaged(said: DataFrame) -> DataFrame:
     """Rows dropped, emptied, cut short, repeated or given to the user, by a checksum of their id and turn."""
 
