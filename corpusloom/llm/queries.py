@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.scratch import scratch_path
 from . import (
-    chat, decontaminate, hard_negatives, mixing, rollup, rotated_codes, rule_ensemble,
+    chat, decontaminate, hard_negatives, language_id, mixing, rollup, rotated_codes, rule_ensemble,
     simhash, suffixes, token_files, turn_repair, warc,
 )
 from .tables import saved, table, whole_text
@@ -165,5 +165,14 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    return found.select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {name: run for name, run in globals().items() if name.startswith("op") and callable(run)}
