@@ -383,6 +383,12 @@ SELECT doc_id AS o_orderkey, round(sum(s), 6) AS score FROM sc JOIN orders ON o_
 WHERE term IN ({_terms('urgent', '7', '77', '100')}) AND year(o_orderdate) BETWEEN 1996 AND 1997
 AND doc_id IN (SELECT doc_id FROM post WHERE term = 'urgent')
 GROUP BY doc_id ORDER BY round(sum(s), 6) DESC, doc_id LIMIT 10""",
+        "bib_state": """SELECT o.o_orderkey, 'Müller, ' || o.o_orderstatus AS author,
+  'mail us' || chr(10) || '@home or {' || o.o_orderpriority || '}' || chr(10) || '@misc{x, title = {y}}' || chr(10) AS note,
+  coalesce('House ' || CAST(max(CASE WHEN o.o_orderkey % 512 = 0 THEN o.o_orderkey // 512 END)
+    OVER (PARTITION BY o.o_orderkey // 8192 ORDER BY o.o_orderkey) AS VARCHAR), 'house') || ' Inc' AS publisher,
+  'Series ' || CAST(p.o_custkey AS VARCHAR) AS series, true AS complete
+FROM orders o LEFT JOIN orders p ON p.o_orderkey = (o.o_orderkey // 32) * 32""",
         "bib_fields": """WITH o AS (SELECT o_orderkey AS doc_id, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s,
   o_orderpriority AS p, CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)
 SELECT doc_id, 'type' AS field, 'order' AS "values" FROM o

@@ -36,8 +36,9 @@ def join_on_small(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     small_fits: bool | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join; broadcasts ``small`` when measured to fit, else a salted shuffle join.
+    """Inner or left join; broadcasts ``small`` when measured to fit, else a salted shuffle join.
 
     In the shuffle join every row of ``large`` gets one of :data:`SALTS` salts from its
     ``salt_by`` columns and ``small`` is repeated once per salt, so one hot key is
@@ -47,9 +48,9 @@ def join_on_small(
     if small_fits is None:
         small_fits = fits_broadcast(small, max_rows, max_bytes)
     if small_fits:
-        return large.join(F.broadcast(small), on, "inner")
+        return large.join(F.broadcast(small), on, how)
     salted = large.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
     repeated = small.withColumn(
         "_salt", F.explode(F.array(*[F.lit(s).cast("bigint") for s in range(SALTS)]))
     )
-    return salted.join(repeated.hint("shuffle_merge"), [*on, "_salt"], "inner").drop("_salt")
+    return salted.join(repeated.hint("shuffle_merge"), [*on, "_salt"], how).drop("_salt")

@@ -10,7 +10,7 @@ from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .functions.bib import author_list, entry_key
+from .functions.bib import author_list, entry_key, plain_text
 from .functions.stemming import stem_vocabulary, stem_words
 from .functions.text import words_alpha, words_clean
 from .operators import fields as fielded
@@ -626,6 +626,43 @@ def bib_index_search(spark, sf_dir):
     return top_k(best).withColumnRenamed("doc_id", "o_orderkey")
 
 
+@_query
+def bib_state(spark, sf_dir):
+    """Orders in files of several splits, whose entries depend on what stands before or around them.
+
+    Strings are defined anew along a file, notes hold lines that look like entries, every order refers to the
+    first of its 32.
+    """
+    path = scratch_path(spark, "bibliography")
+    key = F.col("o_orderkey")
+    text = F.col("o_orderkey").cast("string")
+    rendered = F.concat(
+        F.when(key % 512 == 0, F.concat(F.lit("@string{house = {House "), F.floor(key / 512).cast("string"), F.lit("}}\n"))).otherwise(""),
+        F.lit("@order{o"), text, F.lit(",\n author = {M{\\\"u}ller, "), F.col("o_orderstatus"),
+        F.lit("},\n note = {mail us\n@home or {"), F.col("o_orderpriority"), F.lit("}\n@misc{x, title = {y}}\n},"),
+        F.lit(" publisher = house # \" Inc\", crossref = {o"), (F.floor(key / 32) * 32).cast("string"), F.lit("}"),
+        F.when(key % 32 == 0, F.concat(F.lit(", series = {Series "), F.col("o_custkey").cast("string"), F.lit("}"))).otherwise(""),
+        F.lit("}"),
+    )
+    orders = _table(spark, sf_dir, "orders").select(F.floor(key / 8192).alias("file"), "o_orderkey", rendered.alias("value"))
+    filed = orders.repartition("file").sortWithinPartitions("file", "o_orderkey")
+    filed.select("file", "value").write.partitionBy("file").text(path)
+    split = spark.newSession()
+    split.conf.set("spark.sql.files.maxPartitionBytes", 1 << 18)
+    entries = bibliography.inherit_fields(bibliography.read_bibliography(split, path))
+    found = scratch_path(spark, "entries")
+    entries.write.parquet(found)
+    field = F.col("fields")
+    return spark.read.parquet(found).select(
+        F.substring("cite_key", 2, 20).cast("bigint").alias("o_orderkey"),
+        plain_text(field["author"]).alias("author"),
+        field["note"].alias("note"),
+        field["publisher"].alias("publisher"),
+        field["series"].alias("series"),
+        "complete",
+    )
+
+
 @_query
 def bib_fields(spark, sf_dir):
     """Orders as entry texts, parsed and projected to fields with their keys."""
