@@ -4,14 +4,13 @@ Every operator returns all hits as ``(doc_id, score)``, one row per document; cu
 with :func:`~corpusloom.plans.ranking.top_k` and count them with :func:`total_hits`.
 Scores of pattern and range queries are the constant 1.
 
-Query words come as arguments, not as a query string. ``term`` queries and patterns are
+Query words come as arguments; :mod:`~corpusloom.operators.query_texts` reads query strings. ``term`` queries and patterns are
 lowercased and matched against index terms as they are; the words of boolean, phrase
 and disjunction queries go through the analyzer first.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
@@ -19,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.edits import could_be_within, edit_distance
+from ..functions.patterns import lowered_pattern, wildcard_regex
 from ..functions.scoring import bm25, bm25_idf, bm25_tf
 from ..functions.text import STOP_WORDS, drop_stop_words, words_standard
 from ..plans.joins import fits_broadcast, join_on_small
@@ -127,20 +127,6 @@ def range_search(index: FieldIndex, field: str, low: str, high: str) -> DataFram
     return _constant(_of_field(index, field).where(within))
 
 
-def wildcard_regex(pattern: str) -> str:
-    """``*`` any run, ``?`` any one character, backslash takes the next literally."""
-    out, chars = "", iter(pattern)
-    for ch in chars:
-        if ch == "*":
-            out += ".*"
-        elif ch == "?":
-            out += "."
-        else:
-            literal = next(chars, "\\") if ch == "\\" else ch
-            out += literal if literal.isalnum() else rf"\x{{{ord(literal):x}}}"
-    return rf"(?s)\A{out}\z"
-
-
 def wildcard_search(index: FieldIndex, field: str, pattern: str) -> DataFrame:
     matches = F.col("term").rlike(wildcard_regex(pattern.lower()))
     fixed = pattern.lower()
@@ -151,22 +137,6 @@ def wildcard_search(index: FieldIndex, field: str, pattern: str) -> DataFrame:
     return _constant(_matching_terms(index, field, matches))
 
 
-def lowered_pattern(pattern: str) -> str:
-    """The pattern with its literal letters lowercased.
-
-    Escapes (``\\D``, ``\\p{Lu}``) and what opens a group (``(?U)``, ``(?<Name>``) stay as they are,
-    text between ``\\Q`` and ``\\E`` is literal.
-    """
-    piece = r"\\Q(.*?)(?:\\E|\Z)|\\[pP]\{[^}]*\}|\\k<[^>]*>|\\.|\(\?(?:<\w+>|[a-zA-Z-]*)|[^\\(]+|\("
-    out = ""
-    for match in re.finditer(piece, pattern, re.DOTALL):
-        if match[1] is not None:
-            out += rf"\Q{match[1].lower()}\E"
-        else:
-            out += match[0] if match[0][0] in "\\(" else match[0].lower()
-    return out
-
-
 def regex_search(index: FieldIndex, field: str, pattern: str) -> DataFrame:
     """Terms that match a whole regular expression, in Java syntax; literals in lower case."""
     matches = F.col("term").rlike(rf"\A(?:{lowered_pattern(pattern)})\z")

@@ -238,15 +238,19 @@ SELECT doc_id, round({' + '.join(scores)}, 6) AS score
 {froms} JOIN len USING (doc_id) JOIN st USING (field)"""
 
 
-# Distances here count bytes: letters beyond ASCII, which the word has none of, become one.
-_FUZZY = """near AS (SELECT term, df, q, CASE WHEN t = q THEN 0
-    WHEN damerau_levenshtein(t, q) = 1 THEN 1 ELSE 2 END AS edits
-  FROM (SELECT term, df, 'thiner' AS q, regexp_replace(term, '[^\\x00-\\x7F]', 'X', 'g') AS t FROM dfs)
-  WHERE levenshtein(t, q) <= 2 OR len(list_filter(
+# A swap and at most one more edit, in two parts that don't overlap.
+_SWAPS = """len(list_filter(
     flatten(list_transform(range(1, length(t)), lambda i: list_transform(range(1, length(q)),
       lambda j: struct_pack(i := i, j := j)))), lambda s: substr(t, s.i, 1) = substr(q, s.j + 1, 1) AND substr(t, s.i + 1, 1) = substr(q, s.j, 1)
       AND damerau_levenshtein(substr(t, 1, s.i - 1), substr(q, 1, s.j - 1))
-        + damerau_levenshtein(substr(t, s.i + 2), substr(q, s.j + 2)) <= 1)) > 0),
+        + damerau_levenshtein(substr(t, s.i + 2), substr(q, s.j + 2)) <= 1)) > 0"""
+# Distances here count bytes: every letter beyond ASCII becomes one of its own.
+_BYTES = "translate({}, 'àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&')"
+# Here they become the same one, as the word has none.
+_FUZZY = f"""near AS (SELECT term, df, q, CASE WHEN t = q THEN 0
+    WHEN damerau_levenshtein(t, q) = 1 THEN 1 ELSE 2 END AS edits
+  FROM (SELECT term, df, 'thiner' AS q, regexp_replace(term, '[^\\x00-\\x7F]', 'X', 'g') AS t FROM dfs)
+  WHERE levenshtein(t, q) <= 2 OR {_SWAPS}),
 best AS (SELECT term, df, edits, 1 - edits / least(length(term), length(q)) AS similarity
   FROM near WHERE edits < least(length(term), length(q)))"""
 
@@ -256,6 +260,80 @@ _BATCH = rf"""qw AS (SELECT query_id, term, count(*) AS weight FROM (
 hits AS (SELECT query_id, doc_id, sum(weight * s) AS score FROM sc JOIN qw USING (term) GROUP BY ALL)"""
 
 
+_ITEM_WORDS = rf"""q AS (SELECT item_id AS query_id, list_filter(string_split_regex(lower(text), '{_WS}'),
+    lambda x: regexp_full_match(x, '\p{{L}}+')) AS w FROM benchmark)"""
+
+_QUERY_TEXTS = f"""{_ITEM_WORDS},
+lw AS (SELECT query_id, query_id % 8 AS t, k, w[k] AS term FROM (SELECT *, unnest(range(1, 7)) AS k FROM q)),
+lv AS (SELECT query_id, t, bool_or(k = 1) AS la, bool_or(k = 2) AS lb, bool_or(k = 3) AS lc FROM lw
+  WHERE term NOT IN ({_STOP}) GROUP BY ALL),
+pw AS (SELECT query_id, k AS off, term FROM lw WHERE term NOT IN ({_STOP}) AND (t = 1 AND k <= 3 OR t = 5 AND k IN (2, 3))),
+pn AS (SELECT query_id, count(*) AS n, sum({_IDF.format(df='df')}) AS idf FROM pw JOIN dfs USING (term) JOIN st USING (field) GROUP BY ALL),
+pz AS (SELECT query_id, count(*) AS m FROM pw GROUP BY ALL),
+pm AS (SELECT query_id, doc_id, pos - off AS at, count(*) AS c FROM pw JOIN ft USING (term) GROUP BY ALL),
+pf AS (SELECT query_id, doc_id, count(*) AS fr FROM pm JOIN pz USING (query_id) WHERE c = m GROUP BY ALL),
+sa AS (SELECT query_id, doc_id, k, s FROM lw JOIN sc USING (term)
+  UNION ALL SELECT query_id, doc_id, 7, idf * {_TFN.format(tf='fr')} FROM pf JOIN pn USING (query_id) JOIN len USING (doc_id) JOIN st USING (field)
+  UNION ALL SELECT DISTINCT query_id, doc_id, 8, 1.0 FROM lw JOIN post ON starts_with(post.term, substr(lw.term, 1, 4)) WHERE t = 6 AND k = 6
+  UNION ALL SELECT DISTINCT query_id, doc_id, 8, 1.0 FROM lw JOIN post ON post.term BETWEEN lw.term AND lw.term || 'zz' WHERE t = 7 AND k = 6),
+v AS (SELECT query_id, query_id % 8 AS t, doc_id, {', '.join(f"max(s) FILTER (k = {k}) AS {n}" for k, n in enumerate('abcdefpx', 1))} FROM sa GROUP BY ALL)
+SELECT query_id, doc_id, round(CASE
+  WHEN t IN (0, 4) THEN coalesce(a, 0) + coalesce(b, 0) WHEN t = 1 THEN p
+  WHEN t = 2 THEN coalesce(a, 0) + coalesce(b, 0) WHEN t = 5 THEN coalesce(a, 0) + coalesce(p, 0) + coalesce(f, 0)
+  WHEN t = 6 THEN x + coalesce(b, 0) ELSE coalesce(x, 0) + coalesce(c, 0) END, 6) AS score
+FROM v LEFT JOIN lv USING (query_id, t) LEFT JOIN pz USING (query_id) WHERE CASE
+  WHEN t IN (0, 4) THEN a IS NOT NULL OR b IS NOT NULL WHEN t = 1 THEN p IS NOT NULL
+  WHEN t = 2 THEN (NOT coalesce(la, false) OR a IS NOT NULL) AND (NOT coalesce(lb, false) OR b IS NOT NULL) AND c IS NULL AND (a IS NOT NULL OR b IS NOT NULL)
+  WHEN t = 5 THEN (a IS NOT NULL OR p IS NOT NULL OR NOT coalesce(la, false) AND m IS NULL) AND d IS NULL AND e IS NULL
+    AND (a IS NOT NULL OR p IS NOT NULL OR f IS NOT NULL)
+  WHEN t = 6 THEN x IS NOT NULL WHEN t = 7 THEN x IS NOT NULL OR c IS NOT NULL ELSE false END"""
+
+_SLOP = f"""{_ITEM_WORDS},
+pw AS (SELECT query_id, off, term, row_number() OVER (PARTITION BY query_id ORDER BY off) - 1 AS slot
+  FROM (SELECT query_id, unnest([0, 1, 2]) AS off, unnest([w[2], w[1], w[4]]) AS term FROM q) WHERE term NOT IN ({_STOP})),
+pn AS (SELECT query_id, count(*) AS n, max(off) FILTER (slot = 0) AS o0, max(off) FILTER (slot = 1) AS o1,
+  max(off) FILTER (slot = 2) AS o2 FROM pw GROUP BY ALL),
+pi AS (SELECT query_id, sum({_IDF.format(df='df')}) AS idf FROM pw JOIN dfs USING (term) JOIN st USING (field) GROUP BY ALL),
+ev AS (SELECT query_id, doc_id, slot, pos, pos - off AS place FROM pw JOIN ft USING (term)),
+nx AS (SELECT *, {', '.join(f"min(place) FILTER (slot = {k}) OVER later AS n{k}" for k in range(3))} FROM ev
+  WINDOW later AS (PARTITION BY query_id, doc_id ORDER BY place, slot ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+mt AS (SELECT query_id, doc_id, place, n, [n0, n1, n2][slot + 1] AS own,
+  list_filter([{', '.join(f"struct_pack(k := {k}, x := n{k}, p := n{k} + o{k})" for k in range(3))}], lambda o: o.k <> slot AND o.k < n) AS others, pos
+  FROM nx JOIN pn USING (query_id)),
+hit AS (SELECT query_id, doc_id, CASE WHEN n = 1 THEN 1.0 ELSE 1 / (1 + list_max(list_transform(others, lambda o: o.x)) - place) END AS f
+  FROM mt WHERE n = 1 OR (len(list_filter(others, lambda o: o.x IS NULL OR o.p = pos)) = 0
+    AND (own IS NULL OR own > list_min(list_transform(others, lambda o: o.x)))
+    AND list_max(list_transform(others, lambda o: o.x)) - place <= query_id % 6)),
+fr AS (SELECT query_id, doc_id, sum(f) AS fr FROM hit GROUP BY ALL)
+SELECT query_id, doc_id, round(idf * {_TFN.format(tf='fr')}, 6) AS score
+FROM fr JOIN pi USING (query_id) JOIN len USING (doc_id) JOIN st USING (field)"""
+
+_WORDS = f"{_ITEM_WORDS}, bw AS (SELECT DISTINCT unnest(w) AS key FROM q)"
+
+
+_DISMAX = f"""WITH {_PART}, {_SCORED},
+f AS (SELECT doc_id, field, sum(s) AS s FROM sc WHERE term IN ({_terms('small', 'widget')}) GROUP BY ALL)
+SELECT doc_id, round(max(s) + 5 * (sum(s) - max(s)), 6) AS score FROM f GROUP BY doc_id"""
+
+
+def _lines() -> str:
+    parts = {
+        "term text from": "SELECT doc_id, s AS score FROM sc WHERE term = 'from'",
+        "boolean text +From +er ha": f"""SELECT doc_id, sum(s) AS score FROM sc WHERE term IN ({_terms('from', 'er', 'ha')})
+AND doc_id IN (SELECT doc_id FROM post WHERE term = 'from') AND doc_id IN (SELECT doc_id FROM post WHERE term = 'er') GROUP BY doc_id""",
+        'phrase text "de la"': f"SELECT * FROM ({_phrases([(0, 'de'), (1, 'la')])})",
+        "multiphrase text (de la) and (la der)": f"""SELECT doc_id, sum(CASE WHEN term = 'la' THEN 2 * s ELSE s END) AS score
+FROM sc WHERE term IN ({_terms('de', 'la', 'der')}) GROUP BY doc_id""",
+        "prefix text thin": "SELECT DISTINCT doc_id, 1.0 AS score FROM post WHERE starts_with(term, 'thin')",
+        "termrange text tha,thd": "SELECT DISTINCT doc_id, 1.0 AS score FROM post WHERE term BETWEEN 'tha' AND 'thd'",
+        "wildcard text t?e*ing": "SELECT DISTINCT doc_id, 1.0 AS score FROM post WHERE term LIKE 't_e%ing'",
+        "matchall": "SELECT p_partkey AS doc_id, 1.0 AS score FROM part",
+    }
+    union = " UNION ALL ".join(f"SELECT {_quoted(line)} AS line, doc_id, CAST(score AS DOUBLE) AS score FROM ({sql})" for line, sql in parts.items())
+    return f"""WITH {_TEXT}, {_SCORED} SELECT line, doc_id, round(score, 6) AS score FROM ({union}
+UNION ALL SELECT 'disjunction 5; name type; small widget', doc_id, score FROM ({_DISMAX}))"""
+
+
 def _author_split(pieces: str) -> str:
     return f"""WITH n AS (SELECT s_suppkey, s_name || ' and Alexander ' || n_name AS author
   FROM supplier JOIN nation ON s_nationkey = n_nationkey), p AS (SELECT s_suppkey, {pieces} AS w FROM n)
@@ -363,9 +441,23 @@ SELECT term, df, CAST(edits AS INTEGER) AS edits, round(similarity, 6) AS simila
         "fuzzy_search": f"""WITH {_TEXT}, {_FUZZY}, top AS (SELECT max(df) AS tdf FROM best)
 SELECT doc_id, round(sum(similarity * {_IDF.format(df='tdf')} * {_TFN.format(tf='tf')}), 6) AS score
 FROM post JOIN best USING (term) JOIN len USING (field, doc_id) JOIN st USING (field) CROSS JOIN top GROUP BY doc_id""",
-        "dismax_search": f"""WITH {_PART}, {_SCORED},
-f AS (SELECT doc_id, field, sum(s) AS s FROM sc WHERE term IN ({_terms('small', 'widget')}) GROUP BY ALL)
-SELECT doc_id, round(max(s) + 5 * (sum(s) - max(s)), 6) AS score FROM f GROUP BY doc_id""",
+        "dismax_search": _DISMAX,
+        "search_lines": _lines(),
+        "query_text_hits": f"WITH {_TEXT}, {_SCORED}, {_QUERY_TEXTS}",
+        "phrase_slop_batch": f"WITH {_TEXT}, {_SLOP}",
+        "wildcard_batch": f"""WITH {_TEXT}, {_WORDS}
+SELECT key, term, df FROM bw JOIN dfs ON term LIKE '%' || substr(key, 2, 3) || '%' || key[-1]""",
+        "regex_batch": f"""WITH {_TEXT}, {_WORDS},
+near AS (SELECT key, term, df FROM bw JOIN dfs ON contains(term, substr(key, 1, 3)) AND length(term) <= length(substr(key, 1, 5)) + 4)
+SELECT key, term, df FROM near
+WHERE regexp_full_match(term, '[a-z]?' || substr(key, 1, 3) || '(e|i[a-z])?' || substr(key, 4, 2) || '.')""",
+        "fuzzy_batch": f"""WITH {_TEXT}, {_WORDS},
+plain AS (SELECT term, df, {_BYTES.format('term')} AS t FROM dfs), asked AS (SELECT key, {_BYTES.format('key')} AS q FROM bw),
+few AS (SELECT key, term, df, t, q FROM plain JOIN asked ON abs(length(t) - length(q)) <= 2 AND damerau_levenshtein(t, q) <= 2),
+near AS (SELECT key, term, df, CASE WHEN t = q THEN 0 WHEN damerau_levenshtein(t, q) = 1 THEN 1 ELSE 2 END AS edits
+  FROM few WHERE levenshtein(t, q) <= 2 OR {_SWAPS})
+SELECT key, term, df, CAST(edits AS INTEGER) AS edits, round(1 - edits / least(length(term), length(key)), 6) AS similarity
+FROM near WHERE edits < least(length(term), length(key))""",
         "match_all": "SELECT p_partkey AS doc_id, CAST(1.0 AS DOUBLE) AS score FROM part",
         "match_all_count": "SELECT count(*) AS n_hits FROM part",
         "hit_totals": f"WITH {_TEXT}, {_SCORED}, {_BATCH} SELECT query_id, count(*) AS n_hits FROM hits GROUP BY query_id",

@@ -14,7 +14,7 @@ from .functions.bib import author_list, entry_key, plain_text
 from .functions.stemming import stem_vocabulary, stem_words
 from .functions.text import words_alpha, words_clean
 from .operators import fields as fielded
-from .operators import frequency, postings, proximity, search
+from .operators import frequency, lookup, postings, proximity, query_texts, search
 from .operators.tables import write_frequency_tables
 from .plans.parallelism import spread_small_scan
 from .plans.ranking import display_scores, top_k, top_k_per_query
@@ -74,6 +74,12 @@ def _text_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:
     return fielded.open_index(spark, path)
 
 
+def _text_lookup(spark: SparkSession, sf_dir: str) -> lookup.Lookup:
+    """The stored pattern and edit lookup of the documents' vocabulary."""
+    index = _text_index(spark, sf_dir)
+    return lookup.open_lookup(spark, _stored(spark, sf_dir, "text-lookup", lambda path: lookup.write_lookup(index, path)))
+
+
 def _part_index(spark: SparkSession, sf_dir: str) -> fielded.FieldIndex:
     part = spread_small_scan(_table(spark, sf_dir, "part"))
     fields = fielded.fields_of_columns(part, "p_partkey", name="p_name", type="p_type")
@@ -544,6 +550,93 @@ def batch_top10(spark, sf_dir):
     return best.select("query_id", "doc_id", "score", "rank")
 
 
+def _item_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, w)``: the letters-only words of every benchmark item."""
+    items = _table(spark, sf_dir, "benchmark")
+    return items.select(F.col("item_id").alias("query_id"), words_alpha(F.col("text")).alias("w"))
+
+
+@_query
+def query_text_hits(spark, sf_dir):
+    """A query text for every benchmark item, in eight forms: groups, phrases, signs, patterns, ranges."""
+    a, b, c, d, e, f = (F.get("w", F.lit(n)) for n in range(6))
+    text = F.concat
+    forms = [
+        text(F.lit("("), a, F.lit(" "), b, F.lit(")")),
+        text(F.lit('"'), a, F.lit(" "), b, F.lit(" "), c, F.lit('"')),
+        text(F.lit("+"), a, F.lit(" +"), b, F.lit(" -"), c),
+        text(F.lit("-"), a, F.lit(" -"), b),
+        text(a, F.lit(" AND "), b),
+        text(F.lit("+("), a, F.lit(' "'), b, F.lit(" "), c, F.lit('") -('), d, F.lit(" "), e, F.lit(") "), f),
+        text(F.lit("+"), F.substring(f, 1, 4), F.lit("* "), b),
+        text(F.lit("["), f, F.lit(" to "), f, F.lit("zz] "), c),
+    ]
+    form = F.lit(None).cast("string")
+    for number, made in enumerate(forms):
+        form = F.when(F.col("query_id") % len(forms) == number, made).otherwise(form)
+    queries = _item_words(spark, sf_dir).select("query_id", form.alias("text"))
+    return _rounded(
+        query_texts.query_hits(_text_index(spark, sf_dir), "text", queries, lookup=_text_lookup(spark, sf_dir))
+    )
+
+
+@_query
+def phrase_slop_batch(spark, sf_dir):
+    """Three words of every benchmark item in changed order, as phrases with a slop of 0 to 5."""
+    queries = _item_words(spark, sf_dir).select(
+        "query_id",
+        F.concat_ws(" ", F.get("w", F.lit(1)), F.get("w", F.lit(0)), F.get("w", F.lit(3))).alias("text"),
+        (F.col("query_id") % 6).cast("int").alias("slop"),
+    )
+    return _rounded(query_texts.phrase_batch(_text_index(spark, sf_dir), "text", queries))
+
+
+@_query
+def search_lines(spark, sf_dir):
+    """Query lines as a user types them, one of each type."""
+    text, part = _text_index(spark, sf_dir), _part_index(spark, sf_dir)
+    lines = [
+        (text, "term text from"), (text, "boolean text +From +er ha"), (text, 'phrase text "de la"'),
+        (text, "multiphrase text (de la) and (la der)"), (text, "prefix text thin"), (text, "termrange text tha,thd"),
+        (text, "wildcard text t?e*ing"), (part, "disjunction 5; name type; small widget"), (part, "matchall"),
+    ]
+    found = [query_texts.search_line(index, line).select(F.lit(line).alias("line"), "doc_id", "score") for index, line in lines]
+    return _rounded(reduce(DataFrame.unionByName, found))
+
+
+def _batch_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _item_words(spark, sf_dir).select(F.explode_outer("w").alias("word")).where(F.col("word").isNotNull())
+    return words.distinct().select(F.col("word").alias("key"), F.lit("text").alias("field"), "word")
+
+
+@_query
+def wildcard_batch(spark, sf_dir):
+    """Terms for a pattern with a leading wildcard from every word of the benchmark."""
+    patterns = _batch_words(spark, sf_dir).withColumn(
+        "pattern", F.concat(F.lit("*"), F.substring("word", 2, 3), F.lit("*"), F.right("word", F.lit(1)))
+    )
+    found = lookup.terms_of_patterns(_text_index(spark, sf_dir), patterns, _text_lookup(spark, sf_dir))
+    return found.select("key", "term", "df")
+
+
+@_query
+def regex_batch(spark, sf_dir):
+    """Terms for a regular expression from every word of the benchmark."""
+    patterns = _batch_words(spark, sf_dir).withColumn(
+        "pattern", F.concat(F.lit("[a-z]?"), F.substring("word", 1, 3), F.lit("(e|i[a-z])?"), F.substring("word", 4, 2), F.lit("."))
+    )
+    found = lookup.terms_of_patterns(_text_index(spark, sf_dir), patterns, _text_lookup(spark, sf_dir), syntax="regex")
+    return found.select("key", "term", "df")
+
+
+@_query
+def fuzzy_batch(spark, sf_dir):
+    """Terms within two edits of every word of the benchmark."""
+    words = _batch_words(spark, sf_dir).withColumn("max_edits", F.lit(2))
+    found = lookup.terms_within(_text_index(spark, sf_dir), words, _text_lookup(spark, sf_dir))
+    return found.select("key", "term", "df", "edits", F.round("similarity", 6).alias("similarity"))
+
+
 @_query
 def saved_index_search(spark, sf_dir):
     """Two batches written to a stored index, searched over the sum of both."""
