@@ -2,8 +2,8 @@
 
 Documents are written in ascending id order, each with an end id, one shard for each range
 of ids. A shard is an Arrow IPC file whose columns are fixed-size lists: ``ids`` (16 bits
-where the vocabulary allows it, else 32) and ``mask`` (false on the padding of the last
-sequence). All record batches but the last have equally many sequences, so sequence ``k``
+where the vocabulary allows it, else 32) and ``mask`` (bytes: 0 on the padding of the last
+sequence, else 1). All record batches but the last have equally many sequences, so sequence ``k``
 is row ``k % ROWS`` of batch ``k // ROWS``: a reader maps the file and gets a view without
 copying. A second Arrow file lists the shard's documents. Both are written under
 temporary names; the manifest, a table written last, names the shards that count.
@@ -173,7 +173,7 @@ def _sequences(ids: np.ndarray, length: int, kind: pa.DataType) -> pa.RecordBatc
     rows = -(-len(ids) // length)
     padded = np.zeros(rows * length, dtype=kind.to_pandas_dtype())
     padded[: len(ids)] = ids
-    mask = np.arange(rows * length) < len(ids)
+    mask = (np.arange(rows * length) < len(ids)).view(np.uint8)
     return pa.record_batch(
         {
             "ids": pa.FixedSizeListArray.from_arrays(pa.array(padded), length),
@@ -193,9 +193,11 @@ def write_token_files(
     text: str = "text",
     end_id: int = END_ID,
     length: int = LENGTH,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """Writes shards under ``folder``; returns the manifest ``(shard, file, n_docs, n_ids)``.
 
+    Documents come in ascending id order, or by the columns ``order`` first.
     Null and empty texts are documents of the end id alone. Rows with equal ids are ordered
     by their text; a null id comes first. An empty table gives an empty manifest; other columns
     are not written. ``tokenizer`` is a tokenizer file that every worker can read.
@@ -210,7 +212,7 @@ def write_token_files(
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
+        schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
         with committed(path) as sink, pa.ipc.new_file(sink, schema) as out:
             held, room = [], 0
 
@@ -238,10 +240,16 @@ def write_token_files(
             out.write_table(listed, max_chunksize=10_000)
         yield pa.record_batch({"shard": [shard], "file": [path], "n_docs": [len(size)], "n_ids": [done]})
 
+    by = [f"_by_{n}" for n in range(len(order))] + ["doc_id"]
     ordered = (
-        docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select(
+            *[F.col(column).alias(name) for name, column in zip(by, order)],
+            F.col(doc_id).cast("bigint").alias("doc_id"),
+            whole_text(text).alias("text"),
+        )
+        .repartitionByRange(*by)
+        .sortWithinPartitions(*by, "text")
+        .select("doc_id", "text")
     )
     return saved(ordered.mapInArrow(write, "shard bigint, file string, n_docs bigint, n_ids bigint"), "token-manifest")
 
@@ -252,11 +260,11 @@ def _with(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.
 
 
 def sequence(path: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (a view of the mapped file) and mask of sequence ``k`` of a shard on a mounted folder."""
+    """Ids and mask of sequence ``k`` of a shard on a mounted folder, both views of the mapped file."""
     shard = pa.ipc.open_file(pa.memory_map(located(path)[1]))
     batch = shard.get_batch(k // ROWS)
     ids = batch["ids"].slice(k % ROWS, 1).flatten().to_numpy(zero_copy_only=True)
-    return ids, batch["mask"].slice(k % ROWS, 1).flatten().to_numpy(zero_copy_only=False)
+    return ids, batch["mask"].slice(k % ROWS, 1).flatten().to_numpy(zero_copy_only=True).view(bool)
 
 
 def stored_documents(path: str) -> Iterator[tuple[int | None, int, int, int]]:
@@ -272,7 +280,7 @@ def stored_documents(path: str) -> Iterator[tuple[int | None, int, int, int]]:
                 while left:
                     if low == len(data):
                         batch = next(batches)
-                        mask = batch["mask"].flatten().to_numpy(zero_copy_only=False)
+                        mask = batch["mask"].flatten().to_numpy().view(bool)
                         data, low = batch["ids"].flatten().to_numpy()[mask].astype("<u4").tobytes(), 0
                     take = min(left, len(data) - low)
                     crc = zlib.crc32(memoryview(data)[low : low + take], crc)

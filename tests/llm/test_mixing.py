@@ -65,6 +65,68 @@ def test_share_of_a_large_source_is_held(spark):
     assert {r.source for r in mixing.mixed(docs, block_chars=40, max_share=0.3).collect()} == set(kept)
 
 
+def plain_quotas(sizes, epochs, weights=None, exponent=0.7):
+    """Target weights by the rule, then the shortest mix that uses every character."""
+    if weights:
+        known = sum(sizes[s] for s in sizes if s in weights)
+        raw = {s: weights[s] if s in weights else n * sum(weights[s] for s in sizes if s in weights) / known for s, n in sizes.items()}
+    else:
+        raw = {s: float(n) ** exponent for s, n in sizes.items()}
+    total = sum(raw.values())
+    length = min(max(n / (raw[s] / total) for s, n in sizes.items()), epochs * sum(sizes.values()))
+    return {s: max(n, min(epochs * n, round(raw[s] / total * length))) for s, n in sizes.items()}
+
+
+@pytest.mark.parametrize(("weights", "epochs"), [(None, 4), ({"a": 5, "b": 3, "c": 2}, 4), ({"a": 1, "b": 1}, 2), (None, 1)])
+def test_targets_with_epochs(spark, weights, epochs):
+    counts = {"a": 600, "b": 350, "c": 45, "d": 20}
+    docs = docs_of(spark, counts)
+    found = mixing.mix(docs, weights, block_chars=20, epochs=epochs)
+    quotas = plain_quotas({s: 10 * n for s, n in counts.items()}, epochs, weights)
+    rows = found.collect()
+    total = sum(quotas.values())
+    for source, quota in quotas.items():
+        mine = [r for r in rows if r.source == source]
+        assert len({r.doc for r in mine}) == counts[source] and all(r.kept for r in mine)
+        assert len(mine) == -(-quota // 10) and max(r.epoch for r in mine) < epochs
+        assert len({(r.doc, r.epoch) for r in mine}) == len(mine)
+    if weights and epochs == 4 and len(weights) == 3:
+        assert abs(quotas["a"] / quotas["b"] - 5 / 3) < 0.01
+    had = dict.fromkeys(quotas, 0)
+    taken = {r.slot: r.source for r in rows}
+    for n, slot in enumerate(sorted(taken)[: total // 20 - 4], 1):
+        had[taken[slot]] += 1
+        assert all(abs(had[s] - Fraction(q * n, total)) < 1 for s, q in quotas.items())
+    copies = mixing.mixed(docs, weights, epochs=epochs)
+    assert copies.columns == docs.columns
+    assert sorted(r.doc_id for r in copies.collect()) == sorted(r.doc for r in rows)
+
+
+def test_order_of_repeated_documents(spark, tmp_path):
+    docs = docs_of(spark, {"a": 300, "b": 100, "c": 30})
+    mixing.mixed(docs, epochs=4).write.parquet(str(tmp_path / "mixed"))
+    stored = spark.read.parquet(str(tmp_path / "mixed"))
+    assert stored.count() > docs.count()
+    rows = mixing.scheduled(stored, block_chars=20).orderBy("slot", "place").collect()
+    assert len(rows) == stored.count()
+    quotas = plain_quotas({"a": 3000, "b": 1000, "c": 300}, 4)
+    had = dict.fromkeys(quotas, 0)
+    for n, r in enumerate(rows[:-8], 1):
+        had[r.source] += 10
+        assert all(abs(had[s] - Fraction(q * 10 * n, sum(quotas.values()))) < 2 * 20 for s, q in quotas.items())
+
+
+def test_epochs_of_odd_tables(spark):
+    rows = [(1, None, None), (2, "a", ""), (2, "a", ""), (None, "a", "x"), (3, "b", "y" * 5000), (4, "c", "zz")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").selectExpr("*", "1 parts", "2 slot", "3 kept", "4 epoch", "5 key")
+    copies = mixing.mixed(docs, epochs=4)
+    assert copies.columns == docs.columns and {r.doc_id for r in copies.collect()} == {1, 2, 3, 4, None}
+    assert copies.where("source = 'c'").count() == 4 and copies.where("doc_id = 3").count() == 1
+    assert mixing.mixed(docs.limit(0), epochs=4).count() == 0
+    assert mixing.scheduled(docs.limit(0)).count() == 0
+    assert mixing.scheduled(docs).select("doc_id", "slot", "place").where("slot IS NULL").count() == 0
+
+
 def test_every_row_is_kept_and_paced(spark):
     docs = docs_of(spark, {"hot": 900} | {f"s{k}": 10 for k in range(9)} | {"one": 1})
     rows = mixing.mix(docs, block_chars=10).collect()
@@ -128,17 +190,18 @@ def test_edges(spark):
 def test_query(spark, sf_dir):
     rows = op6_pfair_mixing(spark, sf_dir).collect()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    assert sorted(r.doc_id for r in rows) == sorted(docs)
-    sizes, kept = {}, {}
+    assert {r.doc_id for r in rows} == set(docs) and all(r.kept for r in rows)
+    sizes, had = {}, {}
+    for d in docs.values():
+        sizes[d.source] = sizes.get(d.source, 0) + max(1, len(d.text))
+    longest = {}
     for r in rows:
         n = max(1, len(docs[r.doc_id].text))
-        sizes[r.source] = sizes.get(r.source, 0) + n
-        kept[r.source] = kept.get(r.source, 0) + n * r.kept
-    total = sum(sizes.values())
-    for source, size in sizes.items():
-        assert kept[source] == size or size > 0.25 * total
+        had[r.source] = had.get(r.source, 0) + n
+        longest[r.source] = max(n, longest.get(r.source, 0))
+    for source, quota in plain_quotas(sizes, 4).items():
+        assert quota <= had[source] < quota + longest[source]
     slots = {}
     for r in rows:
-        if r.kept:
-            slots.setdefault(r.slot, r.source)
-            assert slots[r.slot] == r.source and r.release <= r.slot < r.due
+        slots.setdefault(r.slot, r.source)
+        assert slots[r.slot] == r.source and r.release <= r.slot < r.due

@@ -1,13 +1,14 @@
 """The pipeline against the same decisions taken one after the other in plain Python."""
 
+import hashlib
 import zlib
 
 import corpus_pipeline
 import numpy as np
 from corpusloom.llm import mixing, rule_ensemble
-from pyspark.sql import functions as F
 
 from .test_decontaminate import words
+from .test_mixing import plain_quotas
 from .test_simhash import all_pairs, plain_fingerprint
 
 
@@ -41,33 +42,29 @@ def test_stages_on_whole_tables(spark, sf_dir, tmp_path, components_of):
             clean.add(d)
     assert clean < kept
 
-    mix = mixing.mix(docs.where(F.col("doc_id").isin(*clean))).collect()
-    chosen = sorted(r.doc for r in mix if r.kept)
-    sizes = {}
+    sizes, members = {}, {}
     for d in clean:
-        sizes[rows[d].source] = sizes.get(rows[d].source, 0) + len(rows[d].text)
-    for r in mix:
-        assert r.kept or sizes[r.source] > 0.25 * sum(sizes.values())
+        source = rows[d].source
+        sizes[source] = sizes.get(source, 0) + max(1, len(rows[d].text))
+        members.setdefault(source, []).append(d)
+    quotas = plain_quotas(sizes, mixing.EPOCHS)
+    expected = []
+    for source, found in members.items():
+        found.sort(key=lambda d: (hashlib.md5(f"7:{d}".encode()).hexdigest(), d))
+        upto = 0
+        while upto < quotas[source]:
+            for d in found:
+                if upto < quotas[source]:
+                    expected.append(d)
+                    upto += max(1, len(rows[d].text))
+    assert len(expected) > len(clean) == len(set(expected))
 
     encoder = tokenizers.Tokenizer.from_file(corpus_pipeline.tokenizer_file())
-    expected, start = [], 0
-    for d in chosen:
-        ids = np.array([*encoder.encode(rows[d].text, add_special_tokens=False).ids, 2], dtype="<u4")
-        expected.append((d, start, len(ids), zlib.crc32(ids.tobytes())))
-        start += len(ids)
-    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == expected
-
-
-def test_stages_keep_extra_columns_and_take_nulls(spark, tmp_path):
-    folder = str(tmp_path)
-    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
-    spark.createDataFrame([(1, "held out words " * 5)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
-    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "some words", "en", "a", 10), (4, "held out words " * 5, "en", "b", 1),
-            (5, "A last text", None, "b", 3), (5, "A last text", None, "b", 3)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    docs = docs.selectExpr("*", "1 score", "2 bucket", "3 kept", "4 slot")
-    for frame, n in ((docs, 3), (docs.limit(0), 0)):
-        for _, stage in corpus_pipeline.STAGES[:-1]:
-            frame = stage(spark, frame, folder)
-            assert frame.columns == docs.columns
-        assert corpus_pipeline.STAGES[-1][1](spark, frame, folder).count() == n
+    result = sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()), key=lambda r: r[1])
+    assert sorted(r[0] for r in result) == sorted(expected)
+    start = 0
+    for doc, begins, size, crc in result:
+        ids = np.array([*encoder.encode(rows[doc].text, add_special_tokens=False).ids, 2], dtype="<u4")
+        assert (begins, size, crc) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += size
+    assert [r[0] for r in result] != sorted(expected)
