@@ -1,7 +1,8 @@
 """Documents to packed token files: filter, deduplicate, decontaminate, mix, tokenize.
 
 Each stage works on all that the one before has kept, written as a table in the shared folder.
-Stages but the last return the columns of ``documents``.
+Stages but the last return the columns of ``documents``. Null texts are empty ones, repeated rows are rows like others
+until near-duplicates go, an empty table gives empty tables; see the operators for the rest.
 """
 
 from __future__ import annotations
@@ -30,13 +31,15 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents: the sources have their natural shares as weights."""
-    return mixing.mixed(docs)
+    """Every document, those of short sources in up to four epochs: weights are sizes to the power 0.7."""
+    return mixing.mixed(docs, epochs=mixing.EPOCHS)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of what is left, and where each document is in them."""
-    manifest = token_files.write_token_files(docs, scratch_path(spark, "tokens"), tokenizer_file())
+    """Token files of what is left in the order of the mix, and where each document is in them."""
+    manifest = token_files.write_token_files(
+        mixing.scheduled(docs), scratch_path(spark, "tokens"), tokenizer_file(), order=("slot", "place")
+    )
     return token_files.read_documents(manifest)
 
 
