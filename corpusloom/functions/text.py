@@ -29,8 +29,17 @@ STOP_WORDS = (
 # ----------------------------------------------------------------------------------
 
 _LETTERS_ONLY = r"\A\p{L}++\z"
-_INNER = r"(?:(?<=\p{L})[:.·'’](?=\p{L})|(?<=\p{N})[.,;'’](?=\p{N}))"
-_UNICODE_WORD = rf"_*+[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}_]*+(?:{_INNER}[\p{{L}}\p{{N}}_]++)*+"
+_MARKS = r"[\p{M}\u200d]*+"
+_SINGLE = r"\p{IsHan}\p{IsHiragana}"
+_KATAKANA = r"\p{IsKatakana}\u30fc"
+_UNSPACED = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_LETTERS = rf"(?:[^\P{{L}}{_SINGLE}{_KATAKANA}{_UNSPACED}]{_MARKS})++"
+_DIGITS = rf"(?:\p{{N}}{_MARKS})++"
+_RUN = rf"(?:{_LETTERS}(?:[:.·'’]{_LETTERS})*+|{_DIGITS}(?:[.,;'’]{_DIGITS})*+)"
+_UNICODE_WORD = (
+    rf"[{_SINGLE}]{_MARKS}|(?:[{_KATAKANA}]{_MARKS})++|(?:[{_UNSPACED}]{_MARKS})++|(?:_*+{_RUN})++_*+"
+)
+LONGEST_WORD = 255
 
 
 def words_alpha(text: Column, strip_first: bool = False) -> Column:
@@ -63,15 +72,24 @@ def words_clean(text: Column) -> Column:
 def words_standard(text: Column, unicode_words: bool = False) -> Column:
     """Lowercased runs of letters and digits, stop words still in place.
 
-    ``unicode_words=True`` keeps inner apostrophes and digit separators
-    (``don't``, ``3.14``) as word-boundary segmentation does.
+    ``unicode_words=True`` cuts by classes of characters as word-boundary segmentation does: combining marks
+    belong to what they follow, inner apostrophes, stops and digit separators stay (``don't``, ``3.14``), underscores join,
+    ideographs and hiragana are words one by one, katakana and scripts without spaces are whole runs. Words longer than 255
+    characters are cut.
     """
     lowered = F.lower(text)
     if unicode_words:
-        return F.regexp_extract_all(lowered, F.lit(_UNICODE_WORD), F.lit(0))
+        words = F.regexp_extract_all(lowered, F.lit(_UNICODE_WORD), F.lit(0))
+        long = F.exists(words, lambda w: F.length(w) > LONGEST_WORD)
+        return F.when(long, F.flatten(F.transform(words, _cut))).otherwise(words)
     return F.array_remove(F.split(lowered, r"[^\p{L}\p{N}]++"), "")
 
 
+def _cut(word: Column) -> Column:
+    starts = F.sequence(F.lit(1), F.length(word), F.lit(LONGEST_WORD))
+    return F.transform(starts, lambda at: F.substr(word, at, F.lit(LONGEST_WORD)))
+
+
 def drop_stop_words(words: Column) -> Column:
     return F.filter(words, lambda w: ~w.isin(STOP_WORDS))
 

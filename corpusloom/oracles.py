@@ -334,6 +334,19 @@ FROM sc WHERE term IN ({_terms('de', 'la', 'der')}) GROUP BY doc_id""",
 UNION ALL SELECT 'disjunction 5; name type; small widget', doc_id, score FROM ({_DISMAX}))"""
 
 
+_MARKS = r"[\p{M}\x{200d}]*"
+_SPECIAL = r"\p{Han}\p{Hiragana}\p{Katakana}\x{30fc}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_L, _N = rf"(?:[^\P{{L}}{_SPECIAL}]{_MARKS})+", rf"(?:\p{{N}}{_MARKS})+"
+_SEGMENTS = (
+    rf"[\p{{Han}}\p{{Hiragana}}]{_MARKS}|(?:[\p{{Katakana}}\x{{30fc}}]{_MARKS})+|(?:[\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}]{_MARKS})+"
+    rf"|(?:_*(?:{_L}(?:[:.·''’]{_L})*|{_N}(?:[.,;''’]{_N})*))+_*"
+)
+_BATCH_TOP10 = f"""WITH {_TEXT}, {_SCORED}, {_BATCH},
+r AS (SELECT query_id, doc_id, round(score, 6) AS score,
+  row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM hits)
+SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
+
+
 def _author_split(pieces: str) -> str:
     return f"""WITH n AS (SELECT s_suppkey, s_name || ' and Alexander ' || n_name AS author
   FROM supplier JOIN nation ON s_nationkey = n_nationkey), p AS (SELECT s_suppkey, {pieces} AS w FROM n)
@@ -443,6 +456,22 @@ SELECT doc_id, round(sum(similarity * {_IDF.format(df='tdf')} * {_TFN.format(tf=
 FROM post JOIN best USING (term) JOIN len USING (field, doc_id) JOIN st USING (field) CROSS JOIN top GROUP BY doc_id""",
         "dismax_search": _DISMAX,
         "search_lines": _lines(),
+        "term_search_one_byte": f"""WITH {_TEXT},
+short AS (SELECT field, doc_id, CASE WHEN dl < 40 THEN dl ELSE 24 + (((dl - 24) >> CAST(floor(log2(dl - 24)) - 3 AS BIGINT))
+  << CAST(floor(log2(dl - 24)) - 3 AS BIGINT)) END AS dl FROM len)
+SELECT doc_id, round({_IDF.format(df='df')} * {_TFN.format(tf='tf')}, 6) AS score
+FROM post JOIN dfs USING (field, term) JOIN short USING (field, doc_id) JOIN st USING (field) WHERE term = 'from'""",
+        "segmented_words": rf"""WITH texts AS (SELECT text FROM documents UNION ALL
+  SELECT replace(text, 'é', 'e' || chr(769)) || ' 日本語テストー ひら don''t 3.14 1,000.5 a_b ก็ดี x.1 ' || repeat('y', 300) FROM documents),
+w AS (SELECT unnest(regexp_extract_all(lower(text), '{_SEGMENTS}')) AS term FROM texts),
+cut AS (SELECT unnest([term[i:i + 254] FOR i IN range(1, length(term) + 1, 255)]) AS term FROM w)
+SELECT term, count(*) AS n FROM cut GROUP BY term""",
+        "top10_and_total": f"""WITH {_TEXT}, {_SCORED},
+h AS (SELECT doc_id, round(sum(s), 6) AS score FROM sc WHERE term IN ({_terms('from', 'er', 'ha')}) GROUP BY doc_id)
+SELECT doc_id, score, (SELECT count(*) FROM h) AS n_hits FROM h ORDER BY score DESC, doc_id LIMIT 10""",
+        "merged_index_search": f"""WITH {_index("SELECT doc_id, 'text' AS field, text AS v FROM documents WHERE doc_id % 7 <> 0")}, {_SCORED}
+SELECT doc_id, round(sum(s), 6) AS score FROM sc WHERE term IN ({_terms('from', 'er', 'ha')}) GROUP BY doc_id""",
+        "index_modes": f"WITH {_PART} SELECT field, n_docs, round(avgdl, 6) AS avg_len FROM st WHERE field = 'type'",
         "query_text_hits": f"WITH {_TEXT}, {_SCORED}, {_QUERY_TEXTS}",
         "phrase_slop_batch": f"WITH {_TEXT}, {_SLOP}",
         "wildcard_batch": f"""WITH {_TEXT}, {_WORDS}
@@ -461,10 +490,8 @@ FROM near WHERE edits < least(length(term), length(key))""",
         "match_all": "SELECT p_partkey AS doc_id, CAST(1.0 AS DOUBLE) AS score FROM part",
         "match_all_count": "SELECT count(*) AS n_hits FROM part",
         "hit_totals": f"WITH {_TEXT}, {_SCORED}, {_BATCH} SELECT query_id, count(*) AS n_hits FROM hits GROUP BY query_id",
-        "batch_top10": f"""WITH {_TEXT}, {_SCORED}, {_BATCH},
-r AS (SELECT query_id, doc_id, round(score, 6) AS score,
-  row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM hits)
-SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""",
+        "batch_top10": _BATCH_TOP10,
+        "block_max_top10": _BATCH_TOP10,
         "saved_index_search": f"""WITH {_TEXT}, {_SCORED}
 SELECT CASE WHEN lang = 'en' THEN doc_id ELSE doc_id + 1 + (SELECT max(doc_id) FROM documents WHERE lang = 'en') END AS doc_id,
   round(sum(s), 6) AS score FROM sc JOIN documents USING (doc_id) WHERE term IN ({_terms('de', 'from', 'er')}) GROUP BY doc_id, lang""",

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions.bib import author_list, entry_key, plain_text
 from .functions.stemming import stem_vocabulary, stem_words
-from .functions.text import words_alpha, words_clean
+from .functions.text import words_alpha, words_clean, words_standard
 from .operators import fields as fielded
-from .operators import frequency, lookup, postings, proximity, query_texts, search
+from .operators import best, frequency, lookup, postings, proximity, query_texts, search
 from .operators.tables import write_frequency_tables
 from .plans.parallelism import spread_small_scan
 from .plans.ranking import display_scores, top_k, top_k_per_query
@@ -550,6 +550,42 @@ def batch_top10(spark, sf_dir):
     return best.select("query_id", "doc_id", "score", "rank")
 
 
+@_query
+def term_search_one_byte(spark, sf_dir):
+    """A term scored with document lengths as one byte holds them."""
+    fields = fielded.fields_of_columns(_docs(spark, sf_dir), "doc_id", text="text")
+    path = _stored(spark, sf_dir, "one-byte-index", lambda path: fielded.write_index(fields, path, one_byte_lengths=True))
+    return _rounded(search.term_search(fielded.open_index(spark, path), "text", "from"))
+
+
+@_query
+def segmented_words(spark, sf_dir):
+    """Words of all documents and of the same with combining accents, ideographs, numbers and a very long word added."""
+    docs = _docs(spark, sf_dir)
+    strange = F.concat(
+        F.replace("text", F.lit("é"), F.lit("e\u0301")), F.lit(" 日本語テストー ひら don't 3.14 1,000.5 a_b ก็ดี x.1 "), F.repeat(F.lit("y"), 300)
+    )
+    both = docs.select("text").unionByName(docs.select(strange.alias("text")))
+    words = both.select(F.explode_outer(words_standard(F.col("text"), unicode_words=True)).alias("term"))
+    return words.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("n"))
+
+
+@_query
+def block_max_top10(spark, sf_dir):
+    """Best ten documents for every benchmark item, from the blocks that can hold them."""
+    queries = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = _rounded(best.best_hits_batch(_text_index(spark, sf_dir), "text", queries))
+    return top_k_per_query(found).select("query_id", "doc_id", "score", "rank")
+
+
+@_query
+def top10_and_total(spark, sf_dir):
+    """The best ten hits of a query and the number of all, from one pass."""
+    hits = search.any_words(_text_index(spark, sf_dir), "text", "from er ha")
+    shown, total = best.top_k_with_total(_rounded(hits))
+    return shown.withColumn("n_hits", F.lit(total).cast("bigint"))
+
+
 def _item_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, w)``: the letters-only words of every benchmark item."""
     items = _table(spark, sf_dir, "benchmark")
@@ -653,6 +689,36 @@ def saved_index_search(spark, sf_dir):
     return _rounded(search.boolean_search(index, "text", should="de from er"))
 
 
+@_query
+def merged_index_search(spark, sf_dir):
+    """Six batches appended, every seventh document deleted before and after a merge, and a search of what is left."""
+    path = scratch_path(spark, "index")
+    documents = spread_small_scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    for part in range(6):
+        some = documents.where(F.col("doc_id") % 6 == part).withColumn("doc_id", F.col("doc_id").cast("string"))
+        fielded.write_index(fielded.fields_of_columns(some, "doc_id", text="text"), path, "create" if part == 0 else "append")
+    gone = documents.where(F.col("doc_id") % 7 == 0).select(F.col("doc_id").cast("string").alias("doc_id"))
+    fielded.delete_documents(spark, path, gone.where(F.col("doc_id").cast("bigint") % 2 == 0))
+    fielded.merge_batches(spark, path)
+    fielded.delete_documents(spark, path, gone)
+    index = fielded.merge_batches(spark, path, everything=True)
+    hits = search.boolean_search(index, "text", should="from er ha")
+    return _rounded(hits).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@_query
+def index_modes(spark, sf_dir):
+    """An index of parts overwritten by one of their types, then opened by a call that writes nothing."""
+    path = scratch_path(spark, "index")
+    part = spread_small_scan(_table(spark, sf_dir, "part"))
+    names = fielded.fields_of_columns(part, "p_partkey", name="p_name")
+    fielded.write_index(names, path)
+    fielded.write_index(names, path, "append")
+    fielded.write_index(fielded.fields_of_columns(part, "p_partkey", type="p_type"), path, "overwrite")
+    index = fielded.write_index(names, path, "read")
+    return fielded.field_stats(index).select("field", "n_docs", F.round("avg_len", 6).alias("avg_len"))
+
+
 # --- bibliography ---------------------------------------------------------------------------
 def _part_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(p_partkey, entry)``: parts as bibliography entries."""

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -71,3 +73,33 @@ def test_tokenizers_match_plain_python(spark, texts):
         assert alpha == [w.lower() for w in t.split() if w.lower().isalpha()]
         spaced = re.sub(r"[\n\r!.,:]", " ", DELETED.sub("", t.lower()))
         assert clean == [w for w in spaced.split(" ") if w]
+
+
+@pytest.mark.parametrize(
+    ("text", "words"),
+    [
+        ("The quick (\u201cbrown\u201d) fox can\u2019t jump 32.3 feet, right?", "the quick brown fox can\u2019t jump 32.3 feet right".split()),
+        ("cafe\u0301s Ze\u200dro", ["cafe\u0301s", "ze\u200dro"]),
+        ("日本語 テスト ひら한국어", ["日", "本", "語", "テスト", "ひ", "ら", "한국어"]),
+        ("カタカナー語x", ["カタカナー", "語", "x"]),
+        ("สวัสดี a", ["สวัสดี", "a"]),
+        ("1,000.5 3,a a:b x.1 1.x _a_ __ a_1 O'Neil's", ["1,000.5", "3", "a", "a:b", "x", "1", "1", "x", "_a_", "a_1", "o'neil's"]),
+        ("\u0301 x\u0301\u0302y", ["x\u0301\u0302y"]),
+        ("z" * 600, ["z" * 255, "z" * 255, "z" * 90]),
+        ("", []),
+    ],
+)
+def test_word_segmentation(spark, text, words):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(tx.words_standard(F.col("t"), unicode_words=True)).first()[0] == words
+
+
+def test_one_byte_lengths(spark):
+    from corpusloom.functions.scoring import one_byte_length
+
+    frame = spark.range(1, 100_000).select(F.col("id").cast("int").alias("n"), one_byte_length(F.col("id").cast("int")).alias("kept"))
+    rows = {r.n: r.kept for r in frame.collect()}
+    assert all(rows[n] == n for n in range(1, 40))
+    assert [rows[n] for n in (40, 41, 42, 55, 56, 59, 60, 87, 88, 96, 1000)] == [40, 40, 42, 54, 56, 56, 60, 84, 88, 96, 984]
+    assert len(set(rows.values())) < 256 - 24
+    assert all(0 <= n - kept <= (n - 24) / 8 for n, kept in rows.items() if n >= 40)
