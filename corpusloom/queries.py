@@ -54,12 +54,23 @@ def _clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.positioned_tokens(_docs(spark, sf_dir), stemmed=False)
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple, str] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
+    """Names, sizes and times of the files of some tables: another listing means other tables."""
+    found = []
+    for name in tables:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = system.listStatus(folder)
+        found += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(found))
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
-    """Path of what ``write`` has stored, once for each application and folder of tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """Path of what ``write`` has stored, once for each application and state of the tables."""
+    key = (spark.sparkContext.applicationId, name, _written(spark, sf_dir, ("documents", "part")))
     if key not in _STORED:
         path = scratch_path(spark, name)
         write(path)
