@@ -369,6 +369,7 @@ def all_oracles() -> dict[str, str]:
         "unigrams_alphabetical": _ngram_counts(1),
         "unigrams_ranked": _ranked(1),
         "bigrams_ranked": _ranked(2),
+        "streamed_bigrams_ranked": _ranked(2),
         "trigrams_ranked": _ranked(3),
         "corpus_scan_ranked": f"""WITH numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY doc_id) - 1 AS place FROM documents),
 r AS ({_ranked(2)})

@@ -23,6 +23,7 @@ from .session import ship_package
 from .sources import bibliography
 from .sources.corpus import from_table, numbered_files, read_corpus, read_corpus_lines
 from .streaming.incremental import corpus_stream
+from .streaming.running import open_counts, running_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -143,7 +144,11 @@ def _ranked(spark, sf_dir, n):
 
 
 def _first_places(occurrences: DataFrame) -> DataFrame:
-    ranked = frequency.rank_by_count(frequency.counts_from_ngrams(occurrences))
+    return _ranked_places(frequency.counts_from_ngrams(occurrences))
+
+
+def _ranked_places(counts: DataFrame) -> DataFrame:
+    ranked = frequency.rank_by_count(counts)
     step = F.lit(1 << 31).cast("decimal(10,0)")
     return ranked.select(
         "ngram",
@@ -256,6 +261,18 @@ def corpus_lines_terms(spark, sf_dir):
     return summary.select("term", "total")
 
 
+@_query
+def streamed_bigrams_ranked(spark, sf_dir):
+    """Word pairs by count, kept by a stream that reads the documents in several micro-batches."""
+    folder, table = scratch_path(spark, "arriving"), scratch_path(spark, "counts")
+    _docs(spark, sf_dir).repartition(6).write.parquet(folder)
+    stream = spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 2).parquet(folder)
+    running_counts(stream, 2, table).option("checkpointLocation", scratch_path(spark, "stream")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return _ranked_places(open_counts(spark, table))
+
+
 @_query
 def streamed_unigrams(spark, sf_dir):
     """Counts kept by a stream over the corpus folder, after the last of its micro-batches."""

@@ -59,3 +59,34 @@ def test_streams_add_to_an_index_and_to_each_other(spark, tmp_path):
         ).trigger(availableNow=True).start().awaitTermination(120)
     found = term_search(open_index(spark, index), "text", "gear").collect()
     assert sorted(r.doc_id for r in found) == ["old", "one.txt", "two.txt"]
+
+
+def test_running_counts_hand_on_only_what_changes(spark, tmp_path):
+    from collections import Counter
+
+    from corpusloom.operators.frequency import counts_from_ngrams, ngrams, rank_by_count
+    from corpusloom.streaming import running as ru
+
+    folder, path = tmp_path / "in", str(tmp_path / "counts")
+
+    def run():
+        docs = inc.corpus_stream(spark, str(folder), ".txt", max_files=1)
+        ru.running_counts(docs, 1, path).option("checkpointLocation", str(tmp_path / "cp")).trigger(
+            availableNow=True
+        ).start().awaitTermination(180)
+
+    many = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400))
+    write(folder, b="tie " + many)
+    run()
+    write(folder, a="tie other", c="other new new")
+    run()
+    write(folder, d="tie")
+    run()
+    changes = [spark.read.parquet(f"{path}/changes/batch={n}").count() for n in range(4)]
+    assert changes[0] == 401 and sorted(changes[1:]) == [1, 2, 2]
+    found = rank_by_count(ru.open_counts(spark, path)).collect()
+    batch = rank_by_count(counts_from_ngrams(ngrams(read_corpus(spark, str(folder), ".txt"), 1))).collect()
+    assert [(r.ngram, r.n, r.first) for r in found] == [(r.ngram, r.n, r.first) for r in batch]
+    assert Counter({r.ngram: r.n for r in found})["tie"] == 3
+    assert [r.ngram for r in found[:3]] == ["tie", "other", "new"]
+    assert len(ru._numbers(spark, f"{path}/base", "upto")) == 1
