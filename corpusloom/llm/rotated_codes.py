@@ -8,27 +8,32 @@ its coordinates, ``code / sqrt(D)``, together with the correction factor
 upper bound stays below the threshold are dismissed; all others get the exact cosine in
 double precision.
 
-Candidates come from sign bits of further random projections: ``TABLES`` tables of
-``BITS`` bits. Two vectors of cosine c agree in a table with probability
-``(1 - acos(c) / pi) ** BITS``; with the defaults a pair just at 0.93 is missed with
-probability 9e-6, one at 0.96 with 4e-8. The parameters don't depend on the data's size.
+Codes, correction factors and the rotated vectors rounded to bytes are worked out once and stored. What travels to the
+buckets are these; full vectors are joined only to rows that have an undecided partner in a bucket.
+
+Candidates come from sign bits of further random projections: tables of keys of :func:`table_size` bits, which grow with the
+number of vectors so that buckets don't. Two vectors of cosine c agree in a table of b bits with probability
+``(1 - acos(c) / pi) ** b``; there are so many tables that a pair just at the threshold is missed
+with probability ``MISSED`` at most: 48 tables of 12 bits at 0.93 up to 262,144 vectors, 127 of 18 bits at 16 million.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .buckets import bucket_links
+from .buckets import _pairs, bucket_links, tiled, whole_runs
 from .components import connected_components
 from .tables import python_tasks, saved
 
 THRESHOLD = 0.93
 TABLES = 48
 BITS = 12
+MISSED = 1e-5
 BOUND = 4.0
 SEED = 20_011
 
@@ -51,7 +56,14 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 def table_keys(unit: np.ndarray, tables: int, bits: int) -> np.ndarray:
     signs = (unit @ projections(unit.shape[1], tables, bits) > 0).reshape(-1, tables, bits)
-    return (signs * (1 << np.arange(bits))).sum(axis=2).astype(np.uint16)
+    return (signs * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+
+
+def table_size(vectors: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """Number of tables and bits of a key for so many vectors."""
+    bits = min(30, max(BITS, round(math.log2(max(1, vectors))) - 6))
+    agree = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
+    return max(TABLES, math.ceil(math.log(MISSED) / math.log1p(-agree))) if agree < 1 else TABLES, bits
 
 
 def encode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,8 +81,18 @@ def estimate(code: np.ndarray, factor: np.ndarray, other: np.ndarray) -> tuple[n
     return guess, BOUND * spread
 
 
-def indexed(classes: DataFrame, tables: int = TABLES, bits: int = BITS) -> DataFrame:
-    """A row for each vector and table: its bucket, the keys of all tables and the vector."""
+def packed_codes(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sign bits of rotated vectors, the vectors as bytes, and the size of a byte's step."""
+    step = np.abs(turned).max(axis=1) / 127
+    return np.packbits(turned > 0, axis=1), np.rint(turned / step[:, None]).astype(np.int8), step
+
+
+def unpacked_codes(bits: np.ndarray, size: int) -> np.ndarray:
+    return np.where(np.unpackbits(bits, axis=1, count=size), 1.0, -1.0)
+
+
+def stored_codes(classes: DataFrame, tables: int, bits: int) -> DataFrame:
+    """``(id, label, copies, size, keys, code, factor, bytes, step)``: what is known of each vector but itself."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -82,81 +104,146 @@ def indexed(classes: DataFrame, tables: int = TABLES, bits: int = BITS) -> DataF
                 begins = np.cumsum(sizes) - sizes
                 for size in np.unique(sizes):
                     at = np.flatnonzero(sizes == size)
-                    vectors = flat[begins[at][:, None] + np.arange(size)]
-                    keys = table_keys(unit_rows(vectors.astype(float)), tables, bits)
-                    many = np.repeat(np.arange(len(at)), tables)
-                    source = pa.array(at[many])
-                    packed = pa.array([k.tobytes() for k in keys], pa.binary())
-                    held = pa.array([v.tobytes() for v in vectors], pa.binary())
+                    unit = unit_rows(flat[begins[at][:, None] + np.arange(size)].astype(float))
+                    turned, _, factor = encode(unit)
+                    code, rounded, step = packed_codes(turned)
+                    keys = table_keys(unit, tables, bits)
+                    places = np.arange(0, (len(at) + 1) * tables, tables, dtype=np.int32)
+                    source = pa.array(at)
                     yield pa.record_batch(
                         {
                             "id": batch["id"].take(source),
                             "label": batch["label"].take(source),
                             "copies": batch["copies"].take(source),
-                            "size": pa.array(np.full(len(many), size, dtype=np.int32)),
-                            "table": pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at))),
-                            "key": pa.array(keys.reshape(-1).astype(np.int32)),
-                            "keys": packed.take(pa.array(many)),
-                            "vector": held.take(pa.array(many)),
+                            "size": pa.array(np.full(len(at), size, dtype=np.int32)),
+                            "keys": pa.ListArray.from_arrays(pa.array(places), pa.array(keys.reshape(-1))),
+                            "code": pa.array([c.tobytes() for c in code], pa.binary()),
+                            "factor": pa.array(factor),
+                            "bytes": pa.array([r.tobytes() for r in rounded], pa.binary()),
+                            "step": pa.array(step),
                         }
                     )
 
     schema = (
-        "id bigint, label string, copies bigint, size int, table int, key int, keys binary, vector binary"
+        "id bigint, label string, copies bigint, size int, keys array<int>, code binary, factor double, bytes binary, step double"
     )
-    found = classes.select("id", "label", "vector", "copies").mapInArrow(rows, schema)
-    return found.select(
+    return saved(classes.select("id", "label", "vector", "copies").mapInArrow(rows, schema), "codes")
+
+
+def indexed(codes: DataFrame) -> DataFrame:
+    """A row for each vector and table: its bucket, the keys of the tables before, code and factor."""
+    exploded = codes.select("*", F.posexplode("keys").alias("table", "key"))
+    return exploded.select(
         F.xxhash64("label", "size", "table", "key").alias("bucket"),
-        "id", "label", "copies", "size", "table", "keys", "vector",
+        "id", "label", "copies", "size", "table", "key", F.slice("keys", F.lit(1), F.col("table")).alias("earlier"),
+        "code", "factor", "bytes", "step",
     )
 
 
+class _Held:
+    """The rows of an Arrow table of an index, and which of their pairs the codes leave undecided."""
+
+    def __init__(self, held: pa.Table, threshold: float):
+        self.threshold = threshold
+        self.label = np.unique(held["label"].to_numpy().astype(str), return_inverse=True)[1]
+        self.size, self.table, self.key = (held[c].to_numpy() for c in ("size", "table", "key"))
+        earlier = held["earlier"].combine_chunks()
+        self.flat, self.begins = earlier.flatten().to_numpy(), np.r_[0, np.cumsum(self.table)]
+        self.factor, step = held["factor"].to_numpy(), held["step"].to_numpy()
+        self.by_size = {}
+        for n in np.unique(self.size):
+            at = np.flatnonzero(self.size == n)
+            code = b"".join(held["code"].take(pa.array(at)).to_pylist())
+            rounded = b"".join(held["bytes"].take(pa.array(at)).to_pylist())
+            place = np.zeros(len(self.size), dtype=np.int64)
+            place[at] = np.arange(len(at))
+            signs = unpacked_codes(np.frombuffer(code, np.uint8).reshape(len(at), -1), int(n))
+            turned = np.frombuffer(rounded, np.int8).reshape(len(at), n) * step[at][:, None]
+            self.by_size[int(n)] = at, place, signs, turned, step[at] * np.sqrt(n) / 2
+
+    def first_meeting(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether pairs are of one label, size and table, and don't share a key of an earlier table."""
+        first = (self.label[i] == self.label[j]) & (self.size[i] == self.size[j]) & (self.table[i] == self.table[j])
+        first &= self.key[i] == self.key[j]
+        for table in np.unique(self.table[i[first]]):
+            at = np.flatnonzero(first & (self.table[i] == table))
+            if table:
+                a, b = (self.flat[self.begins[k[at]][:, None] + np.arange(table)] for k in (i, j))
+                first[at] = ~(a == b).any(axis=1)
+        return first
+
+    def undecided(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs that meet here first and whose upper bound reaches the threshold; rounding to bytes widens the bound."""
+        found = self.first_meeting(i, j)
+        for n, (_, place, signs, turned, rounding) in self.by_size.items():
+            at = np.flatnonzero(found & (self.size[i] == n))
+            p, q = place[i[at]], place[j[at]]
+            factor = self.factor[i[at]]
+            guess, width = estimate(signs[p], factor, turned[q])
+            found[at] = guess + width + rounding[q] / factor >= self.threshold
+        return found
+
+
+def _some_at_once(test, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    parts = [test(i[low : low + (1 << 14)], j[low : low + (1 << 14)]) for low in range(0, len(i), 1 << 14)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=bool)
+
+
+def rows_in_doubt(index: DataFrame, threshold: float) -> DataFrame:
+    """``(bucket, id)`` of the rows that have an undecided partner in their bucket."""
+    tiles = tiled(index)
+    dealt = tiles.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "id")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, ("bucket", "tile")):
+            bucket, tile = table["bucket"].to_numpy(), table["tile"].to_numpy()
+            same = (bucket[1:] == bucket[:-1]) & (tile[1:] == tile[:-1])
+            table = table.take(pa.array(np.flatnonzero(np.r_[same, False] | np.r_[False, same])))
+            if not table.num_rows:
+                continue
+            bucket, tile = table["bucket"].to_numpy(), table["tile"].to_numpy()
+            own, side = table["own"].to_numpy(zero_copy_only=False), table["side"].to_numpy()
+            begins = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (tile[1:] != tile[:-1])])
+            lengths = np.diff(np.r_[begins, len(bucket)])
+            held, doubt = _Held(table, threshold), np.zeros(len(bucket), dtype=bool)
+            for i, j in _pairs(np.repeat(begins, lengths), np.repeat(begins + lengths, lengths)):
+                meet = own[i] | (side[i] != side[j])
+                i, j = i[meet], j[meet]
+                open_pairs = _some_at_once(held.undecided, i, j)
+                doubt[i[open_pairs]] = doubt[j[open_pairs]] = True
+            yield pa.record_batch({"bucket": pa.array(bucket[doubt]), "id": table["id"].combine_chunks().filter(pa.array(doubt))})
+
+    return dealt.mapInArrow(compared, "bucket bigint, id bigint").distinct()
+
+
 def vector_links(classes: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, bits: int = BITS) -> DataFrame:
     """``(a, b, n)`` as ``bucket_links`` gives it, over ``(id, label, vector, copies)`` rows.
 
     A pair that meets in several tables is looked at in the first of them only, so
     counts of links need no list of pairs.
     """
-
     kind = "<f4" if classes.schema["vector"].dataType.elementType.typeName() == "float" else "<f8"
+    index = indexed(stored_codes(classes, tables, bits))
+    doubt = saved(rows_in_doubt(index, threshold), "rows-in-doubt")
+    fetched = saved(doubt.join(index, ["bucket", "id"]).join(classes.select("id", "vector"), "id"), "fetched-vectors")
 
     def near(held: pa.Table):
-        label = np.unique(held["label"].to_numpy().astype(str), return_inverse=True)[1]
-        size, table = held["size"].to_numpy(), held["table"].to_numpy()
-        keys = np.frombuffer(b"".join(held["keys"].to_pylist()), np.uint16).reshape(len(table), -1)
-        by_size = {}
-        for n in np.unique(size):
-            at = np.flatnonzero(size == n)
-            packed = b"".join(held["vector"].take(pa.array(at)).to_pylist())
-            unit = unit_rows(np.frombuffer(packed, kind).reshape(len(at), n).astype(float))
-            place = np.zeros(len(size), dtype=np.int64)
-            place[at] = np.arange(len(at))
-            by_size[n] = place, unit, *encode(unit)
-        earlier = np.arange(keys.shape[1])
-
-        def test(i, j):
-            linked = np.zeros(len(i), dtype=bool)
-            for low in range(0, len(i), 1 << 14):
-                linked[low : low + (1 << 14)] = some(i[low : low + (1 << 14)], j[low : low + (1 << 14)])
-            return linked
+        rows = _Held(held, threshold)
+        lists = held["vector"].combine_chunks()
+        flat, sizes = lists.flatten().to_numpy().astype(kind), np.diff(lists.offsets.to_numpy())
+        begins = np.cumsum(sizes) - sizes
+        unit = {n: unit_rows(flat[begins[at][:, None] + np.arange(n)].astype(float)) for n, (at, *_) in rows.by_size.items()}
 
         def some(i, j):
-            linked = (label[i] == label[j]) & (size[i] == size[j]) & (table[i] == table[j])
-            at = np.flatnonzero(linked)
-            linked[at] = ~((keys[i[at]] == keys[j[at]]) & (earlier < table[i[at]][:, None])).any(axis=1)
-            for n, (place, unit, turned, code, factor) in by_size.items():
-                at = np.flatnonzero(linked & (size[i] == n))
-                p, q = place[i[at]], place[j[at]]
-                guess, width = estimate(code[p], factor[p], turned[q])
-                undecided = guess + width >= threshold
-                linked[at[~undecided]] = False
-                at, p, q = at[undecided], p[undecided], q[undecided]
-                linked[at] = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
+            linked = rows.undecided(i, j)
+            for n, (_, place, *_) in rows.by_size.items():
+                at = np.flatnonzero(linked & (rows.size[i] == n))
+                linked[at] = np.einsum("ij,ij->i", unit[n][place[i[at]]], unit[n][place[j[at]]]) >= threshold
             return linked
 
-        return test
+        return lambda i, j: _some_at_once(some, i, j)
 
-    return bucket_links(indexed(classes, tables, bits), near, weight="copies")
+    return bucket_links(fetched, near, weight="copies")
 
 
 def near_duplicate_vectors(
@@ -165,16 +252,17 @@ def near_duplicate_vectors(
     embedding: str = "embedding",
     label: str = "label",
     threshold: float = THRESHOLD,
-    tables: int = TABLES,
-    bits: int = BITS,
+    tables: int | None = None,
+    bits: int | None = None,
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``vectors``.
 
     Rows are compared only with rows of an equal label that is not null. Vectors that
     are null, empty, zero, or hold null or non-finite components link with nothing, nor do
     vectors of unequal lengths link with each other. Equal vectors of a label are one class
-    and are not compared again, yet count as links of each other. ``vec_id`` is unique; an
-    empty table gives an empty result, other columns are not looked at.
+    and are not compared again, yet count as links of each other. Rows with an equal ``vec_id`` are rows of their
+    own: each counts the other, if they link, and both have the component's id. An empty table gives an empty result, other
+    columns are not looked at. ``tables`` and ``bits`` are :func:`table_size` unless given.
     """
     python_tasks(vectors.sparkSession)
     single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
@@ -191,22 +279,32 @@ def near_duplicate_vectors(
     )
     good = chosen.where(usable)
     classes = saved(
-        good.groupBy("label", "vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")),
+        good.groupBy("label", "vector")
+        .agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "vectors",
     )
-    found = saved(vector_links(classes, threshold, tables, bits), "vector-links")
-    # The first id of a class stands for it: links count all copies on both sides.
+    many, wide = table_size(classes.count(), threshold)
+    found = saved(vector_links(classes, threshold, tables or many, bits or wide), "vector-links")
+    # A class stands for its rows: links count all copies on both sides.
     reached = connected_components(found.where(F.col("b").isNotNull()).select("a", "b"))
     links = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    rooted = saved(
+        classes.select("id", "first")
+        .join(reached.select(F.col("node").alias("id"), "root"), "id", "left")
+        .select("id", "first", F.coalesce("root", "id").alias("root")),
+        "vector-classes",
+    )
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     placed = (
         classes.select("id", "label", "vector", "copies")
         .join(links, "id", "left")
-        .join(reached.select(F.col("node").alias("id"), "root"), "id", "left")
+        .join(rooted.select("id", "root").join(smallest, "root"), "id")
         .select(
             "label",
             "vector",
             (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"),
-            F.coalesce("root", "id").alias("component_id"),
+            "component_id",
         )
     )
     linked = good.join(placed, ["label", "vector"]).select("vec_id", "n_links", "component_id")

@@ -44,6 +44,40 @@ def test_edges_and_a_crowded_group(spark, components_of):
     assert rc.near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
+def test_repeated_ids(spark):
+    a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
+    rows = [(1, a, 1), (1, a, 1), (2, [1.0, 0.01, 0.1], 1), (2, b, 1), (3, b, 1), (4, b, 2), (4, b, 2)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    found = sorted(map(tuple, rc.near_duplicate_vectors(frame).collect()))
+    assert found == [(1, 2, 1, True), (1, 2, 1, True), (2, 1, 2, True), (2, 2, 1, False), (3, 1, 2, False), (4, 1, 4, True), (4, 1, 4, True)]
+
+
+def test_tables_grow_with_the_vectors():
+    assert rc.table_size(50_000) == rc.table_size(0) == (48, 12)
+    tables, bits = rc.table_size(1 << 30)
+    assert bits == 24 and 200 < tables < 300
+    agree = (1 - np.arccos(0.93) / np.pi) ** bits
+    assert (1 - agree) ** tables <= 1e-5
+
+
+def test_wide_keys_find_the_same(spark, sf_dir, components_of):
+    frame = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = [tuple(r) for r in frame.select("vec_id", "embedding", "label").collect()]
+    assert set(map(tuple, rc.near_duplicate_vectors(frame, tables=90, bits=18).collect())) == plain(rows, components_of)
+
+
+def test_full_vectors_are_fetched_for_few(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((3000, 64))
+    vectors[1500:1520] = vectors[0] + rng.normal(0, 0.1, (20, 64))
+    rows = [(i, v.tolist(), "1", 1) for i, v in enumerate(vectors)]
+    classes = spark.createDataFrame(rows, "id bigint, vector array<double>, label string, copies bigint")
+    index = rc.indexed(rc.stored_codes(classes, 48, 12))
+    doubt = rc.rows_in_doubt(index, 0.93).select("id").distinct()
+    assert {0, *range(1500, 1520)} <= {r.id for r in doubt.collect()}
+    assert doubt.count() < 600 and index.count() == 48 * 3000
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(1)
     base = rng.standard_normal((4000, 64))
