@@ -3,7 +3,8 @@
 Documents are written in ascending id order, each with an end id, one shard for each range
 of ids. A shard is an Arrow IPC file whose columns are fixed-size lists: ``ids`` (16 bits
 where the vocabulary allows it, else 32) and ``mask`` (bytes: 0 on the padding of the last
-sequence, else 1). All record batches but the last have equally many sequences, so sequence ``k``
+sequence, else 1; a dictionary of the full mask and that of the last sequence, so that masks are views too but take a
+byte for each sequence). All record batches but the last have equally many sequences, so sequence ``k``
 is row ``k % ROWS`` of batch ``k // ROWS``: a reader maps the file and gets a view without
 copying. A second Arrow file lists the shard's documents. Both are written under
 temporary names; the manifest, a table written last, names the shards that count.
@@ -173,15 +174,26 @@ def _sequences(ids: np.ndarray, length: int, kind: pa.DataType) -> pa.RecordBatc
     rows = -(-len(ids) // length)
     padded = np.zeros(rows * length, dtype=kind.to_pandas_dtype())
     padded[: len(ids)] = ids
-    mask = (np.arange(rows * length) < len(ids)).view(np.uint8)
+    last = len(ids) - (rows - 1) * length
+    masks, which = [np.ones(length, dtype=np.uint8)], np.zeros(rows, dtype=np.int8)
+    if last < length:
+        masks.append((np.arange(length) < last).astype(np.uint8))
+        which[-1] = 1
+    kinds = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(masks)), length)
     return pa.record_batch(
         {
             "ids": pa.FixedSizeListArray.from_arrays(pa.array(padded), length),
-            "mask": pa.FixedSizeListArray.from_arrays(pa.array(mask), length),
+            "mask": pa.DictionaryArray.from_arrays(pa.array(which), kinds),
         }
     )
 
 
+def _mask(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    """The mask of a row, a view of the file."""
+    held = batch["mask"]
+    return held.dictionary.slice(held.indices[row].as_py(), 1).flatten().to_numpy(zero_copy_only=True).view(bool)
+
+
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -212,8 +224,9 @@ def write_token_files(
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
-        with committed(path) as sink, pa.ipc.new_file(sink, schema) as out:
+        schema = _sequences(np.zeros(1, dtype="<u4"), length, kind).schema
+        deltas = pa.ipc.IpcWriteOptions(emit_dictionary_deltas=True)  # the last mask is known last
+        with committed(path) as sink, pa.ipc.new_file(sink, schema, options=deltas) as out:
             held, room = [], 0
 
             def flush(last: bool):
@@ -221,7 +234,7 @@ def write_token_files(
                 ids = np.concatenate(held) if held else np.zeros(0, dtype="<u4")
                 whole = len(ids) if last else len(ids) // (ROWS * length) * ROWS * length
                 for low in range(0, whole, ROWS * length):
-                    out.write_batch(_sequences(ids[low : min(whole, low + ROWS * length)], length, kind).cast(schema))
+                    out.write_batch(_sequences(ids[low : min(whole, low + ROWS * length)], length, kind))
                 held, room = [ids[whole:]], len(ids) - whole
 
             for batch in _with(first, batches):
@@ -264,7 +277,7 @@ def sequence(path: str, k: int) -> tuple[np.ndarray, np.ndarray]:
     shard = pa.ipc.open_file(pa.memory_map(located(path)[1]))
     batch = shard.get_batch(k // ROWS)
     ids = batch["ids"].slice(k % ROWS, 1).flatten().to_numpy(zero_copy_only=True)
-    return ids, batch["mask"].slice(k % ROWS, 1).flatten().to_numpy(zero_copy_only=True).view(bool)
+    return ids, _mask(batch, k % ROWS)
 
 
 def stored_documents(path: str) -> Iterator[tuple[int | None, int, int, int]]:
@@ -280,8 +293,8 @@ def stored_documents(path: str) -> Iterator[tuple[int | None, int, int, int]]:
                 while left:
                     if low == len(data):
                         batch = next(batches)
-                        mask = batch["mask"].flatten().to_numpy().view(bool)
-                        data, low = batch["ids"].flatten().to_numpy()[mask].astype("<u4").tobytes(), 0
+                        ids, last = batch["ids"].flatten().to_numpy(), _mask(batch, batch.num_rows - 1)
+                        data, low = ids[: len(ids) - len(last) + last.sum()].astype("<u4").tobytes(), 0
                     take = min(left, len(data) - low)
                     crc = zlib.crc32(memoryview(data)[low : low + take], crc)
                     low, left = low + take, left - take
