@@ -311,6 +311,12 @@ FROM fr JOIN pi USING (query_id) JOIN len USING (doc_id) JOIN st USING (field)""
 _WORDS = f"{_ITEM_WORDS}, bw AS (SELECT DISTINCT unnest(w) AS key FROM q)"
 
 
+def _fuzzy_scores(chosen: str) -> str:
+    return f"""WITH {_TEXT}, {_FUZZY}, kept AS ({chosen}), top AS (SELECT max(df) AS tdf FROM kept)
+SELECT doc_id, round(sum(similarity * {_IDF.format(df='tdf')} * {_TFN.format(tf='tf')}), 6) AS score
+FROM post JOIN kept USING (term) JOIN len USING (field, doc_id) JOIN st USING (field) CROSS JOIN top GROUP BY doc_id"""
+
+
 _DISMAX = f"""WITH {_PART}, {_SCORED},
 f AS (SELECT doc_id, field, sum(s) AS s FROM sc WHERE term IN ({_terms('small', 'widget')}) GROUP BY ALL)
 SELECT doc_id, round(max(s) + 5 * (sum(s) - max(s)), 6) AS score FROM f GROUP BY doc_id"""
@@ -452,9 +458,13 @@ SELECT doc_id, round(sum(s), 6) AS score FROM sc WHERE term IN ({_terms('de', 'l
 WHERE CAST(year(o_orderdate) AS VARCHAR) BETWEEN '1996' AND '1998'""",
         "fuzzy_terms": f"""WITH {_TEXT}, {_FUZZY}
 SELECT term, df, CAST(edits AS INTEGER) AS edits, round(similarity, 6) AS similarity FROM best""",
-        "fuzzy_search": f"""WITH {_TEXT}, {_FUZZY}, top AS (SELECT max(df) AS tdf FROM best)
-SELECT doc_id, round(sum(similarity * {_IDF.format(df='tdf')} * {_TFN.format(tf='tf')}), 6) AS score
-FROM post JOIN best USING (term) JOIN len USING (field, doc_id) JOIN st USING (field) CROSS JOIN top GROUP BY doc_id""",
+        "fuzzy_search": _fuzzy_scores("SELECT * FROM best"),
+        "fuzzy_search_50": _fuzzy_scores("SELECT * FROM best ORDER BY similarity DESC, term LIMIT 50"),
+        "refused_calls": " UNION ALL ".join(
+            f"SELECT {_quoted(call)} AS call, true AS refused"
+            for call in ("index of no documents", "append to no index", "no such folder", "unknown query type",
+                         "unbalanced query text", "multiplier that is no number")
+        ),
         "dismax_search": _DISMAX,
         "search_lines": _lines(),
         "term_search_one_byte": f"""WITH {_TEXT},

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce, wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions.bib import author_list, entry_key, plain_text
@@ -540,6 +541,36 @@ def fuzzy_search(spark, sf_dir):
     return _rounded(search.fuzzy_search(_text_index(spark, sf_dir), "text", "thiner"))
 
 
+@_query
+def fuzzy_search_50(spark, sf_dir):
+    """The same with the fifty closest terms only."""
+    return _rounded(search.fuzzy_search(_text_index(spark, sf_dir), "text", "thiner", max_expansions=50))
+
+
+@_query
+def refused_calls(spark, sf_dir):
+    """Calls on the documents that must be refused, and whether each was."""
+    index, docs = _text_index(spark, sf_dir), _docs(spark, sf_dir)
+    path = scratch_path(spark, "index")
+    nothing = fielded.fields_of_columns(docs.where(F.col("text").isNull() & F.col("text").isNotNull()), "doc_id", text="text")
+    calls = {
+        "index of no documents": lambda: fielded.write_index(nothing, path),
+        "append to no index": lambda: fielded.write_index(fielded.fields_of_columns(docs, "doc_id", text="text"), path, "append"),
+        "no such folder": lambda: read_corpus(spark, scratch_path(spark, "nowhere")),
+        "unknown query type": lambda: search.search(index, "nearest", "text", "from"),
+        "unbalanced query text": lambda: query_texts.query_search(index, "text", "(from"),
+        "multiplier that is no number": lambda: query_texts.search_line(index, "disjunction much; text; from"),
+    }
+    found = []
+    for name, call in calls.items():
+        try:
+            call()
+            found.append((name, False))
+        except (ValueError, FileNotFoundError, AnalysisException):
+            found.append((name, True))
+    return spark.createDataFrame(found, "call string, refused boolean")
+
+
 @_query
 def dismax_search(spark, sf_dir):
     return _rounded(
