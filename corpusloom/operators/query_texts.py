@@ -18,7 +18,7 @@ from ..functions.text import STOP_WORDS, words_standard
 from ..plans.joins import fits_broadcast, join_on_small
 from ..plans.scratch import scratch_path
 from .fields import DOCUMENT, FieldIndex
-from .lookup import Lookup, terms_of_patterns, terms_of_ranges, terms_within
+from .lookup import LISTED, Lookup, terms_of_patterns, terms_of_ranges, terms_within
 from .search import search
 
 
@@ -148,7 +148,11 @@ def query_hits(
     read = _saved(read_queries(queries, field, analyzer), "query-trees")
     wanted = _wanted(index, read, lookup)
     stats = index.lengths.groupBy("field").agg(F.try_divide(F.sum("total"), F.sum("n_docs")).alias("avg_length"))
-    found = join_on_small(index.postings, wanted, ["field", "term"], salt_by=["doc_id"]).join(F.broadcast(stats), "field")
+    terms = wanted.select("term").distinct().limit(LISTED + 1).collect()
+    postings = index.postings
+    if len(terms) <= LISTED:  # row groups without them are skipped
+        postings = postings.where(F.col("term").isin([row["term"] for row in terms]))
+    found = join_on_small(postings, wanted, ["field", "term"], salt_by=["doc_id"]).join(F.broadcast(stats), "field")
     tf = bm25_tf(F.col("tf"), F.col("length"), F.col("avg_length"))
     phrase = F.col("kind") == "phrase"
     gathered = found.groupBy("query_id", *DOCUMENT).agg(
