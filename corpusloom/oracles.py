@@ -503,6 +503,7 @@ FROM near WHERE edits < least(length(term), length(key))""",
         "hit_totals": f"WITH {_TEXT}, {_SCORED}, {_BATCH} SELECT query_id, count(*) AS n_hits FROM hits GROUP BY query_id",
         "batch_top10": _BATCH_TOP10,
         "block_max_top10": _BATCH_TOP10,
+        "clustered_top10": _BATCH_TOP10,
         "saved_index_search": f"""WITH {_TEXT}, {_SCORED}
 SELECT CASE WHEN lang = 'en' THEN doc_id ELSE doc_id + 1 + (SELECT max(doc_id) FROM documents WHERE lang = 'en') END AS doc_id,
   round(sum(s), 6) AS score FROM sc JOIN documents USING (doc_id) WHERE term IN ({_terms('de', 'from', 'er')}) GROUP BY doc_id, lang""",

@@ -15,7 +15,7 @@ from .functions.bib import author_list, entry_key, plain_text
 from .functions.stemming import stem_vocabulary, stem_words
 from .functions.text import words_alpha, words_clean, words_standard
 from .operators import fields as fielded
-from .operators import best, frequency, lookup, postings, proximity, query_texts, search
+from .operators import best, clustered, frequency, lookup, postings, proximity, query_texts, search
 from .operators.tables import write_frequency_tables
 from .plans.parallelism import spread_small_scan
 from .plans.ranking import display_scores, top_k, top_k_per_query
@@ -637,6 +637,15 @@ def block_max_top10(spark, sf_dir):
     return top_k_per_query(found).select("query_id", "doc_id", "score", "rank")
 
 
+@_query
+def clustered_top10(spark, sf_dir):
+    """Best ten documents for every benchmark item, scored where the postings of a document lie."""
+    index = clustered.cluster_postings(_text_index(spark, sf_dir), buckets=16)
+    queries = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = _rounded(search.any_words_batch(index, "text", queries))
+    return top_k_per_query(found).select("query_id", "doc_id", "score", "rank")
+
+
 @_query
 def top10_and_total(spark, sf_dir):
     """The best ten hits of a query and the number of all, from one pass."""

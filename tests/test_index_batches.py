@@ -1,12 +1,15 @@
 """Commits, merges and deletions of a stored index; best hits by blocks."""
 
+import re
 import threading
 
 import pytest
+from conftest import plan_of
 from corpusloom.operators import best as be
 from corpusloom.operators import fields as fl
 from corpusloom.operators import query_texts as qt
 from corpusloom.operators import search as se
+from corpusloom.operators.clustered import cluster_postings
 from corpusloom.plans.ranking import top_k_per_query
 from pyspark.sql import functions as F
 
@@ -142,6 +145,23 @@ def test_best_hits_by_blocks(spark, tmp_path, monkeypatch, kind):
         be.best_hits_batch(fl.build_index(fl.fields_of_columns(docs, "doc_id", text="text")), "text", frame)
 
 
+def test_clustered_postings_are_not_shuffled(spark, tmp_path):
+    index = fl.write_index(fields_of(spark, texts(200)), str(tmp_path / "index"))
+    near = cluster_postings(index, 4, str(tmp_path / "near"))
+    queries = spark.createDataFrame([(1, "common w1"), (2, "w2 only7 zzz")], "query_id int, text string")
+    hits = se.any_words_batch(near, "text", queries)
+
+    def rows(found):
+        return sorted((r.query_id, r.doc_id, round(r.score, 9)) for r in found.collect())
+
+    assert rows(hits) == rows(se.any_words_batch(index, "text", queries))
+    moved = r"hashpartitioning\(query_id#\d+, batch#"
+    assert re.search(moved, plan_of(se.any_words_batch(index, "text", queries)))
+    assert not re.search(moved, plan_of(hits)) and "Bucketed: true" in plan_of(hits)
+    again = qt.phrase_batch(near, "text", queries.selectExpr("query_id", "'common w1' text", "0 slop"))
+    assert rows(again) == rows(qt.phrase_batch(index, "text", queries.selectExpr("query_id", "'common w1' text", "0 slop")))
+
+
 def test_total_and_best_in_one_pass(spark, tmp_path):
     index = fl.write_index(fields_of(spark, texts(30)), str(tmp_path / "index"))
     best, total = be.top_k_with_total(qt.query_search(index, "text", "common -w1"), 4)
