@@ -13,6 +13,7 @@ import string
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.joins import fits_broadcast, join_on_small
+from .tables import saved
 
 SIZE = 10
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -157,7 +158,8 @@ def _hit_rows(docs: DataFrame, found: DataFrame, doc_id: str, text: str, how: st
 def remove_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a test window."""
     found = find_hits(docs, items, doc_id, text, **options).where(F.col("n_hit") > 0)
-    return _hit_rows(docs, found.select("doc", "text_hash"), doc_id, text, "left_anti")
+    found = saved(found.select("doc", "text_hash"), "hit-documents")
+    return _hit_rows(docs, F.broadcast(found) if fits_broadcast(found) else found, doc_id, text, "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.joins import fits_broadcast
 from .buckets import bucket_links
 from .components import connected_components
 from .tables import python_tasks, saved, whole_text
@@ -139,16 +140,18 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
     Of rows that repeat that id one stays. Rows without an id stay where no document of
     their component has one.
     """
-    kept = (
-        near_duplicates(docs, doc_id, text, max_bits)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("_kept"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+    # How many rows of an id stay; the ids that go are few enough to be broadcast, or else those that stay are joined.
+    decided = near_duplicates(docs, doc_id, text, max_bits).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_rows")
     )
-    kept = saved(kept, "kept")
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_kept"))
-    single = docs.join(kept.where((F.col("_rows") == 1) | F.col("_kept").isNull()), same, "left_semi")
-    repeated = kept.where((F.col("_rows") > 1) & F.col("_kept").isNotNull())
+    decided = saved(decided, "kept")
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id"))
+    repeated = decided.where((F.col("_rows") > 1) & F.col("_id").isNotNull())
+    other = decided.where((F.col("_rows") == 0) | ((F.col("_rows") > 1) & F.col("_id").isNotNull()))
+    if fits_broadcast(other):
+        single = docs.join(F.broadcast(other), same, "left_anti")
+    else:
+        single = docs.join(decided.where((F.col("_rows") == 1) | (F.col("_id").isNull() & (F.col("_rows") > 0))), same, "left_semi")
     if not repeated.head(1):
         return single
     return single.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([doc_id]))
