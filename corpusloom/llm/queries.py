@@ -31,6 +31,7 @@ def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_sharded_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archives, read back: payload sizes, digests and who is a revisit of whom. Null html is an empty payload."""
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return warc.read_archives(manifest, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -74,12 +75,14 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 
 def op4_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files in id order, read back: where each begins, its size and checksum. A null text is the end id alone."""
     docs = table(spark, sf_dir, "documents")
     manifest = token_files.write_token_files(docs, scratch_path(spark, "tokens"), tokenizer_file())
     return token_files.read_documents(manifest)
 
 
 def op5_quality_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, empty and null texts too; the third of the ids that is held out is not learnt from."""
     docs = table(spark, sf_dir, "documents")
     scored = rule_ensemble.score_documents(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -92,10 +95,12 @@ def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that repeat, as ranges of words. Null and empty texts have none."""
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of all documents; rows equal in id and text are one row, null texts have no words."""
     found = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select(
@@ -109,6 +114,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of all documents; texts without words have fingerprint zero and link like any other."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -116,6 +122,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors; unusable vectors and null labels link with nothing."""
     return rotated_codes.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
