@@ -8,8 +8,8 @@ its coordinates, ``code / sqrt(D)``, together with the correction factor
 upper bound stays below the threshold are dismissed; all others get the exact cosine in
 double precision.
 
-Codes, correction factors and the rotated vectors rounded to bytes are worked out once and stored. What travels to the
-buckets are these; full vectors are joined only to rows that have an undecided partner in a bucket.
+Codes, correction factors and the rotated vectors rounded to four bits, whose highest is the code, are worked out once and stored. What travels to the
+buckets are these; keys and full vectors are joined only to rows that have an undecided partner in a bucket.
 
 Candidates come from sign bits of further random projections: tables of keys of :func:`table_size` bits, which grow with the
 number of vectors so that buckets don't. Two vectors of cosine c agree in a table of b bits with probability
@@ -81,18 +81,23 @@ def estimate(code: np.ndarray, factor: np.ndarray, other: np.ndarray) -> tuple[n
     return guess, BOUND * spread
 
 
-def packed_codes(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sign bits of rotated vectors, the vectors as bytes, and the size of a byte's step."""
-    step = np.abs(turned).max(axis=1) / 127
-    return np.packbits(turned > 0, axis=1), np.rint(turned / step[:, None]).astype(np.int8), step
+def packed_codes(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rotated vectors in four bits a coordinate, two to a byte, and the size of a step; the highest bit is the sign."""
+    step = np.abs(turned).max(axis=1) / 7.999
+    four = (np.floor(turned / step[:, None]) + 8).astype(np.uint8)
+    if four.shape[1] % 2:
+        four = np.pad(four, ((0, 0), (0, 1)))
+    return four[:, ::2] << 4 | four[:, 1::2], step
 
 
-def unpacked_codes(bits: np.ndarray, size: int) -> np.ndarray:
-    return np.where(np.unpackbits(bits, axis=1, count=size), 1.0, -1.0)
+def unpacked_codes(packed: np.ndarray, step: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sign codes and rounded rotated vectors."""
+    four = np.stack([packed >> 4, packed & 15], axis=2).reshape(len(packed), -1)[:, :size]
+    return np.where(four >= 8, 1.0, -1.0), (four - 7.5) * step[:, None]
 
 
 def stored_codes(classes: DataFrame, tables: int, bits: int) -> DataFrame:
-    """``(id, label, copies, size, keys, code, factor, bytes, step)``: what is known of each vector but itself."""
+    """``(id, label, copies, size, keys, code, factor, step)``: what is known of each vector but itself."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -106,7 +111,7 @@ def stored_codes(classes: DataFrame, tables: int, bits: int) -> DataFrame:
                     at = np.flatnonzero(sizes == size)
                     unit = unit_rows(flat[begins[at][:, None] + np.arange(size)].astype(float))
                     turned, _, factor = encode(unit)
-                    code, rounded, step = packed_codes(turned)
+                    code, step = packed_codes(turned)
                     keys = table_keys(unit, tables, bits)
                     places = np.arange(0, (len(at) + 1) * tables, tables, dtype=np.int32)
                     source = pa.array(at)
@@ -118,63 +123,48 @@ def stored_codes(classes: DataFrame, tables: int, bits: int) -> DataFrame:
                             "size": pa.array(np.full(len(at), size, dtype=np.int32)),
                             "keys": pa.ListArray.from_arrays(pa.array(places), pa.array(keys.reshape(-1))),
                             "code": pa.array([c.tobytes() for c in code], pa.binary()),
-                            "factor": pa.array(factor),
-                            "bytes": pa.array([r.tobytes() for r in rounded], pa.binary()),
-                            "step": pa.array(step),
+                            "factor": pa.array(factor.astype(np.float32)),
+                            "step": pa.array(step.astype(np.float32)),
                         }
                     )
 
     schema = (
-        "id bigint, label string, copies bigint, size int, keys array<int>, code binary, factor double, bytes binary, step double"
+        "id bigint, label string, copies bigint, size int, keys array<int>, code binary, factor float, step float"
     )
     return saved(classes.select("id", "label", "vector", "copies").mapInArrow(rows, schema), "codes")
 
 
 def indexed(codes: DataFrame) -> DataFrame:
-    """A row for each vector and table: its bucket, the keys of the tables before, code and factor."""
+    """``(bucket, id, table, size, code, factor, step)``: a row for each vector and table."""
     exploded = codes.select("*", F.posexplode("keys").alias("table", "key"))
     return exploded.select(
-        F.xxhash64("label", "size", "table", "key").alias("bucket"),
-        "id", "label", "copies", "size", "table", "key", F.slice("keys", F.lit(1), F.col("table")).alias("earlier"),
-        "code", "factor", "bytes", "step",
-    )
+        F.xxhash64("label", "size", "table", "key").alias("bucket"), "id", "table", "size", "code", "factor", "step"
+    )
 
 
 class _Held:
-    """The rows of an Arrow table of an index, and which of their pairs the codes leave undecided."""
+    """The rows of an Arrow table of an index, and which of their pairs the codes leave undecided.
+
+    Rounding a coordinate to four bits is off by less than half a step either way; the bound is widened by as
+    many standard deviations of the sum of these as it has itself.
+    """
 
     def __init__(self, held: pa.Table, threshold: float):
         self.threshold = threshold
-        self.label = np.unique(held["label"].to_numpy().astype(str), return_inverse=True)[1]
-        self.size, self.table, self.key = (held[c].to_numpy() for c in ("size", "table", "key"))
-        earlier = held["earlier"].combine_chunks()
-        self.flat, self.begins = earlier.flatten().to_numpy(), np.r_[0, np.cumsum(self.table)]
-        self.factor, step = held["factor"].to_numpy(), held["step"].to_numpy()
+        self.size = held["size"].to_numpy()
+        self.factor, step = (held[c].to_numpy().astype(float) for c in ("factor", "step"))
         self.by_size = {}
         for n in np.unique(self.size):
             at = np.flatnonzero(self.size == n)
-            code = b"".join(held["code"].take(pa.array(at)).to_pylist())
-            rounded = b"".join(held["bytes"].take(pa.array(at)).to_pylist())
+            packed = b"".join(held["code"].take(pa.array(at)).to_pylist())
             place = np.zeros(len(self.size), dtype=np.int64)
             place[at] = np.arange(len(at))
-            signs = unpacked_codes(np.frombuffer(code, np.uint8).reshape(len(at), -1), int(n))
-            turned = np.frombuffer(rounded, np.int8).reshape(len(at), n) * step[at][:, None]
-            self.by_size[int(n)] = at, place, signs, turned, step[at] * np.sqrt(n) / 2
-
-    def first_meeting(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether pairs are of one label, size and table, and don't share a key of an earlier table."""
-        first = (self.label[i] == self.label[j]) & (self.size[i] == self.size[j]) & (self.table[i] == self.table[j])
-        first &= self.key[i] == self.key[j]
-        for table in np.unique(self.table[i[first]]):
-            at = np.flatnonzero(first & (self.table[i] == table))
-            if table:
-                a, b = (self.flat[self.begins[k[at]][:, None] + np.arange(table)] for k in (i, j))
-                first[at] = ~(a == b).any(axis=1)
-        return first
+            signs, turned = unpacked_codes(np.frombuffer(packed, np.uint8).reshape(len(at), -1), step[at], int(n))
+            self.by_size[int(n)] = at, place, signs, turned, BOUND * step[at] / np.sqrt(12)
 
     def undecided(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Pairs that meet here first and whose upper bound reaches the threshold; rounding to bytes widens the bound."""
-        found = self.first_meeting(i, j)
+        """Pairs whose upper bound reaches the threshold."""
+        found = self.size[i] == self.size[j]
         for n, (_, place, signs, turned, rounding) in self.by_size.items():
             at = np.flatnonzero(found & (self.size[i] == n))
             p, q = place[i[at]], place[j[at]]
@@ -184,13 +174,32 @@ class _Held:
         return found
 
 
+class _Met:
+    """Where pairs of a bucket meet first."""
+
+    def __init__(self, held: pa.Table):
+        self.label = np.unique(held["label"].to_numpy().astype(str), return_inverse=True)[1]
+        self.table, self.key = held["table"].to_numpy(), held["key"].to_numpy()
+        self.flat, self.begins = held["earlier"].combine_chunks().flatten().to_numpy(), np.r_[0, np.cumsum(self.table)]
+
+    def here(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether pairs are of one label and table, and don't share a key of an earlier table."""
+        first = (self.label[i] == self.label[j]) & (self.table[i] == self.table[j]) & (self.key[i] == self.key[j])
+        for table in np.unique(self.table[i[first]]):
+            at = np.flatnonzero(first & (self.table[i] == table))
+            if table:
+                a, b = (self.flat[self.begins[k[at]][:, None] + np.arange(table)] for k in (i, j))
+                first[at] = ~(a == b).any(axis=1)
+        return first
+
+
 def _some_at_once(test, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     parts = [test(i[low : low + (1 << 14)], j[low : low + (1 << 14)]) for low in range(0, len(i), 1 << 14)]
     return np.concatenate(parts) if parts else np.zeros(0, dtype=bool)
 
 
 def rows_in_doubt(index: DataFrame, threshold: float) -> DataFrame:
-    """``(bucket, id)`` of the rows that have an undecided partner in their bucket."""
+    """``(bucket, id, table)`` of the rows that have an undecided partner in their bucket."""
     tiles = tiled(index)
     dealt = tiles.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "id")
 
@@ -211,9 +220,10 @@ def rows_in_doubt(index: DataFrame, threshold: float) -> DataFrame:
                 i, j = i[meet], j[meet]
                 open_pairs = _some_at_once(held.undecided, i, j)
                 doubt[i[open_pairs]] = doubt[j[open_pairs]] = True
-            yield pa.record_batch({"bucket": pa.array(bucket[doubt]), "id": table["id"].combine_chunks().filter(pa.array(doubt))})
+            kept = table.select(["bucket", "id", "table"]).filter(pa.array(doubt))
+            yield from kept.to_batches()
 
-    return dealt.mapInArrow(compared, "bucket bigint, id bigint").distinct()
+    return dealt.mapInArrow(compared, "bucket bigint, id bigint, table int").distinct()
 
 
 def vector_links(classes: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, bits: int = BITS) -> DataFrame:
@@ -223,19 +233,28 @@ def vector_links(classes: DataFrame, threshold: float = THRESHOLD, tables: int =
     counts of links need no list of pairs.
     """
     kind = "<f4" if classes.schema["vector"].dataType.elementType.typeName() == "float" else "<f8"
-    index = indexed(stored_codes(classes, tables, bits))
-    doubt = saved(rows_in_doubt(index, threshold), "rows-in-doubt")
-    fetched = saved(doubt.join(index, ["bucket", "id"]).join(classes.select("id", "vector"), "id"), "fetched-vectors")
+    codes = stored_codes(classes, tables, bits)
+    doubt = saved(rows_in_doubt(indexed(codes), threshold), "rows-in-doubt")
+    known = codes.join(classes.select("id", "vector"), "id").join(doubt, "id")
+    fetched = saved(
+        known.select(
+            "bucket", "id", "label", "copies", "size", "table", F.get("keys", F.col("table")).alias("key"),
+            F.slice("keys", F.lit(1), F.col("table")).alias("earlier"), "code", "factor", "step", "vector",
+        ),
+        "fetched-vectors",
+    )
 
     def near(held: pa.Table):
-        rows = _Held(held, threshold)
+        rows, met = _Held(held, threshold), _Met(held)
         lists = held["vector"].combine_chunks()
         flat, sizes = lists.flatten().to_numpy().astype(kind), np.diff(lists.offsets.to_numpy())
         begins = np.cumsum(sizes) - sizes
         unit = {n: unit_rows(flat[begins[at][:, None] + np.arange(n)].astype(float)) for n, (at, *_) in rows.by_size.items()}
 
         def some(i, j):
-            linked = rows.undecided(i, j)
+            linked = met.here(i, j)
+            at = np.flatnonzero(linked)
+            linked[at] = rows.undecided(i[at], j[at])
             for n, (_, place, *_) in rows.by_size.items():
                 at = np.flatnonzero(linked & (rows.size[i] == n))
                 linked[at] = np.einsum("ij,ij->i", unit[n][place[i[at]]], unit[n][place[j[at]]]) >= threshold

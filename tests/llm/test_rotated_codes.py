@@ -75,7 +75,7 @@ def test_full_vectors_are_fetched_for_few(spark):
     index = rc.indexed(rc.stored_codes(classes, 48, 12))
     doubt = rc.rows_in_doubt(index, 0.93).select("id").distinct()
     assert {0, *range(1500, 1520)} <= {r.id for r in doubt.collect()}
-    assert doubt.count() < 600 and index.count() == 48 * 3000
+    assert doubt.count() < 1200 and index.count() == 48 * 3000
 
 
 def test_estimates_are_unbiased_and_bounded():
