@@ -14,7 +14,7 @@ buckets are these; keys and full vectors are joined only to rows that have an un
 Candidates come from sign bits of further random projections: tables of keys of :func:`table_size` bits, which grow with the
 number of vectors so that buckets don't. Two vectors of cosine c agree in a table of b bits with probability
 ``(1 - acos(c) / pi) ** b``; there are so many tables that a pair just at the threshold is missed
-with probability ``MISSED`` at most: 48 tables of 12 bits at 0.93 up to 262,144 vectors, 127 of 18 bits at 16 million.
+with probability ``MISSED`` at most: 48 tables of 12 bits at 0.93 up to 262,144 vectors, 109 of 18 bits at 16 million.
 """
 
 from __future__ import annotations
