@@ -36,6 +36,20 @@ def corpus_stream(
     )
 
 
+def state_on_disk(spark: SparkSession) -> SparkSession:
+    """A session whose streams keep their state on the executors' disks, within a bounded part of memory.
+
+    The default store holds all keys on the heap, and a vocabulary grows with the corpus.
+    """
+    session = spark.newSession()
+    store = "spark.sql.streaming.stateStore"
+    session.conf.set(f"{store}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    session.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
+    session.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", "500")
+    session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
+    return session
+
+
 def index_stream(
     docs: DataFrame,
     path: str,

@@ -1,8 +1,8 @@
 """Ranked n-gram counts kept while a corpus grows.
 
-The totals are streaming state; a micro-batch hands on only the n-grams it has changed, with their new counts and first
-occurrences. These are written as one table of changes for each micro-batch, and changes are merged into a base table
-when they have become as large as it, so that what is written in all stays in proportion to
+A micro-batch counts its own n-grams by a plain aggregate, which spills, and writes them as one table of increments: nothing
+is held between micro-batches, so there is no streaming state to load, keep and store. Increments are added up into a base
+table when they have become as large as it, so that what is written in all stays in proportion to
 what is read, but for a logarithm.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.text import words_alpha
-from ..operators.frequency import Tokenizer, counts_from_ngrams, ngrams
+from ..operators.frequency import Tokenizer, counts_from_ngrams, merge_counts, ngrams
 
 
 def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
@@ -31,7 +31,7 @@ def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
 
 
 def _parts(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None, int]:
-    """The base table, the changes since, and the number of the last change."""
+    """The base table, the increments since, and the number of the last one."""
     merged = _numbers(spark, f"{path}/base", "upto")
     upto = merged[-1] if merged else -1
     later = [n for n in _numbers(spark, f"{path}/changes", "batch") if n > upto]
@@ -40,28 +40,24 @@ def _parts(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame
     return base, changes, later[-1] if later else upto
 
 
-def _latest(rows: DataFrame) -> DataFrame:
-    """Counts only grow and first occurrences only move forward, so the latest of a key are its extremes."""
-    return rows.groupBy("ngram").agg(F.max("n").alias("n"), F.min("first").alias("first"))
-
-
 def running_counts(
     docs: DataFrame, n: int, path: str, tokenizer: Tokenizer = words_alpha
 ) -> DataStreamWriter:
     """Writer that keeps counts and first occurrences of the n-grams of a stream ``(doc_id, text)`` at ``path``.
 
-    One stream writes to a path. A micro-batch that is delivered again writes the same table again.
+    One stream writes to a path. A micro-batch that is delivered again writes the same table again; once it is in the base
+    table, it is not added to it a second time.
     """
 
     def add(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.repartition("ngram").sortWithinPartitions("ngram").write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+        counts_from_ngrams(batch).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
         base, changes, last = _parts(spark, path)
         if changes is not None and changes.count() >= (base.count() if base is not None else 0):
-            rows = changes if base is None else base.unionByName(changes)
-            _latest(rows).sortWithinPartitions("ngram").write.mode("overwrite").parquet(f"{path}/base/upto={last}")
+            together = [changes] if base is None else [base, changes]
+            merge_counts(*together).write.mode("overwrite").parquet(f"{path}/base/upto={last}")
 
-    return counts_from_ngrams(ngrams(docs, n, tokenizer)).writeStream.outputMode("update").foreachBatch(add)
+    return ngrams(docs, n, tokenizer).writeStream.foreachBatch(add)
 
 
 def open_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -71,4 +67,4 @@ def open_counts(spark: SparkSession, path: str) -> DataFrame:
         raise FileNotFoundError(f"no counts at {path}")
     if changes is None:
         return base
-    return _latest(changes if base is None else base.unionByName(changes))
+    return merge_counts(changes) if base is None else merge_counts(base, changes)

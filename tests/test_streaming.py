@@ -90,3 +90,40 @@ def test_running_counts_hand_on_only_what_changes(spark, tmp_path):
     assert Counter({r.ngram: r.n for r in found})["tie"] == 3
     assert [r.ngram for r in found[:3]] == ["tie", "other", "new"]
     assert len(ru._numbers(spark, f"{path}/base", "upto")) == 1
+
+
+def test_running_counts_hold_no_state_and_add_a_batch_once(spark, tmp_path):
+    from corpusloom.streaming import running as ru
+
+    folder, path, kept = tmp_path / "in", str(tmp_path / "counts"), tmp_path / "cp"
+
+    def run():
+        docs = inc.corpus_stream(spark, str(folder), ".txt", max_files=1)
+        ru.running_counts(docs, 2, path).option("checkpointLocation", str(kept)).trigger(availableNow=True).start().awaitTermination(180)
+        return sorted((r.ngram, r.n) for r in ru.open_counts(spark, path).collect())
+
+    write(folder, a="one two one two", b="two one")
+    once = run()
+    assert once == [("one two", 2), ("two one", 2)]
+    assert not list(kept.rglob("*.delta")) and not list(kept.rglob("*.snapshot"))
+    last = max(int(f.name) for f in (kept / "commits").iterdir() if f.name.isdigit())
+    (kept / "commits" / str(last)).unlink()  # the last micro-batch is delivered again
+    (kept / "commits" / f".{last}.crc").unlink(missing_ok=True)
+    assert run() == once
+
+
+def test_streamed_corpus_has_more_files_and_not_larger_ones(spark, tmp_path, monkeypatch):
+    from corpusloom import queries as q
+
+    spark.range(1300).coalesce(1).selectExpr("id AS doc_id", "'red gear' AS text").write.parquet(str(tmp_path / "documents.parquet"))
+    seen = {}
+
+    def stream(spark, path, *args, max_files, **options):
+        seen.update(path=path, max_files=max_files)
+        return inc.corpus_stream(spark, path, *args, max_files=max_files, **options)
+
+    monkeypatch.setattr(q, "corpus_stream", stream)
+    found = {r.ngram: r.n for r in q.all_queries()["streamed_unigrams"](spark, str(tmp_path)).collect()}
+    assert found == {"red": 1300, "gear": 1300}
+    per_file = [r.n for r in read_corpus(spark, seen["path"], ".txt").selectExpr("size(split(text, 'red')) - 1 AS n").collect()]
+    assert max(per_file) <= q.PER_FILE and -(-len(per_file) // seen["max_files"]) <= 3
