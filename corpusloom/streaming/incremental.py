@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.fields import fields_of_columns, write_index, index_exists
+from ..plans.parallelism import session_with
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -41,13 +42,13 @@ def state_on_disk(spark: SparkSession) -> SparkSession:
 
     The default store holds all keys on the heap, and a vocabulary grows with the corpus.
     """
-    session = spark.newSession()
-    store = "spark.sql.streaming.stateStore"
-    session.conf.set(f"{store}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    session.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
-    session.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", "500")
-    session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
-    return session
+    return session_with(
+        spark,
+        spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
+        spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB=500,
+        spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+    )
 
 
 def index_stream(

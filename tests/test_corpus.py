@@ -48,3 +48,12 @@ def test_scratch_tables_share_a_folder_of_the_run(spark):
         spark.range(3).write.parquet(path)
     held = os.listdir(scratch.run_folder(spark))
     assert len(held) >= 2
+
+
+def test_hidden_names_are_found_without_a_call_for_each_file(spark, tmp_path, monkeypatch):
+    for k in range(400):
+        (tmp_path / f"f{k}.txt").write_bytes(b"one")
+    calls, send = [], spark._jvm._gateway_client.send_command
+    monkeypatch.setattr(spark._jvm._gateway_client, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
+    assert corpus.hidden_files(spark, str(tmp_path)) == []
+    assert len(calls) < 100
