@@ -167,3 +167,13 @@ def test_total_and_best_in_one_pass(spark, tmp_path):
     best, total = be.top_k_with_total(qt.query_search(index, "text", "common -w1"), 4)
     assert total == qt.query_search(index, "text", "common -w1").count()
     assert best.count() == 4
+
+
+def test_buckets_grow_with_the_postings(spark, tmp_path, monkeypatch):
+    from corpusloom.operators import clustered
+
+    index = fl.write_index(fields_of(spark, texts(200)), str(tmp_path / "index"))
+    monkeypatch.setattr(clustered, "BUCKET_ROWS", 50)
+    near = cluster_postings(index, 4, str(tmp_path / "near"))
+    assert "out of 16" in plan_of(near.postings.groupBy("doc_id").count())
+    assert near.postings.count() == index.postings.count()
