@@ -165,6 +165,17 @@ def query_hits(
     )
     trees = read.where(F.size("nodes") > 0).select("query_id", "leaves", "nodes")
     joined = gathered.join(F.broadcast(trees) if fits_broadcast(trees) else trees, "query_id")
+    # A tree holds only where one of its leaves does, and a phrase only where all its words are: most documents have a part of
+    # one, and are left out before positions are lined up.
+    joined = joined.where(
+        (F.size("words") > 0)
+        | F.exists(
+            "leaves",
+            lambda leaf: (leaf["kind"] == "phrase")
+            & (F.size(leaf["words"]) > 0)
+            & (F.size(F.filter("phrases", lambda w: w["leaf"] == leaf["leaf"])) == F.size(leaf["words"])),
+        )
+    )
 
     def result(leaf: Column) -> Column:
         mine = F.filter("words", lambda w: w["leaf"] == leaf["leaf"])
@@ -175,22 +186,33 @@ def query_hits(
                 lambda w: F.struct(*[w[c].alias(c) for c in ("slot", "offset", "positions", "idf", "length", "avg_length")]),
             )
         )
-        whole = (F.size(leaf["words"]) > 0) & (F.size(placed) == F.size(leaf["words"]))
-        frequency = F.when(whole, phrase_frequency(placed, leaf["number"].cast("int"))).otherwise(0.0)
-        idf = F.aggregate(placed, F.lit(0.0), lambda t, w: t + w["idf"])
-        score = idf * bm25_tf(frequency, F.get(placed, F.lit(0))["length"], F.get(placed, F.lit(0))["avg_length"])
         is_phrase = leaf["kind"] == "phrase"
-        return F.struct(
-            (leaf["words"].isNull() | (F.size(leaf["words"]) > 0)).alias("live"),
-            F.when(is_phrase, frequency > 0).otherwise(F.size(mine) > 0).alias("hit"),
-            F.when(is_phrase, F.coalesce(score, F.lit(0.0)))
-            .when(F.exists(mine, lambda w: w["constant"]), 1.0)
-            .otherwise(total)
-            .alias("score"),
-        )
 
-    decided = joined.select("query_id", "doc_id", "nodes", F.transform("leaves", result).alias("results")).select(
-        "query_id", "doc_id", _decided(F.col("nodes"), F.col("results")).alias("root")
+        def lined_up(placed: Column) -> Column:
+            whole = (F.size(leaf["words"]) > 0) & (F.size(placed) == F.size(leaf["words"]))
+            frequency = F.when(whole, phrase_frequency(placed, leaf["number"].cast("int"))).otherwise(0.0)
+            idf = F.aggregate(placed, F.lit(0.0), lambda t, w: t + w["idf"])
+            first = F.get(placed, F.lit(0))
+            return F.struct(frequency.alias("frequency"), idf.alias("idf"), first["length"].alias("length"), first["avg_length"].alias("avg_length"))
+
+        def judged(phrase: Column) -> Column:
+            score = phrase["idf"] * bm25_tf(phrase["frequency"], phrase["length"], phrase["avg_length"])
+            return F.struct(
+                (leaf["words"].isNull() | (F.size(leaf["words"]) > 0)).alias("live"),
+                F.when(is_phrase, phrase["frequency"] > 0).otherwise(F.size(mine) > 0).alias("hit"),
+                F.when(is_phrase, F.coalesce(score, F.lit(0.0)))
+                .when(F.exists(mine, lambda w: w["constant"]), 1.0)
+                .otherwise(total)
+                .alias("score"),
+            )
+
+        # Arrays of one, so that each is worked out once.
+        return F.get(F.transform(F.transform(F.array(placed), lined_up), judged), F.lit(0))
+
+    # Exploded, as a filter on what they come to would have both worked out again.
+    results = joined.select("query_id", "doc_id", "nodes", F.explode_outer(F.array(F.transform("leaves", result))).alias("results"))
+    decided = results.select(
+        "query_id", "doc_id", F.explode_outer(F.array(_decided(F.col("nodes"), F.col("results")))).alias("root")
     )
     return decided.where("root.hit").select("query_id", "doc_id", F.col("root.score").alias("score"))
 

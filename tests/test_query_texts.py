@@ -252,3 +252,43 @@ def test_batches_do_not_scan_the_vocabulary(spark, tmp_path):
 
 def test_scores_are_finite(index):
     assert all(math.isfinite(s) for s in hits(qt.query_search(index, "text", 'red "blue green"~9 th* -zzz')).values())
+
+
+def test_lookup_rows_grow_with_the_length_of_terms(spark):
+    pick = random.Random(5)
+    for size in range(8, 25):
+        term = "".join(pick.choices("abcdefgh", k=size))
+        one = spark.range(1).select(lk.term_variants(F.lit(term)).alias("keys"))
+        assert len(one.first().keys) <= size + 2
+
+
+def test_half_keys_meet_within_two_edits(spark, tmp_path):
+    pick = random.Random(6)
+    words = []
+    for _ in range(80):
+        word = "".join(pick.choices("abcde", k=pick.randint(6, 13)))
+        words.append(word)
+        for _ in range(2):
+            at = pick.randrange(len(word) - 1)
+            word = pick.choice([word[:at] + word[at + 1 :], word[:at] + "q" + word[at + 1 :], word[:at] + "q" + word[at:], word[:at] + word[at + 1] + word[at] + word[at + 2 :]])
+            words.append(word)
+    lookup = lk.write_lookup(vocabulary_index(spark, words), str(tmp_path / "lookup"))
+    asked = spark.createDataFrame([(w, "f", w, 2) for w in sorted(set(words))], "key string, field string, word string, max_edits int")
+    expected = {(q, t) for q in set(words) for t in set(words) if _restricted_distance(t, q) <= 2}
+    assert {(r.key, r.term) for r in lk.terms_within(vocabulary_index(spark, words), asked, lookup).collect()} == expected
+
+
+def test_phrases_are_lined_up_once(spark, index):
+    queries = spark.createDataFrame([(1, '"red blue"~2')], "query_id int, text string")
+    plan = qt.query_hits(index, "text", queries)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(array_sort(") == 1
+
+
+def test_fuzzy_terms_are_found_once(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(1, "thin thing"), (2, "think them"), (3, "song")], "doc_id int, text string")
+    index = fl.write_index(fl.fields_of_columns(docs, "doc_id", text="text"), str(tmp_path / "index"))
+    listed = sorted(map(tuple, se.fuzzy_search(index, "text", "thing").collect()))
+    monkeypatch.setattr(se, "MAX_LISTED_TERMS", 0)
+    joined = se.fuzzy_search(index, "text", "thing")
+    assert "levenshtein" not in plan_of(joined)
+    assert [(d, round(s, 9)) for d, s in sorted(map(tuple, joined.collect()))] == [(d, round(s, 9)) for d, s in listed]
