@@ -103,3 +103,10 @@ def test_one_byte_lengths(spark):
     assert [rows[n] for n in (40, 41, 42, 55, 56, 59, 60, 87, 88, 96, 1000)] == [40, 40, 42, 54, 56, 56, 60, 84, 88, 96, 984]
     assert len(set(rows.values())) < 256 - 24
     assert all(0 <= n - kept <= (n - 24) / 8 for n, kept in rows.items() if n >= 40)
+
+
+def test_segmentation_reads_a_text_once(spark):
+    frame = spark.createDataFrame([("a " + "y" * 300,), (None,)], "t string")
+    found = frame.select(F.explode_outer(tx.words_standard(F.col("t"), unicode_words=True)).alias("w"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert [r.w for r in found.collect()] == ["a", "y" * 255, "y" * 45, None]
