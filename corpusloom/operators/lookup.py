@@ -2,10 +2,12 @@
 
 A stored lookup keeps two tables of the vocabulary, both sorted by their key:
 
-``grams``     ``(field, gram, term, df)``: the runs of one to three characters of every term, its ends marked
+``grams``     ``(field, gram, term, df)``: the runs of two and three characters of every term, its ends marked
 ``variants``  ``(field, variant, term, df)``: what is left of a term after up to two deletions. Two words within two
-              edits, swaps of neighbours included, have a variant in common. Terms of over ``LONG`` characters are cut into
-              five pieces instead: two edits leave one piece whole, moved by two places at most.
+              edits, swaps of neighbours included, have a variant in common. Of terms of over ``SHORT`` characters it is what is
+              left of each half after one deletion at most: one half has no more than one edit (a swap across the middle
+              is a replacement in either), so that a term has two rows more than characters. Terms of over ``LONG``
+              are cut into five pieces: two edits leave one piece whole, moved by two places at most.
 
 With it a batch of patterns or words is an equality join, and only what meets there is compared.
 Without it every pattern and word is tried on the whole vocabulary of its field.
@@ -23,6 +25,7 @@ from ..functions.patterns import lowered_pattern, regex_grams, wildcard_grams, w
 from ..plans.joins import join_on_small
 from .fields import FieldIndex
 
+SHORT = 7
 LONG = 24
 PIECES = 5
 EDITS = 2
@@ -37,62 +40,83 @@ class Lookup:
 
 
 def grams_of(term: Column) -> Column:
-    """Distinct runs of one to three characters, between a mark for the start and one for the end."""
-    marked = F.concat(F.lit("\x02"), term, F.lit("\x03"))
+    """Distinct runs of two and three characters, between a mark for the start and one for the end."""
+    marked = _marked(term)
 
     def runs(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1)))
         return F.transform(starts, lambda i: F.substr(marked, i, F.lit(n)))
 
-    return F.array_distinct(F.concat(runs(1), runs(2), runs(3)))
+    return F.array_distinct(F.concat(runs(2), runs(3)))
 
 
-def _less_one(text: Column) -> Column:
-    places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
+def _marked(term: Column) -> Column:
+    return F.concat(F.lit("\x02"), term, F.lit("\x03"))
 
 
-def deletions(text: Column) -> Column:
-    """The text, and all that is left of it after one or two deletions."""
-    twice = F.flatten(F.transform(_less_one(text), _less_one))
-    return F.array_distinct(F.concat(F.array(text), _less_one(text), twice))
+def _less_one(text: str) -> set[str]:
+    """The text, and all that is left of it without one character."""
+    return {text} | {text[:i] + text[i + 1 :] for i in range(len(text))}
 
 
-def _cut(size: Column, piece: Column) -> Column:
-    return F.floor(size * piece / PIECES).cast("int")
+def _less_two(text: str) -> set[str]:
+    return {left for once in _less_one(text) for left in _less_one(once)}
 
 
-def _piece_key(size: Column, piece: Column, text: Column) -> Column:
-    return F.concat_ws("\x02", size.cast("string"), piece.cast("string"), text)
+def _half_keys(size: int, side: str, half: str) -> set[str]:
+    return {f"{side}{size}\x02{left}" for left in _less_one(half)}
+
+
+def _cuts(size: int) -> list[int]:
+    return [size * k // PIECES for k in range(PIECES + 1)]
+
+
+def _term_keys(term: str) -> set[str]:
+    size, middle = len(term), len(term) // 2
+    if size <= SHORT:
+        return _less_two(term)
+    if size <= LONG:
+        return _half_keys(size, "<", term[:middle]) | _half_keys(size, ">", term[middle:])
+    cuts = _cuts(size)
+    return {f"{size}\x02{k}\x02{term[cuts[k] : cuts[k + 1]]}" for k in range(PIECES)}
+
+
+def _word_keys(word: str) -> set[str]:
+    own = len(word)
+    keys = _less_two(word) if own - EDITS <= SHORT else set()
+    for size in range(max(own - EDITS, SHORT + 1), own + EDITS + 1):
+        if size <= LONG:
+            first, last = size // 2, size - size // 2
+            for width in range(-1, 2):
+                if first + width <= own:
+                    keys |= _half_keys(size, "<", word[: first + width])
+                if last + width <= own:
+                    keys |= _half_keys(size, ">", word[own - last - width :])
+            continue
+        cuts = _cuts(size)
+        for k in range(PIECES):
+            for begin in range(cuts[k] - EDITS, cuts[k] + EDITS + 1):
+                width = cuts[k + 1] - cuts[k]
+                if begin >= 0 and begin + width <= own:
+                    keys.add(f"{size}\x02{k}\x02{word[begin : begin + width]}")
+    return keys
+
+
+def _keys(of):
+    def column(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: list(of(text)) if text is not None else [])
+
+    return F.pandas_udf(column, "array<string>")
 
 
 def term_variants(term: Column) -> Column:
     """Keys under which a term is stored."""
-    size = F.length(term)
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.lit(PIECES - 1)),
-        lambda k: _piece_key(size, k, F.substr(term, _cut(size, k) + 1, _cut(size, k + 1) - _cut(size, k))),
-    )
-    return F.when(size > LONG, pieces).otherwise(deletions(term))
+    return _keys(_term_keys)(term)
 
 
 def word_variants(word: Column) -> Column:
     """Keys that every term within two edits of ``word`` shares at least one of."""
-    size = F.length(word)
-    none = F.array().cast("array<string>")
-
-    def of_length(length: Column) -> Column:
-        def of_piece(k: Column) -> Column:
-            begin, width = _cut(length, k), _cut(length, k + 1) - _cut(length, k)
-            places = F.filter(F.array(*[begin + F.lit(s) for s in range(-EDITS, EDITS + 1)]), lambda at: (at >= 0) & (at + width <= size))
-            return F.transform(places, lambda at: _piece_key(length, k, F.substr(word, at + 1, width)))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), of_piece))
-
-    lengths = F.sequence(F.greatest(size - EDITS, F.lit(LONG + 1)), F.greatest(size + EDITS, F.lit(LONG + 1)))
-    long = F.when(size + EDITS > LONG, F.flatten(F.transform(lengths, of_length))).otherwise(none)
-    short = F.when(size - EDITS <= LONG, deletions(word)).otherwise(none)
-    return F.array_distinct(F.concat(short, long))
+    return _keys(_word_keys)(word)
 
 
 def write_lookup(index: FieldIndex, path: str) -> Lookup:
@@ -145,22 +169,26 @@ def terms_of_patterns(
     """``(key, field, term, df)`` of patterns ``(key, field, pattern)``: terms that match as a whole.
 
     ``syntax`` is ``wildcard`` or ``regex`` (Java). With a lookup a pattern looks at the terms that hold the rarest of the
-    character runs it must have, and at the whole vocabulary of its field only if it has none, like ``*`` or ``[ab]?``.
+    character runs it must have, and at the whole vocabulary of its field only if it has none of two, like ``*`` or ``[ab]?``.
     """
     if syntax not in ("wildcard", "regex"):
         raise ValueError(f"unknown pattern syntax {syntax!r}")
     read = patterns.select("key", "field", _read_patterns(syntax)(F.col("pattern")).alias("read"))
     read = read.select("key", "field", "read.regex", "read.grams")
     matches = F.expr("rlike(term, regex)")
-    free = read if lookup is None else read.where(F.size("grams") == 0)
+    # Runs of a pattern are equally long. A single character is in too many terms to look them up.
+    known = F.coalesce(F.length(F.get("grams", F.lit(0))), F.lit(0)) > 1
+    free = read if lookup is None else read.where(~known)
     tried = join_on_small(index.vocabulary.select("field", "term", "df"), free.drop("grams"), ["field"], salt_by=["term"])
     found = tried.where(matches).select("key", "field", "term", "df")
     if lookup is None:
         return found
-    bound = read.where(F.size("grams") > 0).select("key", "field", "regex", F.explode("grams").alias("gram"))
+    bound = read.where(known).select("key", "field", "regex", "grams", F.explode("grams").alias("gram"))
     counts = _counted(lookup, bound)
-    rarest = counts.groupBy("key", "field", "regex").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    held = _met(lookup.grams, rarest, "gram").where(matches).select("key", "field", "term", "df")
+    rarest = counts.groupBy("key", "field", "regex", "grams").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    # The other runs are looked for first: an expression is compiled anew for each pair.
+    has_all = F.forall("grams", lambda gram: F.contains(_marked(F.col("term")), gram))
+    held = _met(lookup.grams, rarest, "gram").where(has_all & matches).select("key", "field", "term", "df")
     return held.unionByName(found) if not free.isEmpty() else held
 
 
@@ -180,6 +208,17 @@ def terms_of_ranges(index: FieldIndex, ranges: DataFrame) -> DataFrame:
     return met.where(within).select("key", "field", "term", "df")
 
 
+def _plain_edits_allow(term: Column, word: Column) -> Column:
+    """Necessary test without Python: a swap of neighbours is two plain edits at most, and leaves the characters as they are."""
+
+    def in_order(text: Column) -> Column:
+        return F.array_join(F.sort_array(F.split(text, "")), "")
+
+    plain = F.levenshtein(term, word, 2 * EDITS)
+    one_swap = (plain == 3) & (F.levenshtein(in_order(term), in_order(word), 2) >= 0)
+    return plain.between(0, 2) | one_swap | ((plain == 4) & (in_order(term) == in_order(word)))
+
+
 def terms_within(index: FieldIndex, words: DataFrame, lookup: Lookup | None = None) -> DataFrame:
     """``(key, field, term, df, edits, similarity)`` of words ``(key, field, word, max_edits)``, at most two edits.
 
@@ -190,9 +229,10 @@ def terms_within(index: FieldIndex, words: DataFrame, lookup: Lookup | None = No
         met = join_on_small(index.vocabulary.select("field", "term", "df"), words, ["field"], salt_by=["term"])
     else:
         keyed = words.select("*", F.explode(word_variants(F.col("word"))).alias("variant"))
-        met = _met(lookup.variants, keyed, "variant").select("key", "field", "term", "df", "word", "max_edits").distinct()
-    # A swap of neighbours is two plain edits at most.
-    close = met.where(F.levenshtein("term", "word", 2 * EDITS) >= 0)
+        met = _met(lookup.variants, keyed, "variant").select("key", "field", "term", "df", "word", "max_edits")
+    close = met.where(_plain_edits_allow(F.col("term"), F.col("word")))
+    if lookup is not None:
+        close = close.distinct()  # a pair can have several variants in common
     measured = close.withColumn("edits", edit_distance(F.col("term"), F.col("word")))
     similarity = 1 - F.try_divide(F.col("edits"), F.least(F.length("term"), F.length("word")))
     return (
