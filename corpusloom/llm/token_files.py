@@ -30,8 +30,8 @@ from .tables import python_tasks, saved, whole_text
 LENGTH = 2048
 ROWS = 256
 END_ID = 2
-CACHED_WORDS = 300_000
-PIECE = 1 << 22
+CACHED_WORDS = 100_000
+PIECE = 1 << 21
 
 # Letters of Latin-1 lower-case and normalise one by one.
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
@@ -245,6 +245,7 @@ def write_token_files(
                     room += len(ids) + 1
                     if room >= ROWS * length:
                         flush(False)
+                pa.default_memory_pool().release_unused()
             done = sum(sizes)
             flush(True)
         size = np.array(sizes, dtype=np.int64)

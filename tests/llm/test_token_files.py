@@ -85,3 +85,11 @@ def test_files(spark, tmp_path, plain, monkeypatch):
     assert not [p.name for p in (tmp_path / "t").iterdir() if "_draft" in p.name]
     empty = tf.write_token_files(docs.limit(0), str(tmp_path / "e"), PATH)
     assert tf.read_documents(empty).count() == 0
+
+
+def test_words_kept_are_bounded():
+    cache, letters = tf.WordCache(PATH), "abcdefghij"
+    for low in range(0, 300_000, 20_000):
+        words = ("w" + "".join(letters[int(d)] for d in str(n)) for n in range(low, low + 20_000))
+        list(cache.encode([" ".join(words)]))
+    assert len(cache.known) + len(cache.older) <= 250_000
