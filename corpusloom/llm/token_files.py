@@ -13,7 +13,6 @@ temporary names; the manifest, a table written last, names the shards that count
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +33,7 @@ CACHED_WORDS = 100_000
 PIECE = 1 << 21
 
 # Letters of Latin-1 lower-case and normalise one by one.
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PLAIN = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+\z"
 _WORD_SPLIT = "[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
@@ -68,46 +67,48 @@ class WordCache:
             self.ascii = Tokenizer.from_str(json.dumps(bare))
             bare["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [split, level]}
             self.latin = Tokenizer.from_str(json.dumps(bare))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = self.older = pa.array([], pa.large_string())
+        self.ids = self.older_ids = pa.array([], pa.large_list(pa.uint32()))
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.full.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [np.array(e.ids, dtype=np.uint32) for e in found]
 
-    def _look_up(self, words: list[str]) -> list[bytes]:
-        """Ids of words; what was used lately is kept longest."""
+    def _look_up(self, words: pa.Array) -> pa.Array:
+        """Places of words in ``ids``; what was used lately is kept longest."""
         if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        unseen = list(dict.fromkeys(w for w in words if w not in known))
-        if unseen:
-            again = [w for w in unseen if w in older]
-            for w in again:
-                known[w] = older[w]
-            self._learn([w for w in unseen if w not in older] if again else unseen)
-        return [known[w] for w in words]
-
-    def _learn(self, words: list[str]) -> None:
-        """Add unseen words: plain ones many to a call, cut where a token ends a word."""
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
-        for encoder, some in (
-            (self.ascii, [w for w in plain if w.isascii()]),
-            (self.latin, [w for w in plain if not w.isascii()]),
-        ):
+            self.older, self.older_ids = self.known, self.ids
+            self.known, self.ids = self.known[:0], self.ids[:0]
+        at = pc.index_in(words, value_set=self.known)
+        unseen = words.filter(pc.is_null(at)).unique()
+        if len(unseen):
+            back = pc.index_in(unseen, value_set=self.older)
+            learned, ids = self._learn(unseen.filter(pc.is_null(back)))
+            added = pa.concat_arrays([unseen.filter(pc.is_valid(back)), learned])
+            place = pc.add(pc.index_in(words, value_set=added), pa.scalar(len(self.known), pa.int32()))
+            at = pc.coalesce(at, place)
+            self.known = pa.concat_arrays([self.known, added])
+            self.ids = pa.concat_arrays([self.ids, self.older_ids.take(back.drop_null()), ids])
+        return at
+
+    def _learn(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Unseen words with their ids: plain ones many to a call, cut where a token ends a word."""
+        in_ascii, plain = pc.ascii_is_alpha(words), pc.match_substring_regex(words, _PLAIN)
+        found, sizes = [], []
+        groups = [words.filter(in_ascii), words.filter(pc.and_not(plain, in_ascii)), words.filter(pc.invert(plain))]
+        for encoder, some in zip((self.ascii, self.latin), groups):
             for low in range(0, len(some), 1000):
-                part = some[low : low + 1000]
-                text = " ".join(part).lower()
-                ids = np.array(encoder.encode(text, add_special_tokens=False).ids, dtype="<u4")
+                part = some.slice(low, 1000).to_pylist()
+                ids = np.array(encoder.encode(" ".join(part).lower(), add_special_tokens=False).ids, dtype=np.uint32)
                 ends = np.flatnonzero(self.ends_word[ids]) + 1
                 if len(ends) != len(part):
                     raise ValueError("a word has no end mark")
-                data, start = ids.tobytes(), 0
-                for word, end in zip(part, (ends * 4).tolist()):
-                    self.known[word] = data[start:end]
-                    start = end
-        other = [w for w in words if w not in self.known]
-        self.known.update(zip(other, self._whole(other)))
+                found.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+        other = self._whole(groups[2].to_pylist())
+        sizes.append(np.fromiter(map(len, other), np.int64, len(other)))
+        values = pa.array(np.concatenate([np.zeros(0, dtype=np.uint32), *found, *other]))
+        return pa.concat_arrays(groups), pa.LargeListArray.from_arrays(np.cumsum(np.r_[0, *sizes]), values)
 
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that are cut into words, and how many ids each has.
@@ -119,10 +120,8 @@ class WordCache:
         words = pc.split_pattern(pc.replace_substring_regex(even, "([A-Za-z])([.,])", "\\1 \\2"), " ")
         coded = words.flatten().dictionary_encode()
         said = coded.dictionary
-        parts = self._look_up(pc.if_else(pc.ascii_is_alpha(said), pc.ascii_lower(said), said).to_pylist())
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        pool = pa.array(np.frombuffer(b"".join(parts), dtype="<u4"))
-        held = pa.LargeListArray.from_arrays(np.r_[0, np.cumsum(size)], pool).take(coded.indices)
+        at = self._look_up(pc.if_else(pc.ascii_is_alpha(said), pc.ascii_lower(said), said))
+        held = self.ids.take(at.take(coded.indices))
         cuts = held.offsets.to_numpy()[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return held.flatten().to_numpy(), np.diff(cuts)
 
@@ -141,7 +140,7 @@ class WordCache:
                 yield from self._cut(held)
                 held, room = [], 0
             if apart:
-                yield np.frombuffer(self._whole([text])[0], dtype="<u4")
+                yield self._whole([text])[0]
             elif len(text) > PIECE:
                 yield np.concatenate([ids for piece in _pieces(text) for ids in self._cut([piece])])
             else:

@@ -93,3 +93,10 @@ def test_words_kept_are_bounded():
         words = ("w" + "".join(letters[int(d)] for d in str(n)) for n in range(low, low + 20_000))
         list(cache.encode([" ".join(words)]))
     assert len(cache.known) + len(cache.older) <= 250_000
+
+
+def test_words_kept_are_compact():
+    cache = tf.WordCache(PATH)
+    list(cache.encode([" ".join(f"w{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}{chr(97 + n // 676)}" for n in range(10_000))]))
+    assert len(cache.known) == 10_000
+    assert cache.known.nbytes + cache.ids.nbytes < 64 * len(cache.known)
