@@ -30,4 +30,4 @@ def cluster_postings(index: FieldIndex, buckets: int = BUCKETS, path: str | None
     buckets *= max(1, -(-index.postings.count() // (BUCKET_ROWS * buckets)))
     writer = index.postings.repartition(buckets, "doc_id").write.bucketBy(buckets, "doc_id").sortBy("field", "term")
     writer.option("path", path or scratch_path(spark, "clustered")).saveAsTable(name)
-    return replace(index, postings=spark.table(name))
+    return replace(index, postings=spark.table(name), clustered=True)

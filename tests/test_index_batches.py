@@ -177,3 +177,20 @@ def test_buckets_grow_with_the_postings(spark, tmp_path, monkeypatch):
     near = cluster_postings(index, 4, str(tmp_path / "near"))
     assert "out of 16" in plan_of(near.postings.groupBy("doc_id").count())
     assert near.postings.count() == index.postings.count()
+
+
+def test_large_batches_are_added_up_by_document(spark, tmp_path, monkeypatch):
+    index = fl.write_index(fields_of(spark, texts(200)), str(tmp_path / "index"))
+    queries = spark.createDataFrame([(1, "common w1"), (2, "w2 only7 zzz"), (3, "common")], "query_id int, text string")
+
+    def rows(found):
+        return sorted((r.query_id, r.doc_id, round(r.score, 9)) for r in found.collect())
+
+    whole = rows(se.any_words_batch(index, "text", queries))
+    monkeypatch.setattr(se, "BATCH_ROWS", 20)
+    hits = se.any_words_batch(index, "text", queries)
+    tasks = int(re.search(r"hashpartitioning\(batch#\d+, doc_id#\d+L?, (\d+)\)", plan_of(hits))[1])
+    assert tasks >= len(whole) / 20 and not re.search(r"hashpartitioning\(query_id#\d+, batch#", plan_of(hits))
+    assert rows(hits) == whole
+    monkeypatch.setattr(se, "fits_broadcast", lambda df: False)
+    assert rows(se.any_words_batch(index, "text", queries)) == whole
