@@ -7,8 +7,11 @@ from corpusloom.functions.text import words_alpha
 from corpusloom.operators import frequency as fq
 from corpusloom.operators import tables
 from corpusloom.operators.postings import position_lines
+from corpusloom.plans.ranking import place_of
 from corpusloom.sources.corpus import read_corpus, read_corpus_lines
 
+from conftest import plan_of
+
 
 def corpus(tmp_path):
     (tmp_path / "a.txt").write_bytes(b"The cat. The cat sat")
@@ -122,3 +125,27 @@ def test_position_ngrams_cross_block_borders(spark, monkeypatch):
     monkeypatch.setattr("corpusloom.plans.blocks.with_lookahead.__defaults__", (2, "pos"))
     got = sorted(r.ngram for r in fq.ngrams_of_positions(tokens, 3).collect())
     assert got == ["a b c", "b c d", "c d e", "d e f", "e f g"]
+
+
+def test_first_occurrences_of_any_id(spark):
+    docs = spark.createDataFrame(
+        [(2**63 - 1, "a f"), (7, "b a g"), (-(2**63), "c x b"), (2**31, "d"), (2**31 - 1, "e d"), (None, "n")], "doc_id bigint, text string"
+    )
+    counts = fq.counts_from_ngrams(fq.ngrams(docs, 1))
+    got = [r.ngram for r in fq.rank_by_count(counts).collect()]
+    assert got == ["b", "a", "d", "n", "c", "x", "g", "e", "f"]
+    placed = {r.ngram: (r.d, r.p) for r in counts.select("ngram", *[c.alias(n) for c, n in zip(place_of(F.col("first")), "dp")]).collect()}
+    assert placed["b"][0] == -(2**63) and placed["a"] == (7, 2) and placed["d"] == (2**31 - 1, 2) and placed["f"] == (2**63 - 1, 2)
+
+
+def test_occurrences_are_counted_without_decimals(spark, docs_of):
+    counts = fq.counts_from_ngrams(fq.ngrams(docs_of("a b"), 1))
+    assert "min(CASE WHEN" in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "_near" in plan_of(fq.rank_by_count(counts))
+
+
+def test_each_size_is_sorted_alone(docs_of, tmp_path):
+    tables.write_frequency_tables(docs_of("b a b", "a"), str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out" / "counts").iterdir() if p.is_dir()) == ["size=1", "size=2", "size=3"]
+    empty = tables.write_frequency_tables(docs_of("1").limit(0), str(tmp_path / "none"))
+    assert empty is None and (tmp_path / "none" / "tri_dat").is_dir()
