@@ -57,3 +57,25 @@ def test_hidden_names_are_found_without_a_call_for_each_file(spark, tmp_path, mo
     monkeypatch.setattr(spark._jvm._gateway_client, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
     assert corpus.hidden_files(spark, str(tmp_path)) == []
     assert len(calls) < 100
+
+
+def test_files_of_a_folder_are_not_listed_on_the_driver(spark, tmp_path):
+    for k in range(300):
+        (tmp_path / f"p %20+{k}.txt").write_bytes(b"caf\xe9\r\n" * (k % 3))
+    (tmp_path / "notes.md").write_bytes(b"no text")
+    (tmp_path / "sub.txt").mkdir()
+    docs = corpus.read_corpus(spark, str(tmp_path), ".txt")
+    assert len(docs.inputFiles()) < 10
+    expected = {f"p %20+{k}.txt": "café\n" * (k % 3) for k in range(300) if k % 3}  # Spark's readers pass over empty files
+    assert dict(docs.collect()) == expected
+    names = corpus.file_names(spark, str(tmp_path), ".txt")
+    assert {r.doc_id for r in names.collect()} == set(expected)
+    numbered = corpus.numbered_files(docs, names).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text) for r in numbered] == [(n, expected[name]) for n, name in enumerate(sorted(expected))]
+
+
+def test_a_file_is_read_by_its_path(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"one")
+    (tmp_path / "b.txt").write_bytes(b"two")
+    assert [tuple(r) for r in corpus.read_corpus(spark, str(tmp_path / "a.txt")).collect()] == [("a.txt", "one")]
+    assert [tuple(r) for r in corpus.read_corpus(spark, f"{tmp_path}/b*").collect()] == [("b.txt", "two")]
