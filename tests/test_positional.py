@@ -192,3 +192,29 @@ def test_both_ways_of_a_batch(spark, docs_of, ordered):
     paired = sorted(map(tuple, px._paired(held, wanted, 6, ordered).collect()))
     assert by_word and by_word == paired
     assert sorted(map(tuple, px.proximity_batch(held, queries, ordered).collect())) == paired
+
+
+def test_postings_are_grouped_where_documents_are_read(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b a"), (1, "b"), (None, "a"), (None, "a c"), (2, None)], "doc_id bigint, text string")
+    index = po.build_postings(po.positioned_tokens(po.by_document(docs), stemmed=False))
+    assert plan_of(index).count("Exchange") == 1
+    path = tmp_path / "dump"
+    po.dump_postings(index, str(path), compression="gzip")
+    assert list(path.glob("part-*.json.gz")) and not list(path.glob("part-*.json"))
+    found = spark.read.schema("term string, doc_id bigint, positions array<int>, tf int").json(str(path)).collect()
+    assert sorted((r.term, r.doc_id or 0, r.positions, r.tf) for r in found) == [
+        ("a", 0, [1, 1], 2), ("a", 1, [1, 3], 2), ("b", 1, [1, 2], 2), ("c", 0, [2], 1),
+    ]
+
+
+def _shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {held.apply(k).getName() for k in range(held.size()) if held.apply(k).getName().startswith("shuffle_")}
+
+
+def test_saving_and_dumping_leave_no_shuffle_files(spark, docs_of, tmp_path):
+    before = _shuffle_files(spark)
+    po.save_postings(tokens(docs_of, "a b a", "b c"), str(tmp_path / "saved"))
+    po.dump_postings(po.build_postings(tokens(docs_of, "a b a", "b c")), str(tmp_path / "dumped"))
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
