@@ -218,3 +218,14 @@ def test_saving_and_dumping_leave_no_shuffle_files(spark, docs_of, tmp_path):
     po.dump_postings(po.build_postings(tokens(docs_of, "a b a", "b c")), str(tmp_path / "dumped"))
     assert not _shuffle_files(spark) - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_paired_matches_are_told_apart_where_the_window_put_them(spark):
+    rows = [(1, p, t) for p, t in ((65535, "a"), (65536, "b"), (65537, "a"), (65538, "b"), (131072, "b"), (131073, "a"))]
+    rows += [(2, 1, "a"), (2, 2, "b"), (2, 4, "a")]
+    toks = spark.createDataFrame(rows, "doc_id bigint, pos int, term string").repartition(3)
+    wanted = spark.createDataFrame([("q", "a", "b", 1), ("r", "b", "a", 3), ("s", "a", "a", 2)], "query_id string, w1 string, w2 string, max_dist int")
+    for ordered in (False, True):
+        paired = px._paired(toks, wanted, 3, ordered)
+        assert "Exchange hashpartitioning(query_id" not in plan_of(paired)
+        assert sorted(map(tuple, paired.collect())) == sorted(map(tuple, px._by_word(toks, wanted, ordered).distinct().collect()))
