@@ -149,3 +149,17 @@ def test_each_size_is_sorted_alone(docs_of, tmp_path):
     assert sorted(p.name for p in (tmp_path / "out" / "counts").iterdir() if p.is_dir()) == ["size=1", "size=2", "size=3"]
     empty = tables.write_frequency_tables(docs_of("1").limit(0), str(tmp_path / "none"))
     assert empty is None and (tmp_path / "none" / "tri_dat").is_dir()
+
+
+def test_frequency_files_can_be_compressed_and_leave_no_shuffle_files(spark, docs_of, tmp_path):
+    def shuffled():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(k).getName() for k in range(held.size()) if held.apply(k).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    tables.write_frequency_tables(docs_of("b a b", "a"), str(tmp_path), compression="gzip")
+    assert not shuffled() - before
+    assert not list(tmp_path.glob("*/part-*.csv")) and list(tmp_path.glob("letters/part-*.csv.gz"))
+    read = spark.read.schema("ngram string, n bigint").option("lineSep", "\r\n")
+    assert [tuple(r) for r in read.csv(str(tmp_path / "uni")).collect()] == [("b", 2), ("a", 2)]
+    assert {tuple(r) for r in read.csv(str(tmp_path / "bii_alpha")).collect()} == {("a b", 1), ("b a", 1)}
