@@ -194,3 +194,21 @@ def test_large_batches_are_added_up_by_document(spark, tmp_path, monkeypatch):
     assert rows(hits) == whole
     monkeypatch.setattr(se, "fits_broadcast", lambda df: False)
     assert rows(se.any_words_batch(index, "text", queries)) == whole
+
+
+def test_postings_are_stored_by_term_first(spark, tmp_path):
+    """A field is the same in most rows, so a sort that begins with it compares all of them as a whole."""
+    docs = spark.createDataFrame([("1", "b a", "c"), ("2", "a", "a d")], "doc_id string, text string, title string")
+    path = str(tmp_path / "index")
+    index = fl.write_index(fl.fields_of_columns(docs, "doc_id", title="title", text="text"), path)
+    fl.write_index(fl.fields_of_columns(docs, "doc_id", title="title", text="text"), path, "append")
+    fl.merge_batches(spark, path, everything=True)
+    for number in (0, 1, 2):
+        for table in ("postings", "vocabulary"):
+            rows = spark.read.parquet(f"{path}/{table}/batch={number}").coalesce(1).select("term", "field")
+            assert {tuple(r) for r in rows.collect()} == {("b", "text"), ("c", "title"), ("d", "title")} | set()
+            per_file = rows.select("term", "field", F.input_file_name().alias("file")).collect()
+            for file in {r.file for r in per_file}:
+                held = [(r.term, r.field) for r in per_file if r.file == file]
+                assert held == sorted(held)
+
